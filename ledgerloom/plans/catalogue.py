@@ -231,8 +231,8 @@ def soft_delete_connections(ledger: Ledger) -> DataFrame:
 
 @query
 def cascade_delete_batches(ledger: Ledger) -> DataFrame:
-    """Lines that survive when the batches with open or failed status are removed."""
-    removed = ledger.upload_batches.filter(F.col("status") != "completed")
+    """Lines that survive when the batches of more than a day ago are removed."""
+    removed = ledger.upload_batches.filter(F.col("created_at") < dates.hours_before(ledger.run_clock, 24))
     return merge.cascade_delete(ledger.new_lines, removed, "batch_id").select("id", "batch_id", "date", "amount")
 
 
