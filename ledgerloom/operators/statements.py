@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.dates import calendar_date, statement_date_text
 from ledgerloom.functions.keys import statement_hash, surrogate_key
-from ledgerloom.functions.text import header_entries, money_text_to_number, pick_field, row_json
+from ledgerloom.functions.text import field_map, header_entries, money_text_to_number, pick_field, row_json
 from ledgerloom.operators.merge import new_rows, pick_winner
 from ledgerloom.schemas import (
     AMOUNT_HEADERS, CREDIT_HEADERS, DATE_HEADERS, DEBIT_HEADERS, DEFAULT_CURRENCY, DESCRIPTION_HEADERS,
@@ -31,15 +31,16 @@ def statement_amount(single: Column, debit: Column, credit: Column) -> Column:
 
 def pick_fields(rows: DataFrame) -> DataFrame:
     """The text of each field under whichever header it was delivered."""
-    entries = F.col("entries")
-    return rows.withColumn("entries", header_entries(F.col("raw"))).select(
+    fields = F.col("fields")
+    opened = rows.withColumn("entries", header_entries(F.col("raw"))).withColumn("fields", field_map(F.col("entries")))
+    return opened.select(
         "batch_id", "tenant_id", "row_index", "entries",
-        pick_field(entries, DATE_HEADERS).alias("date_text"),
-        pick_field(entries, DESCRIPTION_HEADERS).alias("description"),
-        pick_field(entries, AMOUNT_HEADERS).alias("amount_text"),
-        pick_field(entries, DEBIT_HEADERS).alias("debit_text"),
-        pick_field(entries, CREDIT_HEADERS).alias("credit_text"),
-        pick_field(entries, REFERENCE_HEADERS).alias("reference"),
+        pick_field(fields, DATE_HEADERS).alias("date_text"),
+        pick_field(fields, DESCRIPTION_HEADERS).alias("description"),
+        pick_field(fields, AMOUNT_HEADERS).alias("amount_text"),
+        pick_field(fields, DEBIT_HEADERS).alias("debit_text"),
+        pick_field(fields, CREDIT_HEADERS).alias("credit_text"),
+        pick_field(fields, REFERENCE_HEADERS).alias("reference"),
     )
 
 

@@ -40,7 +40,9 @@ def tenant_freshness(tables: Tables, as_of: Column, tenant_id: str | None = None
     """One row per connection and entity; a connection without cursor appears once, never synced."""
     cursors = tables["sync_checkpoints"].select(F.col("connection_id").alias("_conn"), "entity", "last_modified_at", "last_run_id")
     rows = _tenant_connections(tables, tenant_id).join(cursors, F.col("connection_id") == F.col("_conn"), "left")
-    runs = tables["sync_runs"].select(
+    # only the runs a cursor points at: that join can broadcast the cursors and leave the log in place
+    pointed_at = cursors.select(F.col("last_run_id").alias("id")).distinct()
+    runs = tables["sync_runs"].join(pointed_at, "id", "left_semi").select(
         F.col("id").alias("_run"), F.col("status").alias("last_run_status"), F.col("started_at").alias("last_run_started_at"),
         F.col("completed_at").alias("last_run_completed_at"), F.col("duration_ms").alias("last_run_duration_ms"),
         F.col("error").alias("last_run_error"))

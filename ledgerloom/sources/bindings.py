@@ -353,35 +353,28 @@ class Ledger:
         )
         return uploads.number_rows(rows, ["batch_id", "tenant_id"], F.floor(F.col(key) / ROW_BLOCK), F.col(key)).drop(key)
 
+    # Header and cell spellings of six bank exports: date header, date pattern, text header, amount cells.
+    EXPORTS = (
+        ("Date", "yyyy-MM-dd", "Description", "'Amount', n, 'Reference', concat('R', event_id)"),
+        ("Transaction Date", "dd/MM/yyyy", "Details", "'Amount', concat('£', n, '.50')"),
+        ("Posting Date", "dd-MM-yyyy", "Narrative", "'Debit', n, 'Credit', ''"),
+        (" date ", "dd MMM yyyy", "Memo", "'Debit', '', 'Credit', n"),
+        ("TransactionDate", "yyyy-MM-dd HH:mm", "Particulars", "'amount', concat('-', n)"),
+        ("PostingDate", "d/M/yyyy HH:mm", "Transaction Description", "'Amount', 'n/a', 'Debit', n"),
+    )
+
     def _export_row(self) -> Column:
-        key, ts = "event_id", "ts"
-        amount = F.floor("value").cast("string")
-
-        def dated(pattern: str) -> Column:
-            broken = F.when(_mod(key, 3) == 0, "").when(_mod(key, 3) == 1, "31/02/2024").otherwise("soon")
-            return (F.when(F.col("_batch") == 19, "soon").when(_mod(key, 17) == 0, broken)
-                    .otherwise(F.date_format(ts, pattern)))
-
-        def row(date_header: str, pattern: str, text_header: str, amounts: dict[str, Column], reference: bool = False) -> Column:
-            cells = {date_header: dated(pattern), **amounts}
-            if reference:
-                cells["Reference"] = F.concat(F.lit("R"), _text(key))
-            def build(entries: dict[str, Column]) -> Column:
-                return F.create_map(*[part for k, v in entries.items() for part in (F.lit(k), v)])
-            return F.when(_mod(key, 19) == 0, build(cells)).otherwise(build({**cells, text_header: F.col("event_type")}))
-
-        styles = [
-            row("Date", "yyyy-MM-dd", "Description", {"Amount": amount}, reference=True),
-            row("Transaction Date", "dd/MM/yyyy", "Details", {"Amount": F.concat(F.lit("£"), amount, F.lit(".50"))}),
-            row("Posting Date", "dd-MM-yyyy", "Narrative", {"Debit": amount, "Credit": F.lit("")}),
-            row(" date ", "dd MMM yyyy", "Memo", {"Debit": F.lit(""), "Credit": amount}),
-            row("TransactionDate", "yyyy-MM-dd HH:mm", "Particulars", {"amount": F.concat(F.lit("-"), amount)}),
-            row("PostingDate", "d/M/yyyy HH:mm", "Transaction Description", {"Amount": F.lit("n/a"), "Debit": amount}),
-        ]
-        chosen = F.when(_mod(key, 6) == 0, styles[0])
-        for i, style in enumerate(styles[1:-1], start=1):
-            chosen = chosen.when(_mod(key, 6) == i, style)
-        return chosen.otherwise(styles[-1])
+        """Cells of a statement row; some dates are broken and some descriptions are missing."""
+        arms = []
+        for style, (date_header, pattern, text_header, amounts) in enumerate(self.EXPORTS):
+            day = f"""CASE WHEN _batch = 19 THEN 'soon'
+                WHEN event_id % 17 = 0 THEN element_at(array('', '31/02/2024', 'soon'), cast(event_id % 3 as int) + 1)
+                ELSE date_format(ts, "{pattern}") END"""
+            cells = f"'{date_header}', {day}, {amounts}".replace(" n,", " cast(floor(value) as string),").replace(
+                ", n", ", cast(floor(value) as string)")
+            arms.append(f"""WHEN event_id % 6 = {style} THEN if(event_id % 19 = 0, map({cells}),
+                map({cells}, '{text_header}', event_type))""")
+        return F.expr(f"CASE {' '.join(arms)} END")
 
     def _batch_time(self, id_column: str) -> Column:
         number = F.substring(id_column, 2, 2).cast("int")
