@@ -146,4 +146,4 @@ def flatten_balance_sheet(snapshots: DataFrame, max_depth: int = MAX_DEPTH) -> D
 def replace_snapshots(target: DataFrame, rows: DataFrame) -> DataFrame:
     """Replace all rows of the snapshots in ``rows``; a report that shrank leaves no stale tail."""
     fresh = rows.select("snapshot_id").distinct()
-    return target.join(fresh, "snapshot_id", "left_anti").unionByName(rows)
+    return target.join(fresh, "snapshot_id", "left_anti").unionByName(rows).select(*target.columns)
