@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-NULL_SPREAD = 256
-HOT_KEY_SALT = 16
+NULL_SPREAD = 1024
+MIN_SALT, MAX_SALT = 16, 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -32,6 +32,12 @@ def _bytes(text: str) -> int:
     return int(text)
 
 
+def hot_key_salt(df: DataFrame) -> int:
+    """Slots per hot key: a quarter of the shuffle partitions, within fixed bounds."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(MIN_SALT, min(MAX_SALT, partitions // 4))
+
+
 def attach(facts: DataFrame, lookup: DataFrame, keys: dict[str, str], take: dict[str, str],
            spread_by: tuple[str, ...], how: str = "left", hot_keys: bool = False) -> DataFrame:
     """Join ``lookup`` columns onto ``facts``; ``lookup`` must be unique on its keys.
@@ -42,11 +48,18 @@ def attach(facts: DataFrame, lookup: DataFrame, keys: dict[str, str], take: dict
 
     * fact rows with a null key can match nothing, yet would all hash to one task; they are
       spread by a hash of ``spread_by``;
-    * ``hot_keys=True`` (few distinct keys, e.g. tenants) salts the fact side and replicates
-      the lookup, unless the lookup is small enough to be broadcast. For wide key domains
-      adaptive skew-join splitting does the same at run time without replication.
+    * ``hot_keys=True`` is for lookups with one row per tenant or connection: the fact side is
+      salted and the lookup replicated, unless the lookup is small enough to be broadcast. For
+      wide key domains (contacts, accounts, invoices) adaptive skew-join splitting divides a
+      hot key at run time without replicating anything;
+    * few facts against a big lookup: the lookup is first cut down to the keys in use, a join
+      that broadcasts the facts' keys and leaves the lookup where it is.
     """
-    salt = HOT_KEY_SALT if hot_keys and not fits_broadcast(lookup) else 1
+    lookup_is_small = fits_broadcast(lookup)
+    salt = hot_key_salt(facts) if hot_keys and not lookup_is_small else 1
+    if not lookup_is_small and fits_broadcast(facts):
+        in_use = facts.select(*[F.col(c).alias(k) for c, k in keys.items()]).distinct()
+        lookup = lookup.join(in_use, list(keys.values()), "left_semi")
     row_hash = F.xxhash64(*spread_by)
     any_null = F.lit(False)
     for column in keys:

@@ -81,7 +81,7 @@ def fact_invoice_line(raw: DataFrame, invoices: DataFrame, accounts: DataFrame,
     joined = attach(source, invoices, {"tenant_id": "tenant_id", "source_invoice_id": "source_id"},
                     {"fact_invoice_id": "id"}, spread_by=("source_invoice_id", "source_id"))
     joined = attach(joined, account_by_code(accounts), {"tenant_id": "tenant_id", "account_code": "code"},
-                    {"dim_account_id": "id"}, spread_by=("source_invoice_id", "source_id"), hot_keys=True)
+                    {"dim_account_id": "id"}, spread_by=("source_invoice_id", "source_id"))
     return joined.select(
         _key("fact_invoice_line", "tenant_id", "source_invoice_id", "source_id"), "tenant_id", "fact_invoice_id",
         "dim_account_id", "source_invoice_id", "source_id", "description", "quantity", "unit_amount", "line_amount",

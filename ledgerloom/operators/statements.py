@@ -146,3 +146,11 @@ def batch_summary(normalised: DataFrame, headers: DataFrame, completed_at: Colum
         landed = inserted.groupBy("batch_id").agg(F.count(F.lit(1)).alias("inserted"))
         out = out.join(landed, "batch_id", "left").withColumn("inserted", F.coalesce("inserted", F.lit(0)))
     return out
+
+
+def process_upload(rows: DataFrame, headers: DataFrame, existing: DataFrame, now: Column,
+                   currency: str = DEFAULT_CURRENCY) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One upload run: lines to append to ``existing``, errors by row, and batch outcomes."""
+    checked = normalise(rows, currency)
+    fresh = dedup(to_lines(good_rows(checked), now), existing)
+    return fresh, error_rows(checked), batch_summary(checked, headers, now, fresh)

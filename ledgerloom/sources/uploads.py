@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ledgerloom.operators.merge import keyed_insert_ignore
+
 
 def number_rows(df: DataFrame, group: Sequence[str], block: Column, order: Column, name: str = "row_index") -> DataFrame:
     """0-based position of each row within ``group``, without sorting a group in one task.
@@ -44,6 +46,11 @@ def read_statement_csv(spark: SparkSession, path: str, tenant_id: str, **options
     return number_rows(rows, ["batch_id"], F.col("_start"), F.col("_seq")).drop("_start", "_seq")
 
 
+def store_rows(existing: DataFrame, rows: DataFrame) -> DataFrame:
+    """Uploaded rows kept verbatim; a row that was stored before stays as it is."""
+    return keyed_insert_ignore(existing, rows, ["batch_id", "row_index"], [F.asc("tenant_id")])
+
+
 def batch_headers(rows: DataFrame, created_at: Column, filename: Column | None = None) -> DataFrame:
     """Header row per upload batch, as it stands before processing."""
     name = F.col("batch_id") if filename is None else filename

@@ -22,12 +22,16 @@ def _batch_path(log: str, batch_id: int) -> str:
     return f"{log}/batch_id={batch_id}"
 
 
+def write_batch(rows: DataFrame, log: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(_batch_path(log, batch_id))
+
+
 def append_changes(log: str, keys: Sequence[str], order: Sequence[Column], prepare: Prepare | None = None):
     """``foreachBatch`` handler: the winner per key of a micro-batch becomes one log folder."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
-        pick_winner(rows, keys, order).write.mode("overwrite").parquet(_batch_path(log, batch_id))
+        write_batch(pick_winner(rows, keys, order), log, batch_id)
 
     return handle
 

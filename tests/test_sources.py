@@ -105,3 +105,31 @@ def test_client_metadata_defaults(spark):
     assert rows(got, "tenant_id", "business_type", "base_currency", "fiscal_year_end_month", "vat_registered") == [
         ("t1", "Construction", "GBP", 3, False), ("t2", None, "EUR", 12, True), ("t3", None, "GBP", 3, False)]
     assert lookups.business_types(spark).count() == 11
+
+
+def test_pull_merges_raw_rows_and_moves_the_cursor(spark):
+    from ledgerloom.plans import pull
+
+    first = pull.typed_records(one(spark, INVOICE), "invoices", now())
+    newer = {**INVOICE, "Type": "ACCPAY", "Status": "VOIDED", "Reference": None, "UpdatedDateUTC": "/Date(1800000000000)/"}
+    twice = one(spark, newer).unionByName(one(spark, INVOICE)).unionByName(one(spark, {**INVOICE, "InvoiceID": "i2"}))
+    got = pull.upsert_raw(first, twice, "invoices", now())
+    assert rows(got, "source_id", "type", "status") == [("i1", "ACCREC", "VOIDED"), ("i2", "ACCREC", "PAID")]
+    flat = pull.upsert_legacy_invoices(payloads.legacy_invoices(first), twice, now())
+    assert rows(flat, "source_id", "type") == [("i1", "ACCPAY"), ("i2", "ACCREC")]
+    assert pull.upsert_raw(got, twice, "invoices", now()).exceptAll(got).count() == 0
+
+    t = dt.datetime
+    cursors = spark.createDataFrame([("c1", "invoices", t(2025, 1, 1), "r1")], "connection_id string, entity string, last_modified_at timestamp_ntz, last_run_id string")
+    pulled = spark.createDataFrame([("c1", t(2025, 1, 2), "r2"), ("c2", t(2025, 1, 2), "r3")], "connection_id string, started_at timestamp_ntz, run_id string")
+    assert rows(pull.advance_cursor(cursors, pulled, "invoices"), "connection_id", "last_run_id") == [("c1", "r2"), ("c2", "r3")]
+    assert pull.advance_cursor(cursors, pulled, "accounts") is cursors
+
+
+def test_stored_rows_are_not_replaced(spark):
+    from ledgerloom.sources import uploads
+
+    schema = "batch_id string, tenant_id string, row_index int, raw map<string,string>"
+    held = spark.createDataFrame([("b", "t", 0, {"a": "1"})], schema)
+    again = spark.createDataFrame([("b", "t", 0, {"a": "2"}), ("b", "t", 1, {"a": "3"})], schema)
+    assert rows(uploads.store_rows(held, again), "row_index", F.col("raw")["a"]) == [(0, "1"), (1, "3")]

@@ -123,3 +123,15 @@ def test_csv_rows_keep_file_order_over_splits(spark, scratch):
     assert out == {i: f"line {i}" for i in range(4000)}
     heads = uploads.batch_headers(got, ts_literal(NOW)).first()
     assert (heads["row_count"], heads["status"]) == (4000, "pending")
+
+
+def test_upload_of_the_same_file_twice(spark):
+    data = batch(spark, BASE, {**BASE, "Amount": "z"})
+    heads = uploads.batch_headers(data, ts_literal(NOW))
+    empty = statements.to_lines(statements.good_rows(statements.normalise(data)), ts_literal(NOW)).limit(0)
+    fresh, errors, summary = statements.process_upload(data, heads, empty, ts_literal(NOW))
+    assert (fresh.count(), errors.count()) == (1, 1)
+    again, _, outcome = statements.process_upload(data, heads, fresh, ts_literal(NOW))
+    assert again.count() == 0
+    assert rows(outcome, "status", "processed", "skipped", "inserted") == [("completed", 1, 1, 0)]
+    assert rows(summary, "status", "processed", "skipped", "inserted") == [("completed", 1, 1, 1)]
