@@ -9,9 +9,13 @@ MIN_SALT, MAX_SALT = 16, 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of a plan, or None where the session cannot tell."""
+    """Size estimate of a plan before optimization, or None where the session cannot tell.
+
+    It does not count what column pruning saves, so it errs on the large side, and it costs
+    no optimizer run.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
     except AttributeError:
         return None
 

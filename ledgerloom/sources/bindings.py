@@ -23,6 +23,7 @@ CURSOR_CLOCK = "2024-01-31 00:00:00"
 LOADED_AT = "2024-02-01 00:00:00"
 NEVER_SYNCED = ("3", "17")
 ROW_BLOCK = 65536
+MONEY = "cast({} AS decimal(15,2))"
 
 
 def _text(column: str | Column) -> Column:
@@ -88,27 +89,23 @@ class Ledger:
         """First connection of each tenant."""
         return self._nation_tenant.groupBy("n_regionkey").agg(F.min("n_nationkey").alias("n_nationkey"))
 
-    def _with_tenant(self, df: DataFrame, nation: Column) -> DataFrame:
-        return df.join(self._nation_tenant, nation == F.col("n_nationkey"), "inner").withColumns({
-            "connection_id": _text("n_nationkey"), "tenant_id": _text("n_regionkey")})
+    def _with_tenant(self, df: DataFrame, nation: str) -> DataFrame:
+        return df.join(self._nation_tenant, F.expr(f"{nation} = n_nationkey"), "inner").selectExpr(
+            "*", "string(n_nationkey) AS connection_id", "string(n_regionkey) AS tenant_id")
 
     # ── contacts and accounts ────────────────────────────────────────────────
     @cached_property
     def raw_contacts(self) -> DataFrame:
         def shape(table: str, prefix: str, key: str, name: str, nation: str, balance: str, supplier: bool) -> DataFrame:
-            rows = self._with_tenant(self.read(table), F.col(nation))
-            email = F.concat(F.lower(F.regexp_replace(name, "#", ".")), F.lit("@example.com"))
-            return rows.select(
-                "connection_id", "tenant_id", F.concat(F.lit(prefix), _text(key)).alias("source_id"),
-                F.col(name).alias("name"),
-                F.when(_mod(key, 3) == 0, F.lit(table)).alias("first_name"),
-                F.when(_mod(key, 3) == 0, _text(key)).alias("last_name"),
-                F.when(_mod(key, 5) != 0, email).alias("email_address"),
-                F.when(F.col(balance) < 0, "ARCHIVED").otherwise("ACTIVE").alias("contact_status"),
-                F.lit(supplier).alias("is_supplier"), F.lit(not supplier).alias("is_customer"),
-                F.when(_mod(key, 4) == 0, F.concat(F.lit("TX"), _text(key))).alias("tax_number"),
-                F.when(_mod(key, 7) == 0, "EUR").otherwise("GBP").alias("default_currency"),
-                _after(ts_literal("2001-06-01 00:00:00"), days=_mod(key, 28)).alias("source_updated_at"),
+            return self._with_tenant(self.read(table), nation).selectExpr(
+                "connection_id", "tenant_id", f"concat('{prefix}', string({key})) AS source_id", f"{name} AS name",
+                f"if({key} % 3 = 0, '{table}', null) AS first_name", f"if({key} % 3 = 0, string({key}), null) AS last_name",
+                f"if({key} % 5 <> 0, concat(lower(replace({name}, '#', '.')), '@example.com'), null) AS email_address",
+                f"if({balance} < 0, 'ARCHIVED', 'ACTIVE') AS contact_status",
+                f"{supplier} AS is_supplier", f"{not supplier} AS is_customer",
+                f"if({key} % 4 = 0, concat('TX', string({key})), null) AS tax_number",
+                f"if({key} % 7 = 0, 'EUR', 'GBP') AS default_currency",
+                f"TIMESTAMP_NTZ'2001-06-01 00:00:00' + make_dt_interval(int({key} % 28)) AS source_updated_at",
             )
 
         return shape("customer", "C", "c_custkey", "c_name", "c_nationkey", "c_acctbal", False).unionByName(
@@ -116,20 +113,15 @@ class Ledger:
 
     @cached_property
     def raw_accounts(self) -> DataFrame:
-        rows = self.read("part").withColumn("_tenant", _mod("p_partkey", 5))
-        rows = rows.join(self._lead_connection, F.col("_tenant") == F.col("n_regionkey"), "inner")
-        key = "p_partkey"
-        return rows.select(
-            _text("n_nationkey").alias("connection_id"), _text("n_regionkey").alias("tenant_id"),
-            _text(key).alias("source_id"), F.col("p_brand").alias("code"), F.col("p_name").alias("name"),
-            F.when(_mod("p_size", 10) == 0, "BANK").otherwise(F.col("p_type")).alias("type"),
-            F.when(_mod(key, 17) == 0, "ARCHIVED").otherwise("ACTIVE").alias("status"),
-            F.col("p_type").alias("class"),
-            F.when(_mod(key, 3) != 0, F.concat(F.col("p_name"), F.lit(" account"))).alias("description"),
-            F.when(_mod(key, 2) == 0, "NONE").otherwise("TAX20").alias("tax_type"),
-            F.when(F.col("p_size") == 1, "DEBTORS").alias("system_account"),
-            F.when(_mod(key, 23) != 0, _mod("p_size", 2) == 0).alias("enable_payments"),
-            _after(ts_literal("2001-06-01 00:00:00"), days=_mod(key, 28)).alias("source_updated_at"),
+        rows = self.read("part").join(self._lead_connection, F.expr("p_partkey % 5 = n_regionkey"), "inner")
+        return rows.selectExpr(
+            "string(n_nationkey) AS connection_id", "string(n_regionkey) AS tenant_id", "string(p_partkey) AS source_id",
+            "p_brand AS code", "p_name AS name", "if(p_size % 10 = 0, 'BANK', p_type) AS type",
+            "if(p_partkey % 17 = 0, 'ARCHIVED', 'ACTIVE') AS status", "p_type AS class",
+            "if(p_partkey % 3 <> 0, concat(p_name, ' account'), null) AS description",
+            "if(p_partkey % 2 = 0, 'NONE', 'TAX20') AS tax_type", "if(p_size = 1, 'DEBTORS', null) AS system_account",
+            "if(p_partkey % 23 <> 0, p_size % 2 = 0, null) AS enable_payments",
+            "TIMESTAMP_NTZ'2001-06-01 00:00:00' + make_dt_interval(int(p_partkey % 28)) AS source_updated_at",
         )
 
     # ── invoices ─────────────────────────────────────────────────────────────
@@ -138,35 +130,28 @@ class Ledger:
         """Orders with the connection and tenant of their customer."""
         customers = self.read("customer").select("c_custkey", "c_name", "c_nationkey")
         owned = self.read("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"), "inner")
-        return self._with_tenant(owned, F.col("c_nationkey"))
+        return self._with_tenant(owned, "c_nationkey")
 
     @cached_property
     def raw_invoices(self) -> DataFrame:
-        key, day = "o_orderkey", F.col("o_orderdate").cast("date")
-        total, paid = _money(F.col("o_totalprice")), F.col("o_orderstatus") == "F"
-        tax = _money(total * F.lit(0.2).cast("decimal(2,1)"))
-        status = (
-            F.when(paid, "PAID").when(F.col("o_orderstatus") == "O", "AUTHORISED")
-            .when(F.col("o_orderpriority") == "1-URGENT", "VOIDED").when(F.col("o_orderpriority") == "2-HIGH", "DELETED")
-            .when(F.col("o_orderpriority") == "5-LOW", "DRAFT").otherwise("SUBMITTED")
-        )
-        nothing = _money(F.lit(0))
-        return self._orders.select(
-            "connection_id", "tenant_id", _text(key).alias("source_id"),
-            F.concat(F.lit("INV-"), F.lpad(_text(key), 10, "0")).alias("invoice_number"),
-            F.when(_mod(key, 3) == 0, "ACCPAY").otherwise("ACCREC").alias("type"), status.alias("status"),
-            F.concat(F.when(_mod(key, 11) == 0, "X").otherwise("C"), _text("o_custkey")).alias("contact_id"),
-            F.col("c_name").alias("contact_name"), day.alias("date"),
-            F.when(_mod(key, 13) != 0, F.date_add(day, 30)).alias("due_date"),
-            F.when(paid, nothing).otherwise(total).alias("amount_due"),
-            F.when(paid, total).otherwise(nothing).alias("amount_paid"),
-            F.when(_mod(key, 4) != 0, nothing).alias("amount_credited"),
-            _money(total - tax).alias("subtotal"), tax.alias("total_tax"), total.alias("total"),
-            F.when(_mod(key, 7) == 0, "EUR").otherwise("GBP").alias("currency_code"),
-            F.when(_mod(key, 9) != 0, F.when(_mod(key, 7) == 0, F.lit("1.15")).otherwise(F.lit("1"))
-                   .cast("decimal(20,10)")).alias("currency_rate"),
-            F.col("o_orderpriority").alias("reference"),
-            _after(F.col("o_orderdate"), seconds=F.lit(3600)).alias("source_updated_at"),
+        amounts = self._orders.selectExpr("*", f"{MONEY.format('o_totalprice')} AS total").selectExpr(
+            "*", f"{MONEY.format('total * 0.2BD')} AS tax")
+        nothing = MONEY.format("0")
+        return amounts.selectExpr(
+            "connection_id", "tenant_id", "string(o_orderkey) AS source_id",
+            "concat('INV-', lpad(string(o_orderkey), 10, '0')) AS invoice_number",
+            "if(o_orderkey % 3 = 0, 'ACCPAY', 'ACCREC') AS type",
+            """CASE o_orderstatus WHEN 'F' THEN 'PAID' WHEN 'O' THEN 'AUTHORISED' ELSE
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'VOIDED' WHEN '2-HIGH' THEN 'DELETED' WHEN '5-LOW' THEN 'DRAFT'
+               ELSE 'SUBMITTED' END END AS status""",
+            "concat(if(o_orderkey % 11 = 0, 'X', 'C'), string(o_custkey)) AS contact_id", "c_name AS contact_name",
+            "date(o_orderdate) AS date", "if(o_orderkey % 13 <> 0, date_add(date(o_orderdate), 30), null) AS due_date",
+            f"if(o_orderstatus = 'F', {nothing}, total) AS amount_due", f"if(o_orderstatus = 'F', total, {nothing}) AS amount_paid",
+            f"if(o_orderkey % 4 <> 0, {nothing}, null) AS amount_credited",
+            f"{MONEY.format('total - tax')} AS subtotal", "tax AS total_tax", "total",
+            "if(o_orderkey % 7 = 0, 'EUR', 'GBP') AS currency_code",
+            "if(o_orderkey % 9 <> 0, cast(if(o_orderkey % 7 = 0, '1.15', '1') AS decimal(20,10)), null) AS currency_rate",
+            "o_orderpriority AS reference", "o_orderdate + INTERVAL '1' HOUR AS source_updated_at",
         )
 
     LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
@@ -176,25 +161,22 @@ class Ledger:
         """Latest delivery per (order, line number); the table holds repeats."""
         return pick_winner(self.read("lineitem"), ("l_orderkey", "l_linenumber"), [F.desc(c) for c in self.LINE_ORDER])
 
-    def _line_columns(self) -> list[Column]:
-        price = _money(F.col("l_extendedprice"))
-        return [
-            _text("l_orderkey").alias("source_invoice_id"), _text("l_linenumber").alias("source_id"),
-            F.when(_mod("l_linenumber", 4) != 0, F.concat(F.lit("Part "), _text("l_partkey"))).alias("description"),
-            F.col("l_quantity").cast("decimal(20,6)").alias("quantity"),
-            F.col("l_extendedprice").cast("decimal(15,4)").alias("unit_amount"), price.alias("line_amount"),
-            F.when(_mod("l_linenumber", 6) != 0, F.concat(F.lit("Brand#"), _text(_mod("l_partkey", 25) + 1)))
-            .alias("account_code"),
-            F.col("l_returnflag").alias("tax_type"),
-            _money(price * F.col("l_tax").cast("decimal(4,2)")).alias("tax_amount"),
-            _text("l_partkey").alias("item_code"),
-        ]
+    LINE_COLUMNS = (
+        "string(l_orderkey) AS source_invoice_id", "string(l_linenumber) AS source_id",
+        "if(l_linenumber % 4 <> 0, concat('Part ', string(l_partkey)), null) AS description",
+        "cast(l_quantity AS decimal(20,6)) AS quantity", "cast(l_extendedprice AS decimal(15,4)) AS unit_amount",
+        f"{MONEY.format('l_extendedprice')} AS line_amount",
+        "if(l_linenumber % 6 <> 0, concat('Brand#', string(l_partkey % 25 + 1)), null) AS account_code",
+        "l_returnflag AS tax_type",
+        f"{MONEY.format(MONEY.format('l_extendedprice') + ' * cast(l_tax AS decimal(4,2))')} AS tax_amount",
+        "string(l_partkey) AS item_code",
+    )
 
     @cached_property
     def raw_invoice_lines(self) -> DataFrame:
         owners = self._orders.select("o_orderkey", "connection_id", "tenant_id")
         joined = self._lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
-        return joined.select("connection_id", "tenant_id", *self._line_columns())
+        return joined.selectExpr("connection_id", "tenant_id", *self.LINE_COLUMNS)
 
     # ── money movements from the event table ─────────────────────────────────
     @cached_property
@@ -206,55 +188,45 @@ class Ledger:
         owners = self._orders.select("o_orderkey", "connection_id", "tenant_id")
         purchases = events.filter(F.col("event_type") == "purchase")
         rows = purchases.join(owners, F.col("event_id") == F.col("o_orderkey"), "inner")
-        key = "event_id"
-        applied = _mod(key, 10) != 0
-        return rows.select(
-            "connection_id", "tenant_id", F.concat(F.lit("P"), _text(key)).alias("source_id"),
-            F.col("ts").cast("date").alias("date"), _money(F.col("value")).alias("amount"),
-            F.when(_mod(key, 6) != 0, F.concat(F.lit("PAY-"), _text(key))).alias("reference"),
-            (_mod(key, 2) == 0).alias("is_reconciled"),
-            F.when(_mod(key, 5) == 0, "DELETED").otherwise("AUTHORISED").alias("status"),
-            F.when(_mod(key, 3) == 0, "ACCPAYPAYMENT").otherwise("ACCRECPAYMENT").alias("payment_type"),
-            F.lit("1").cast("decimal(20,10)").alias("currency_rate"),
-            F.when(applied, _text(key)).alias("invoice_id"),
-            F.when(applied, F.concat(F.lit("INV-"), F.lpad(_text(key), 10, "0"))).alias("invoice_number"),
-            _text("user_id").alias("account_id"),
-            F.concat(F.lit("Brand#"), _text(_mod("user_id", 25) + 1)).alias("account_code"),
-            F.date_trunc("millisecond", "ts").cast("timestamp_ntz").alias("source_updated_at"),
+        return rows.selectExpr(
+            "connection_id", "tenant_id", "concat('P', string(event_id)) AS source_id", "date(ts) AS date",
+            f"{MONEY.format('value')} AS amount", "if(event_id % 6 <> 0, concat('PAY-', string(event_id)), null) AS reference",
+            "event_id % 2 = 0 AS is_reconciled", "if(event_id % 5 = 0, 'DELETED', 'AUTHORISED') AS status",
+            "if(event_id % 3 = 0, 'ACCPAYPAYMENT', 'ACCRECPAYMENT') AS payment_type",
+            "cast('1' AS decimal(20,10)) AS currency_rate", "if(event_id % 10 <> 0, string(event_id), null) AS invoice_id",
+            "if(event_id % 10 <> 0, concat('INV-', lpad(string(event_id), 10, '0')), null) AS invoice_number",
+            "string(user_id) AS account_id", "concat('Brand#', string(user_id % 25 + 1)) AS account_code",
+            "cast(date_trunc('millisecond', ts) AS timestamp_ntz) AS source_updated_at",
         )
 
     def _events_of_connection(self, *types: str) -> DataFrame:
         events = self.read("events").filter(F.col("event_type").isin(*types))
-        return self._with_tenant(events, _mod("user_id", 25))
+        return self._with_tenant(events, "user_id % 25")
 
     @cached_property
     def raw_bank_transactions(self) -> DataFrame:
-        key, total = "event_id", _money(F.col("value"))
-        tax = _money(total * F.lit(0.2).cast("decimal(2,1)"))
-        return self._events_of_connection("click", "view").select(
-            "connection_id", "tenant_id", F.concat(F.lit("B"), _text(key)).alias("source_id"),
-            F.when(F.col("event_type") == "click", "SPEND").otherwise("RECEIVE").alias("type"),
-            F.when(_mod(key, 8) == 0, "DELETED").otherwise("AUTHORISED").alias("status"),
-            F.when(_mod(key, 4) != 0, F.concat(F.lit("BT-"), _text(key))).alias("reference"),
-            (_mod(key, 3) == 0).alias("is_reconciled"), F.col("ts").cast("date").alias("date"),
-            _money(total - tax).alias("subtotal"), tax.alias("total_tax"), total.alias("total"),
-            F.lit("GBP").alias("currency_code"), F.lit("1").cast("decimal(20,10)").alias("currency_rate"),
-            _text("user_id").alias("bank_account_id"),
-            F.concat(F.lit("Brand#"), _text(_mod("user_id", 25) + 1)).alias("bank_account_code"),
-            F.concat(F.lit("Account "), _text("user_id")).alias("bank_account_name"),
-            F.when(_mod(key, 9) != 0, F.concat(F.lit("C"), _text("user_id"))).alias("contact_id"),
-            F.when(_mod(key, 9) != 0, F.concat(F.lit("Contact "), _text("user_id"))).alias("contact_name"),
-            F.date_trunc("millisecond", "ts").cast("timestamp_ntz").alias("source_updated_at"),
+        events = self._events_of_connection("click", "view").selectExpr("*", f"{MONEY.format('value')} AS total").selectExpr(
+            "*", f"{MONEY.format('total * 0.2BD')} AS tax")
+        return events.selectExpr(
+            "connection_id", "tenant_id", "concat('B', string(event_id)) AS source_id",
+            "if(event_type = 'click', 'SPEND', 'RECEIVE') AS type", "if(event_id % 8 = 0, 'DELETED', 'AUTHORISED') AS status",
+            "if(event_id % 4 <> 0, concat('BT-', string(event_id)), null) AS reference", "event_id % 3 = 0 AS is_reconciled",
+            "date(ts) AS date", f"{MONEY.format('total - tax')} AS subtotal", "tax AS total_tax", "total", "'GBP' AS currency_code",
+            "cast('1' AS decimal(20,10)) AS currency_rate", "string(user_id) AS bank_account_id",
+            "concat('Brand#', string(user_id % 25 + 1)) AS bank_account_code",
+            "concat('Account ', string(user_id)) AS bank_account_name",
+            "if(event_id % 9 <> 0, concat('C', string(user_id)), null) AS contact_id",
+            "if(event_id % 9 <> 0, concat('Contact ', string(user_id)), null) AS contact_name",
+            "cast(date_trunc('millisecond', ts) AS timestamp_ntz) AS source_updated_at",
         )
 
     @cached_property
     def raw_manual_journals(self) -> DataFrame:
-        key = "event_id"
-        return self._events_of_connection("signup").select(
-            "connection_id", "tenant_id", F.concat(F.lit("J"), _text(key)).alias("source_id"),
-            F.concat(F.lit("signup "), _text(key)).alias("narration"), F.col("ts").cast("date").alias("date"),
-            F.when(_mod(key, 4) == 0, "DRAFT").otherwise("POSTED").alias("status"),
-            F.date_trunc("millisecond", "ts").cast("timestamp_ntz").alias("source_updated_at"),
+        return self._events_of_connection("signup").selectExpr(
+            "connection_id", "tenant_id", "concat('J', string(event_id)) AS source_id",
+            "concat('signup ', string(event_id)) AS narration", "date(ts) AS date",
+            "if(event_id % 4 = 0, 'DRAFT', 'POSTED') AS status",
+            "cast(date_trunc('millisecond', ts) AS timestamp_ntz) AS source_updated_at",
         )
 
     # ── warehouse ────────────────────────────────────────────────────────────
@@ -293,36 +265,29 @@ class Ledger:
     # ── run log ──────────────────────────────────────────────────────────────
     @cached_property
     def sync_runs(self) -> DataFrame:
-        key, at = "o_orderkey", F.col("o_orderdate")
-        status = F.when(F.col("o_orderstatus") == "O", "completed").when(F.col("o_orderstatus") == "F", "failed").otherwise("running")
-        ended = F.col("o_orderstatus") != "P"
-        runs = self.read("orders").withColumn("_nation", _mod(key, 25))
-        runs = runs.join(self._nation_tenant, F.col("_nation") == F.col("n_nationkey"), "inner")
-        return runs.select(
-            _text(key).alias("id"), _text("n_nationkey").alias("connection_id"), _text("n_regionkey").alias("tenant_id"),
-            status.alias("status"),
-            F.when(F.col("o_orderpriority") == "1-URGENT", "manual").when(F.col("o_orderpriority") == "2-HIGH", "webhook")
-            .otherwise("scheduled").alias("triggered_by"),
-            at.alias("started_at"), F.when(ended, _after(at, seconds=_mod(key, 3600))).alias("completed_at"),
-            F.when(ended, (_mod(key, 3600) * 1000).cast("int")).alias("duration_ms"),
-            F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("sync failed: "), F.col("o_orderpriority"))).alias("error"),
-            at.alias("created_at"),
+        runs = self._with_tenant(self.read("orders"), "o_orderkey % 25")
+        return runs.selectExpr(
+            "string(o_orderkey) AS id", "connection_id", "tenant_id",
+            "CASE o_orderstatus WHEN 'O' THEN 'completed' WHEN 'F' THEN 'failed' ELSE 'running' END AS status",
+            "CASE o_orderpriority WHEN '1-URGENT' THEN 'manual' WHEN '2-HIGH' THEN 'webhook' ELSE 'scheduled' END AS triggered_by",
+            "o_orderdate AS started_at",
+            "if(o_orderstatus <> 'P', o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 3600), null) AS completed_at",
+            "if(o_orderstatus <> 'P', int(o_orderkey % 3600 * 1000), null) AS duration_ms",
+            "if(o_orderstatus = 'F', concat('sync failed: ', o_orderpriority), null) AS error", "o_orderdate AS created_at",
         )
 
     ENTITIES = ("invoices", "contacts", "payments", "bank_transactions", "accounts", "manual_journals", "reports")
 
     @cached_property
     def sync_run_steps(self) -> DataFrame:
-        entity = F.element_at(F.array(*[F.lit(e) for e in self.ENTITIES]), F.col("l_linenumber"))
-        flag, at = F.col("l_returnflag"), F.col("l_shipdate")
-        return self._lines.select(
-            F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber")).alias("id"),
-            _text("l_orderkey").alias("sync_run_id"), entity.alias("entity"),
-            F.when(flag == "A", "completed").when(flag == "R", "failed").otherwise("skipped").alias("status"),
-            F.col("l_quantity").cast("int").alias("records_synced"), F.col("l_linenumber").alias("records_failed"),
-            at.alias("started_at"), F.when(flag != "N", _after(at, seconds=_mod("l_partkey", 600))).alias("completed_at"),
-            F.when(flag == "R", F.concat(F.lit("step failed: "), _text("l_suppkey"))).alias("error"),
-            at.alias("created_at"),
+        entities = ", ".join(f"'{e}'" for e in self.ENTITIES)
+        return self._lines.selectExpr(
+            "concat_ws('-', string(l_orderkey), string(l_linenumber)) AS id", "string(l_orderkey) AS sync_run_id",
+            f"element_at(array({entities}), l_linenumber) AS entity",
+            "CASE l_returnflag WHEN 'A' THEN 'completed' WHEN 'R' THEN 'failed' ELSE 'skipped' END AS status",
+            "int(l_quantity) AS records_synced", "l_linenumber AS records_failed", "l_shipdate AS started_at",
+            "if(l_returnflag <> 'N', l_shipdate + make_dt_interval(0, 0, 0, l_partkey % 600), null) AS completed_at",
+            "if(l_returnflag = 'R', concat('step failed: ', string(l_suppkey)), null) AS error", "l_shipdate AS created_at",
         )
 
     @cached_property
@@ -561,7 +526,7 @@ class Ledger:
             "AccountCode": "account_code", "TaxType": "tax_type", "TaxAmount": "tax_amount", "LineAmount": "line_amount",
             "ItemCode": "item_code",
         }
-        nested = self._lines.select(*self._line_columns()).groupBy("source_invoice_id").agg(
+        nested = self._lines.selectExpr(*self.LINE_COLUMNS).groupBy("source_invoice_id").agg(
             F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(w) for w, c in line.items()]))).alias("items"))
         owners = self._orders.select(_text("o_orderkey").alias("source_id"), "connection_id", "tenant_id")
         rows = owners.join(nested, F.col("source_id") == F.col("source_invoice_id"), "left")
