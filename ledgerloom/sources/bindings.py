@@ -9,8 +9,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerloom.functions.dates import date_literal, format_wire_date, month_start, ts_literal
-from ledgerloom.functions.keys import surrogate_key
+from ledgerloom.functions.dates import date_literal, format_wire_date, ts_literal
 from ledgerloom.functions.text import slugify
 from ledgerloom.operators import reports, star, statements
 from ledgerloom.operators.merge import apply_line_edits, pick_winner

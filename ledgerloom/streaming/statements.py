@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.operators.statements import IDENTITY, dedup
+from ledgerloom.operators.statements import dedup
 
 
 def create_table(existing: DataFrame, table: str) -> None:
