@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -23,6 +26,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if any("ledgerloom-code" in f for f in context.listFiles):
+        return
+    top = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(), f"ledgerloom-code-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in [top / "__init__.py", *sorted((top / "llm").glob("*.py"))]:
+            archive.write(file, file.relative_to(top.parent))
+    context.addPyFile(path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = shared_folder(df.sparkSession, name)
