@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import exact_dedup, warc
+from ledgerloom.llm import exact_dedup, simhash, warc
 from ledgerloom.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.refine_duplicates(docs, carry=["text_sha256"])
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
