@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import exact_dedup, simhash, warc
+from ledgerloom.llm import exact_dedup, language_id, line_dedup, simhash, warc
 from ledgerloom.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs, ~language_id.held_out())
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "__lang.lang_pred", "__lang.score",
+                        "__lang.rejected")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_recurring_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -32,12 +45,56 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
+    "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_simhash": op9_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": r"""
+        WITH parts AS (
+            SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+        numbered AS (
+            SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM parts),
+        lines AS (
+            SELECT doc_id, line_no, string_split_regex(regexp_replace(
+                trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
+                '[^ \t\x0b\f\r]*[0-9][^ \t\x0b\f\r]*', '<*>', 'g'), '[ \t\x0b\f\r]+') AS words
+            FROM numbered),
+        worded AS (SELECT *, len(words) AS n, words[1] AS w1, coalesce(words[2], '') AS w2 FROM lines WHERE words[1] <> ''),
+        leaves AS (
+            SELECT n, w1, w2 FROM worded GROUP BY n, w1, w2 HAVING count(DISTINCT words) >= 10),
+        different AS (SELECT DISTINCT n, w1, w2, words FROM worded JOIN leaves USING (n, w1, w2)),
+        places AS (SELECT n, w1, w2, unnest(words) AS word, unnest(range(n)) AS place FROM different),
+        counted AS (SELECT n, w1, w2, place, word, count(*) AS c FROM places GROUP BY ALL),
+        fixed AS (
+            SELECT n, w1, w2, place, CASE WHEN max(c) > sum(c) * 0.5 THEN arg_max(word, c) END AS word
+            FROM counted GROUP BY n, w1, w2, place),
+        templates AS (
+            SELECT n, w1, w2, list(word ORDER BY place) AS template
+            FROM fixed GROUP BY n, w1, w2 HAVING count(word) >= n * 0.7),
+        covered AS (
+            SELECT words FROM different JOIN templates USING (n, w1, w2)
+            WHERE len(list_filter(range(n), lambda i: words[i + 1] = template[i + 1])) >= n * 0.7),
+        named AS (
+            SELECT doc_id, line_no, CASE WHEN words IN (SELECT words FROM covered)
+                   THEN {'leaf': [n::VARCHAR, w1, w2], 'line': NULL::VARCHAR[]}
+                   ELSE {'leaf': NULL::VARCHAR[], 'line': words} END AS template
+            FROM worded),
+        recurring AS (
+            SELECT template, min((doc_id, line_no)) AS first_place
+            FROM named GROUP BY template HAVING count(DISTINCT doc_id) >= 10),
+        dropped AS (
+            SELECT doc_id, list(line_no) AS places FROM named JOIN recurring USING (template)
+            WHERE (doc_id, line_no) <> first_place GROUP BY doc_id)
+        SELECT doc_id, CASE WHEN places IS NULL THEN text ELSE array_to_string(list_transform(
+                   list_filter(range(len(parts)), lambda i: NOT list_contains(places, i)),
+                   lambda i: parts[i + 1]), chr(10)) END AS text,
+               coalesce(len(parts), 0)::INT AS n_lines, coalesce(len(places), 0)::INT AS n_dropped
+        FROM documents JOIN parts USING (doc_id) LEFT JOIN dropped USING (doc_id)
+    """,
     "op5_warc": """
         WITH payloads AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
