@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import exact_dedup, language_id, line_dedup, simhash, warc
+from ledgerloom.llm import exact_dedup, language_id, line_dedup, packing, simhash, warc
 from ledgerloom.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,12 +44,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_simhash": op9_simhash,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
