@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import exact_dedup, language_id, line_dedup, packing, simhash, warc
+from ledgerloom.llm import exact_dedup, language_id, line_dedup, packing, simhash, warc, wavelet
 from ledgerloom.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.refine_duplicates(docs, carry=["text_sha256"])
 
 
+def op8_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.store_and_read(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_wavelet_shards": op8_wavelet_shards,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
