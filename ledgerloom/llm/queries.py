@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import exact_dedup, language_id, line_dedup, packing, simhash, warc, wavelet
+from ledgerloom.llm import exact_dedup, html_text, language_id, line_dedup, packing, simhash, warc, wavelet
 from ledgerloom.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", F.col("__text").alias("text"), F.char_length("__text").cast("long").alias("n_chars"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(_table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -55,6 +60,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
+    "op4_html_text": op4_html_text,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_wavelet_shards": op8_wavelet_shards,
