@@ -47,7 +47,7 @@ _ATTRIBUTE = re.compile(
 _BASE, _INSIDE, _OUTSIDE, _MARKED = -1.0, 6.0, -16.0, -13.0
 _PER_CHAR, _CHARS, _LINKS, _SHORT, _HEADING, _PARAGRAPH, _ITEM = 0.012, 350, -5.0, -1.0, 0.7, 0.5, -0.5
 # Weights of the smoothness edges: next to each other, and next in the same parent.
-_ADJACENT, _SIBLING, _UNIT = 0.5, 0.7, 1000
+_ADJACENT, _SIBLING, _UNIT = 0.6, 1.0, 1000
 
 
 @dataclass
@@ -197,7 +197,7 @@ def log_odds(block: Block) -> float:
         score += _PARAGRAPH
     elif block.tag in ("li", "td", "th"):
         score += _ITEM
-    if len(block.text) < 25 and block.text[-1] not in ".!?:;\"'»”…":
+    if len(block.text) < 25 and not block.tag[1:].isdigit() and block.text[-1] not in ".!?:;\"'»”…":
         score += _SHORT
     return score
 
