@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import exact_dedup, html_text, language_id, line_dedup, packing, simhash, warc, wavelet
+from ledgerloom.llm import bpe, exact_dedup, html_text, language_id, line_dedup, packing, simhash, warc, wavelet
 from ledgerloom.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.refine_duplicates(docs, carry=["text_sha256"])
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(_table(spark, sf_dir, "documents"))
+
+
 def op8_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.store_and_read(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op4_html_text": op4_html_text,
     "op5_warc": op5_warc,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_bpe": op7_bpe,
     "op8_wavelet_shards": op8_wavelet_shards,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
