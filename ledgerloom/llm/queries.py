@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, html_text, language_id, line_dedup, packing, simhash, warc, wavelet
+from ledgerloom.llm import bpe, embedding_dedup, exact_dedup, html_text, language_id, line_dedup, packing, simhash, warc, wavelet
 from ledgerloom.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.train(docs, ~language_id.held_out())
@@ -62,6 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_language_id": op2_language_id,
     "op3_line_dedup": op3_line_dedup,
     "op4_html_text": op4_html_text,
