@@ -18,7 +18,6 @@ from ledgerloom.functions.text import report_amount
 SECTION, ROW, SUMMARY = "Section", "Row", "SummaryRow"
 DEFAULT_ROW_NAME, DEFAULT_SUMMARY_NAME, DEFAULT_TOP_SUMMARY_NAME = "", "Total", "Net Profit"
 ACCOUNT_ATTRIBUTE = "account"
-MAX_DEPTH = 8
 
 CELLS = "array<struct<Value:string,Attributes:array<struct<Id:string,Value:string>>>>"
 
@@ -119,24 +118,25 @@ def flatten_profit_and_loss(snapshots: DataFrame) -> DataFrame:
         "account_source_id", "account_name", "value", "row_type"])
 
 
-def flatten_balance_sheet(snapshots: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def flatten_balance_sheet(snapshots: DataFrame) -> DataFrame:
     """Rows at any depth: outermost title is the section, innermost the sub-section.
 
-    A top section without title hands its role to its children. Sections are opened level
-    by level; a tree deeper than ``max_depth`` fails the job instead of losing rows.
+    A top section without title hands its role to its children. Sections are opened level by level, each tree as
+    often as it has levels; the number of child lists in its text is an upper bound of that.
     """
-    opened = _top_level(snapshots)
+    opened = _top_level(snapshots.withColumn("_lists", F.regexp_count("raw", F.lit(r'\\?"Rows\\?"'))))
 
     def open_one(n: Column, child: Column) -> Column:
         title = _text(n["node"], "$.Title")
         return _node(child, F.coalesce(n["section"], title),
                      F.when(n["section"].isNotNull(), title), n["depth"] + 1)
 
-    for _ in range(max_depth):
-        opened = opened.withColumn("nodes", _open_sections(F.col("nodes"), open_one))
-    too_deep = F.exists("nodes", lambda n: n["row_type"] == SECTION)
-    message = F.lit(f"report tree has sections below level {max_depth}; raise max_depth")
-    opened = opened.withColumn("nodes", F.when(too_deep, F.raise_error(message)).otherwise(F.col("nodes")))
+    def next_level(nodes: Column, _: Column) -> Column:
+        left = F.exists(nodes, lambda n: n["row_type"] == SECTION)
+        return F.when(left, _open_sections(nodes, open_one)).otherwise(nodes)
+
+    levels = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_lists")))
+    opened = opened.withColumn("nodes", F.reduce(levels, F.col("nodes"), next_level)).drop("_lists")
     rows = _emit(opened, {"value": _cell_amount(1)})
     return _with_id("fact_balance_sheet_snapshot", rows, [
         "snapshot_id", "tenant_id", "period_date", "row_order", "section", "sub_section", "account_source_id",

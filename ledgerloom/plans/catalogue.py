@@ -33,18 +33,12 @@ def query(fn: Query) -> Query:
 class Tables:
     """Mapping view of a ledger: ``tables["fact_invoice"]`` binds that table on first use."""
 
-    NAMES = {"fact_trial_balance", "fact_profit_and_loss", "fact_balance_sheet"}
-
     def __init__(self, ledger: Ledger, **overrides: DataFrame):
         self.ledger, self.overrides = ledger, overrides
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.overrides[name] if name in self.overrides else getattr(self.ledger, name)
 
-    def keys(self):
-        return [n for n in (
-            "tenants", "connections", "sync_runs", "sync_run_steps", "sync_checkpoints", "upload_batches", *self.overrides)]
-
 
 # ── ingest ───────────────────────────────────────────────────────────────────
 
@@ -212,10 +206,10 @@ def apply_line_edits(ledger: Ledger) -> DataFrame:
 def checkpoint_advance(ledger: Ledger) -> DataFrame:
     """Cursors moved to the start of the last run that completed for a connection."""
     checkpoints = ledger.sync_checkpoints
-    finished = ledger.sync_runs.filter(F.col("status") == "completed").groupBy("connection_id").agg(
-        F.max("started_at").alias("last_modified_at"), F.max(F.col("id").cast("bigint")).alias("_run"))
-    advance = finished.select("connection_id", F.lit("invoices").alias("entity"), "last_modified_at",
-                              _text("_run").alias("last_run_id"))
+    last = F.max(F.struct("started_at", F.col("id").cast("bigint").alias("run")))
+    finished = ledger.sync_runs.filter(F.col("status") == "completed").groupBy("connection_id").agg(last.alias("_last"))
+    advance = finished.select("connection_id", F.lit("invoices").alias("entity"),
+                              F.col("_last.started_at").alias("last_modified_at"), _text("_last.run").alias("last_run_id"))
     return merge.checkpoint_advance(checkpoints, advance)
 
 
@@ -428,7 +422,7 @@ def admin_stale_entities(ledger: Ledger) -> DataFrame:
 
 @query
 def admin_uploads(ledger: Ledger) -> DataFrame:
-    return ops.uploads(Tables(ledger))
+    return ops.uploads(Tables(ledger), limit=ops.PAGE_ROWS)
 
 
 @query
@@ -443,7 +437,7 @@ def connections_last_run(ledger: Ledger) -> DataFrame:
 
 @query
 def recent_runs(ledger: Ledger) -> DataFrame:
-    return ops.recent_runs(Tables(ledger))
+    return ops.recent_runs(Tables(ledger), limit=ops.PAGE_ROWS)
 
 
 @query

@@ -15,17 +15,13 @@ from ledgerloom.plans.views import of_tenant
 
 Tables = Mapping[str, DataFrame]
 
-# Paging and look-back limits.
-DEFAULT_LIMIT, MAX_LIMIT = 50, 200
-DEFAULT_HOURS, MAX_HOURS = 24, 168
-
-
-def clamp_limit(limit: int | None) -> int:
-    return min(DEFAULT_LIMIT if limit is None else limit, MAX_LIMIT)
+# Usual page size and look-back of the surfaces. Callers may ask for any; no limit means all rows.
+PAGE_ROWS, LOOK_BACK_HOURS = 50, 24
 
 
 def newest(df: DataFrame, limit: int | None, *tie: str) -> DataFrame:
-    return df.orderBy(F.desc("created_at"), *[F.desc(c) for c in tie]).limit(clamp_limit(limit))
+    ordered = df.orderBy(F.desc("created_at"), *[F.desc(c) for c in tie])
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def _tenant_connections(tables: Tables, tenant_id: str | None = None) -> DataFrame:
@@ -88,9 +84,9 @@ def _with_names(rows: DataFrame, tables: Tables, key: str = "id") -> DataFrame:
                   spread_by=(key,), how="inner", hot_keys=True)
 
 
-def _summarise(runs: DataFrame, tables: Tables) -> DataFrame:
+def _summarise(runs: DataFrame, steps: DataFrame, tables: Tables) -> DataFrame:
     rows = _with_names(runs, tables)
-    rows = rows.join(_step_totals(tables["sync_run_steps"]), F.col("id") == F.col("_run"), "left")
+    rows = rows.join(_step_totals(steps), F.col("id") == F.col("_run"), "left")
     return rows.select(
         "id", "tenant_id", "tenant_name", "connection_id", "org_name", "status", "triggered_by", "started_at",
         "completed_at", "duration_ms", "error", "created_at",
@@ -99,7 +95,10 @@ def _summarise(runs: DataFrame, tables: Tables) -> DataFrame:
 
 def run_summary(tables: Tables, tenant_id: str | None = None) -> DataFrame:
     """Runs with their step counts; steps are pre-aggregated per run before the join."""
-    return _summarise(of_tenant(tables["sync_runs"], tenant_id), tables)
+    runs, steps = of_tenant(tables["sync_runs"], tenant_id), tables["sync_run_steps"]
+    if tenant_id is not None:
+        steps = steps.join(runs.select(F.col("id").alias("sync_run_id")), "sync_run_id", "left_semi")
+    return _summarise(runs, steps, tables)
 
 
 def run_history(tables: Tables, status: str | None = None, tenant_id: str | None = None, limit: int | None = None) -> DataFrame:
@@ -112,14 +111,14 @@ def run_history(tables: Tables, status: str | None = None, tenant_id: str | None
     known = known.join(tables["tenants"].select(F.col("id").alias("tenant_id")), "tenant_id", "left_semi")
     page = newest(known, limit, "id")
     steps = tables["sync_run_steps"].join(page.select(F.col("id").alias("sync_run_id")), "sync_run_id", "left_semi")
-    return newest(_summarise(page, {**tables, "sync_run_steps": steps}), limit, "id")
+    return newest(_summarise(page, steps, tables), limit, "id")
 
 
 def run_detail(tables: Tables, run_id: str) -> DataFrame:
     """One run with one row per step and the step's own duration."""
-    run = run_summary({**tables, "sync_run_steps": tables["sync_run_steps"].filter(F.col("sync_run_id") == run_id),
-                       "sync_runs": tables["sync_runs"].filter(F.col("id") == run_id)})
-    steps = tables["sync_run_steps"].filter(F.col("sync_run_id") == run_id).select(
+    own = tables["sync_run_steps"].filter(F.col("sync_run_id") == run_id)
+    run = _summarise(tables["sync_runs"].filter(F.col("id") == run_id), own, tables)
+    steps = own.select(
         F.col("sync_run_id").alias("_run"), F.col("id").alias("step_id"), F.col("entity").alias("step_entity"),
         F.col("status").alias("step_status"), "records_synced", "records_failed",
         F.col("started_at").alias("step_started_at"), F.col("completed_at").alias("step_completed_at"),
@@ -207,14 +206,17 @@ def tenant_overview(tables: Tables, as_of: Column) -> DataFrame:
 
 
 def uploads(tables: Tables, tenant_id: str | None = None, status: str | None = None, limit: int | None = None) -> DataFrame:
-    """Newest upload batches with their line counts; lines are pre-aggregated per batch."""
+    """Newest upload batches with their line counts. The page is cut first: only lines of its batches are counted."""
     batches = of_tenant(tables["upload_batches"], tenant_id)
     if status is not None:
         batches = batches.filter(F.col("status") == status)
-    named = attach(batches, tables["tenants"], {"tenant_id": "id"}, {"tenant_name": "name"}, spread_by=("id",),
-                   how="inner", hot_keys=True)
-    page = newest(named, limit, "id")
-    lines = tables["statement_lines"].groupBy(F.col("batch_id").alias("_batch")).agg(
+    known = batches.join(tables["tenants"].select(F.col("id").alias("tenant_id")), "tenant_id", "left_semi")
+    page = attach(newest(known, limit, "id"), tables["tenants"], {"tenant_id": "id"}, {"tenant_name": "name"},
+                  spread_by=("id",), how="inner", hot_keys=True)
+    lines = of_tenant(tables["statement_lines"], tenant_id)
+    if limit is not None or status is not None:
+        lines = lines.join(page.select(F.col("id").alias("batch_id")), "batch_id", "left_semi")
+    lines = lines.groupBy(F.col("batch_id").alias("_batch")).agg(
         F.count(F.lit(1)).alias("total_lines"), F.count_if("approved").alias("approved_lines"),
         F.count_if(~F.col("approved")).alias("pending_lines"))
     rows = page.join(lines, F.col("id") == F.col("_batch"), "left")
@@ -226,20 +228,31 @@ def uploads(tables: Tables, tenant_id: str | None = None, status: str | None = N
     ).orderBy(F.desc("created_at"), F.desc("id"))
 
 
-def errors(tables: Tables, as_of: Column, hours: int = DEFAULT_HOURS, limit: int | None = None) -> DataFrame:
+def errors(tables: Tables, as_of: Column, hours: int = LOOK_BACK_HOURS, limit: int | None = None) -> DataFrame:
     """Failed runs, steps and uploads of the last hours in one list, newest first."""
-    since = hours_before(as_of, min(hours, MAX_HOURS))
+    since = hours_before(as_of, hours)
     recent_failure = (F.col("status") == "failed") & (F.col("created_at") > since)
+    connections = tables["connections"].select(F.col("id").alias("connection_id"))
+    tenants = tables["tenants"].select(F.col("id").alias("tenant_id"))
+
+    def visible(df: DataFrame) -> DataFrame:
+        """Rows of a known connection and tenant, cut to the newest: no branch can give more to the page."""
+        known = df.join(connections, "connection_id", "left_semi") if "connection_id" in df.columns else df
+        return newest(known.join(tenants, "tenant_id", "left_semi"), limit, "id")
 
     def shape(df: DataFrame, source: str, org: Column, context: str) -> DataFrame:
         return df.select(F.lit(source).alias("source"), "id", "tenant_name", org.alias("org_name"), "status", "error",
                          F.col(context).alias("context"), "created_at")
 
-    runs = _with_names(tables["sync_runs"].filter(recent_failure), tables)
+    runs = _with_names(visible(tables["sync_runs"].filter(recent_failure)), tables)
     failed_steps = tables["sync_run_steps"].filter(recent_failure)
-    owners = tables["sync_runs"].select(F.col("id").alias("_run"), "connection_id", "tenant_id")
-    steps = _with_names(failed_steps.join(owners, F.col("sync_run_id") == F.col("_run"), "inner"), tables)
-    batches = attach(tables["upload_batches"].filter(recent_failure), tables["tenants"], {"tenant_id": "id"},
+    # the log is read only for the runs of those steps
+    owners = tables["sync_runs"].join(
+        failed_steps.select(F.col("sync_run_id").alias("id")).distinct(), "id", "left_semi").select(
+        F.col("id").alias("_run"), "connection_id", "tenant_id")
+    steps = _with_names(
+        visible(failed_steps.join(owners, F.col("sync_run_id") == F.col("_run"), "inner").drop("_run")), tables)
+    batches = attach(visible(tables["upload_batches"].filter(recent_failure)), tables["tenants"], {"tenant_id": "id"},
                      {"tenant_name": "name"}, spread_by=("id",), how="inner", hot_keys=True)
     everything = (
         shape(runs, "sync_run", F.col("org_name"), "triggered_by")

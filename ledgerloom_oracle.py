@@ -535,8 +535,9 @@ QUERIES: dict[str, str] = {
         SELECT coalesce(n.connection_id, k.connection_id) AS connection_id, coalesce(n.entity, k.entity) AS entity,
                coalesce(n.at, k.last_modified_at) AS last_modified_at, coalesce(n.run, k.last_run_id) AS last_run_id
         FROM sync_checkpoints k FULL JOIN (
-            SELECT connection_id, 'invoices' AS entity, max(started_at) AS at, CAST(max(CAST(id AS BIGINT)) AS VARCHAR) AS run
-            FROM sync_runs WHERE status = 'completed' GROUP BY connection_id) n
+            SELECT connection_id, 'invoices' AS entity, started_at AS at, id AS run
+            FROM sync_runs WHERE status = 'completed'
+            QUALIFY row_number() OVER (PARTITION BY connection_id ORDER BY started_at DESC, CAST(id AS BIGINT) DESC) = 1) n
         ON n.connection_id = k.connection_id AND n.entity = k.entity""",
     "soft_delete_connections": f"""
         SELECT c.id, tenant_id, org_name, CASE WHEN bad > good THEN false WHEN good > bad THEN true ELSE is_active END AS is_active,
@@ -636,7 +637,7 @@ QUERIES: dict[str, str] = {
         LEFT JOIN (SELECT tenant_id, count(*) AS n FROM raw_contacts GROUP BY 1) c ON c.tenant_id = f.tenant_id
         GROUP BY f.tenant_id, tenant_name, tenant_is_active, connection_id, org_name, connection_is_active, last_run_status,
                  last_run_started_at, last_run_completed_at, last_run_duration_ms, last_run_error""",
-    "admin_run_history": f"SELECT * FROM run_summary WHERE status = 'failed' AND tenant_id = {TENANT} ORDER BY created_at DESC, id DESC LIMIT 200",
+    "admin_run_history": f"SELECT * FROM run_summary WHERE status = 'failed' AND tenant_id = {TENANT} ORDER BY created_at DESC, id DESC LIMIT 500",
     "admin_run_detail": f"""
         SELECT r.*, s.* EXCLUDE (sync_run_id), {millis('step_completed_at', 'step_started_at')} AS step_duration_ms
         FROM run_summary r {STEP_JOIN.format(extra='')} WHERE r.id = '2'""",
@@ -663,8 +664,8 @@ QUERIES: dict[str, str] = {
             UNION ALL
             SELECT 'upload', b.id, t.name, NULL, status, error, filename, b.created_at
             FROM upload_batches b JOIN tenants t ON t.id = b.tenant_id)
-        WHERE status = 'failed' AND created_at > {RUN_CLOCK} - INTERVAL '168 hours'
-        ORDER BY created_at DESC, source DESC, id DESC LIMIT 200""",
+        WHERE status = 'failed' AND created_at > {RUN_CLOCK} - INTERVAL '500 hours'
+        ORDER BY created_at DESC, source DESC, id DESC LIMIT 500""",
     "connections_last_run": """
         SELECT c.id, t.name AS tenant_name, org_name, c.is_active, r.id AS last_run_id, r.status AS last_run_status,
                r.completed_at AS last_run_at, r.duration_ms AS last_run_duration_ms, k.last_modified_at AS last_synced_at,

@@ -25,7 +25,8 @@ def test_wire_dates(spark):
         "2024-06-15T10:30:00": dt.datetime(2024, 6, 15, 10, 30),
         "2024-06-15": dt.datetime(2024, 6, 15),
         "2024-06-15T10:30:00+02:00": dt.datetime(2024, 6, 15, 8, 30),
-        "": None, None: None, "not-a-date": None, "/Date(-1000)/": None, "10:30": None,
+        "": None, None: None, "not-a-date": None, "/Date(-1000)/": None, "10:30": None, "/Date(99999999999999999)/": None,
+        "/Date(8640000000000001)/": None, "/Date(" + "9" * 40 + ")/": None, "/Date(253402300799999)/": dt.datetime(9999, 12, 31, 23, 59, 59, 999000),
     }
     assert one_by_one(spark, list(cases), dates.parse_wire_date) == list(cases.values())
 
@@ -42,7 +43,9 @@ def test_statement_dates(spark):
         "2025-03-15": d(2025, 3, 15), "15/03/2025": d(2025, 3, 15), "15-03-2025": d(2025, 3, 15),
         "15/03/2025 10:22": d(2025, 3, 15), "01 Jan 2025": d(2025, 1, 1), "03/04/2025": d(2025, 4, 3),
         "1 march 2025": d(2025, 3, 1), "Mar 5, 2025": d(2025, 3, 5), "2025/3/7": d(2025, 3, 7),
-        "31/02/2025": None, "2025-13-45": None, "soon": None,
+        "05-Jan-2024": d(2024, 1, 5), "5 Jan 24": d(2024, 1, 5), "05 Jan 2024 10:30": d(2024, 1, 5), "Tue, 5 Mar 2024": d(2024, 3, 5),
+        "Mar 5 2024": d(2024, 3, 5), "2024-3-5": d(2024, 3, 5), "Sept. 7, 99": d(1999, 9, 7), "30 Feb 2024": None, "5 Foo 2024": None,
+        "Tuesday 5 March 2024": d(2024, 3, 5), "31/02/2025": None, "2025-13-45": None, "soon": None, "Mar 2024": None, "": None, None: None,
     }
     assert one_by_one(spark, list(cases), dates.statement_date) == list(cases.values())
 

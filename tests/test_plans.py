@@ -137,7 +137,11 @@ def test_freshness_and_tenant_overview(ledger):
 
 def test_limits_and_filters(ledger):
     tables = catalogue.Tables(ledger)
-    assert (ops.clamp_limit(None), ops.clamp_limit(10), ops.clamp_limit(999)) == (50, 10, 200)
+    assert ops.recent_runs(tables, limit=300).count() == 300
+    assert ops.recent_runs(tables).count() == ledger.sync_runs.count()
+    failed = ledger.sync_run_steps.filter("status = 'failed'").count() + ledger.sync_runs.filter("status = 'failed'").count()
+    failed += ledger.upload_batches.filter("status = 'failed'").count()
+    assert ops.errors(tables, ledger.run_clock, hours=24 * 365 * 100).count() == failed > 200
     history = ops.run_history(tables, status="failed", tenant_id="1", limit=7).collect()
     assert len(history) == 7 and {r["status"] for r in history} == {"failed"} and {r["tenant_id"] for r in history} == {"1"}
     created = [r["created_at"] for r in history]
@@ -147,6 +151,14 @@ def test_limits_and_filters(ledger):
     assert len(small) <= len({r["created_at"] for r in ops.errors(tables, ledger.run_clock, hours=9999).collect()})
 
 
+def test_cursor_is_the_start_of_the_run_it_names(ledger):
+    moved = catalogue.REGISTRY["checkpoint_advance"](ledger).filter("entity = 'invoices'").alias("c")
+    runs = ledger.sync_runs.alias("r")
+    named = moved.join(runs, F.col("c.last_run_id") == F.col("r.id"))
+    assert named.count() == moved.filter("last_run_id IS NOT NULL").count() > 0
+    assert named.filter("c.last_modified_at <> r.started_at OR r.status <> 'completed'").count() == 0
+
+
 def test_metrics_row(ledger):
     got = ops.dashboard_metrics(catalogue.Tables(ledger), ledger.run_clock).collect()
     assert len(got) == 1 and len(got[0]) == 16

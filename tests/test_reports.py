@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from decimal import Decimal
 
-import pytest
+
+from conftest import rows as collected
 
 from ledgerloom.operators import reports
 
@@ -88,11 +89,14 @@ def test_empty_and_double_encoded(spark, flatten):
     assert listed(flatten(snapshots(spark, tree, encode=lambda t: json.dumps(json.dumps(t)))), "account_name") == plain == [("one",)]
 
 
-def test_tree_below_the_depth_limit_fails_loudly(spark):
-    tree = [section("A", section("B", section("C", row("deep", "1"))))]
-    assert listed(reports.flatten_balance_sheet(snapshots(spark, tree), max_depth=3), "account_name") == [("deep",)]
-    with pytest.raises(Exception, match="below level 2"):
-        reports.flatten_balance_sheet(snapshots(spark, tree), max_depth=2).collect()
+def test_tree_of_thirty_levels_flattens(spark):
+    tree = section("level 29", row("deep", "1"))
+    for level in range(28, -1, -1):
+        tree = section(f"level {level}", row(f"row {level}", "2"), tree)
+    for encode in (json.dumps, lambda t: json.dumps(json.dumps(t))):
+        got = collected(reports.flatten_balance_sheet(snapshots(spark, [tree], encode=encode)), "row_order", "account_name", "section", "sub_section")
+        assert len(got) == 30 and got[0] == (0, "row 0", "level 0", None)
+        assert sorted(got)[-1] == (29, "deep", "level 0", "level 29")
 
 
 def test_flatten_needs_no_shuffle(spark):
