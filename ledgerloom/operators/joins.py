@@ -8,34 +8,6 @@ NULL_SPREAD = 1024
 MIN_SALT, MAX_SALT = 16, 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Size estimate of a plan before optimization, or None where the session cannot tell.
-
-    It does not count what column pruning saves, so it errs on the large side, and it costs
-    no optimizer run.
-    """
-    try:
-        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-    except AttributeError:
-        return None
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Spark itself would broadcast ``df`` under the session's threshold."""
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    limit = _bytes(conf)
-    size = estimated_bytes(df)
-    return size is not None and 0 <= size <= limit
-
-
-def _bytes(text: str) -> int:
-    text = text.strip().lower()
-    for suffix, factor in (("kb", 2**10), ("mb", 2**20), ("gb", 2**30), ("k", 2**10), ("m", 2**20), ("g", 2**30), ("b", 1)):
-        if text.endswith(suffix):
-            return int(text[: -len(suffix)]) * factor
-    return int(text)
-
-
 def hot_key_salt(df: DataFrame) -> int:
     """Slots per hot key: a quarter of the shuffle partitions, within fixed bounds."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -43,7 +15,7 @@ def hot_key_salt(df: DataFrame) -> int:
 
 
 def attach(facts: DataFrame, lookup: DataFrame, keys: dict[str, str], take: dict[str, str],
-           spread_by: tuple[str, ...], how: str = "left", hot_keys: bool = False) -> DataFrame:
+           spread_by: tuple[str, ...], how: str = "left", hot_keys: bool = False, few_facts: bool = False) -> DataFrame:
     """Join ``lookup`` columns onto ``facts``; ``lookup`` must be unique on its keys.
 
     ``keys`` maps fact columns to lookup columns, ``take`` maps new names to lookup columns.
@@ -53,15 +25,16 @@ def attach(facts: DataFrame, lookup: DataFrame, keys: dict[str, str], take: dict
     * fact rows with a null key can match nothing, yet would all hash to one task; they are
       spread by a hash of ``spread_by``;
     * ``hot_keys=True`` is for lookups with one row per tenant or connection: the fact side is
-      salted and the lookup replicated, unless the lookup is small enough to be broadcast. For
+      salted and the lookup replicated, which Spark still broadcasts where it is small. For
       wide key domains (contacts, accounts, invoices) adaptive skew-join splitting divides a
       hot key at run time without replicating anything;
-    * few facts against a big lookup: the lookup is first cut down to the keys in use, a join
-      that broadcasts the facts' keys and leaves the lookup where it is.
+    * ``few_facts=True`` says that the facts are few against the lookup: it is first cut down to
+      the keys in use, a join that can broadcast the facts' keys and leave the lookup where it is.
+
+    Both are the caller's to say; the result is the same either way.
     """
-    lookup_is_small = fits_broadcast(lookup)
-    salt = hot_key_salt(facts) if hot_keys and not lookup_is_small else 1
-    if not lookup_is_small and fits_broadcast(facts):
+    salt = hot_key_salt(facts) if hot_keys else 1
+    if few_facts:
         in_use = facts.select(*[F.col(c).alias(k) for c, k in keys.items()]).distinct()
         lookup = lookup.join(in_use, list(keys.values()), "left_semi")
     row_hash = F.xxhash64(*spread_by)

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.text import slugify
-from ledgerloom.operators.joins import fits_broadcast
+from ledgerloom.operators.joins import attach
 
 
 def pick_winner(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -23,20 +23,34 @@ def pick_winner(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows; the job fails when it meets a key that occurs twice."""
+    repeats = df.withColumn("_repeats", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    message = F.concat(F.lit(f"key ({', '.join(keys)}) occurs more than once: "),
+                       F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]))
+    once = F.when(F.col("_repeats") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return repeats.filter(once).drop("_repeats")
+
+
 def keyed_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                insert_only: Sequence[str] = (), update_cols: Sequence[str] | None = None) -> DataFrame:
-    """Upsert ``source`` into ``target``; both must be unique on ``keys``.
+                insert_only: Sequence[str] = (), update_cols: Sequence[str] | None = None,
+                order: Sequence[Column] | None = None, small_source: bool = False) -> DataFrame:
+    """Upsert ``source`` into ``target``, which is unique on ``keys``.
 
     Matched rows take every update column from the source, null included; ``insert_only``
     columns keep the value of the first write. ``update_cols=None`` means all other columns.
 
-    A source small enough to broadcast is merged without moving the target; otherwise both
-    sides are shuffled once on the full key.
+    A key that the source repeats would multiply rows: with ``order`` the first row in it wins,
+    without, the job fails. Either is one pass over the source alone.
+
+    By default both sides are shuffled once on the full key. ``small_source=True`` says that the
+    source can be broadcast: the target is then merged where it is. The result is the same.
     """
     columns = target.columns
     insert_only = set(insert_only)
     updated = set(columns) - set(keys) - insert_only if update_cols is None else set(update_cols)
-    if fits_broadcast(source):
+    source = assert_unique(source, keys) if order is None else pick_winner(source, keys, order)
+    if small_source:
         return _merge_small_source(target, source, keys, columns, updated)
     return _merge_full_outer(target, source, keys, columns, updated)
 
@@ -100,9 +114,9 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def remap_keys(df: DataFrame, mapping: DataFrame, column: str, old: str, new: str) -> DataFrame:
-    """Re-point a foreign key old -> new; values without a mapping stay."""
-    pairs = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
-    joined = df.join(pairs, F.col(column) == F.col("_old"), "left")
+    """Re-point a foreign key old -> new; values without a mapping stay. An old value has one new value."""
+    pairs = assert_unique(mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new")), ["_old"])
+    joined = attach(df, pairs, {column: "_old"}, {"_new": "_new"}, tuple(df.columns), hot_keys=True)
     return joined.select(*[
         F.coalesce(F.col("_new"), F.col(column)).alias(column) if c == column else F.col(c) for c in df.columns
     ])
@@ -127,11 +141,13 @@ def backfill_connections(connections: DataFrame, tenants: DataFrame, existing: D
 EDITABLE = ("account_code", "account_name", "category", "tax_type", "notes", "approved", "approved_by")
 
 
-def apply_line_edits(lines: DataFrame, edits: DataFrame, now: Column) -> DataFrame:
+def apply_line_edits(lines: DataFrame, edits: DataFrame, now: Column,
+                     order: Sequence[Column] | None = None) -> DataFrame:
     """Sparse patch by line id: a null edit keeps the value, approval is stamped every time.
 
-    ``edits`` holds at most one row per line id.
+    Of several edits of a line the first in ``order`` counts; without it they fail the job.
     """
+    edits = assert_unique(edits, ["id"]) if order is None else pick_winner(edits, ["id"], order)
     patch = edits.select(F.col("id").alias("_id"), *[F.col(c).alias(f"_e_{c}") for c in EDITABLE])
     joined = lines.join(patch, F.col("id") == F.col("_id"), "left")
     changed = F.col("_id").isNotNull()
@@ -157,7 +173,7 @@ def reactivate(connections: DataFrame, reconnected: DataFrame, now: Column) -> D
 
 def _set_active(connections: DataFrame, ids: DataFrame, now: Column, active: bool) -> DataFrame:
     marked = ids.select(F.col("id").alias("_id")).distinct()
-    joined = connections.join(marked, F.col("id") == F.col("_id"), "left")
+    joined = attach(connections, marked, {"id": "_id"}, {"_id": "_id"}, ("id",), hot_keys=True)
     hit = F.col("_id").isNotNull()
     out = {
         "is_active": F.when(hit, F.lit(active)).otherwise(F.col("is_active")),
@@ -169,4 +185,5 @@ def _set_active(connections: DataFrame, ids: DataFrame, now: Column, active: boo
 def cascade_delete(child: DataFrame, removed_parents: DataFrame, foreign_key: str, parent_key: str = "id") -> DataFrame:
     """Child rows that survive the removal of their parents."""
     gone = removed_parents.select(F.col(parent_key).alias("_gone")).distinct()
-    return child.join(gone, F.col(foreign_key) == F.col("_gone"), "left_anti")
+    marked = attach(child, gone, {foreign_key: "_gone"}, {"_gone": "_gone"}, tuple(child.columns), hot_keys=True)
+    return marked.filter(F.col("_gone").isNull()).select(*child.columns)

@@ -72,14 +72,23 @@ def fact_invoice(raw: DataFrame, contacts: DataFrame, as_of: Column, loaded_at:
     )
 
 
-LINE_ORDER = ((F.desc, "connection_id"),)
+def _with_invoice(rows: DataFrame, invoices: DataFrame, invoice: str) -> DataFrame:
+    """Add ``fact_invoice_id`` where the invoice is known.
+
+    The id is a hash of the key that the row has already, so only the keys of ``invoices`` (raw or fact rows) are read.
+    """
+    known = invoices.select("tenant_id", "source_id").distinct()
+    joined = attach(rows, known, {"tenant_id": "tenant_id", invoice: "source_id"}, {"_known": "source_id"},
+                    spread_by=tuple(c for c in ("source_invoice_id", "source_id") if c in rows.columns))
+    return joined.withColumn("fact_invoice_id", F.when(
+        F.col("_known").isNotNull(), surrogate_key("fact_invoice", F.col("tenant_id"), F.col("_known"))))
 
 
 def fact_invoice_line(raw: DataFrame, invoices: DataFrame, accounts: DataFrame, loaded_at: Column,
                       connection_id: str | None = None) -> DataFrame:
-    source = _one_per_key(raw, ("tenant_id", "source_invoice_id", "source_id"), connection_id, LINE_ORDER)
-    joined = attach(source, invoices, {"tenant_id": "tenant_id", "source_invoice_id": "source_id"},
-                    {"fact_invoice_id": "id"}, spread_by=("source_invoice_id", "source_id"))
+    """Lines of the connection whose invoice wins: both go by the invoice's time of change."""
+    source = _one_per_key(raw, ("tenant_id", "source_invoice_id", "source_id"), connection_id)
+    joined = _with_invoice(source, invoices, "source_invoice_id")
     joined = attach(joined, account_by_code(accounts), {"tenant_id": "tenant_id", "account_code": "code"},
                     {"dim_account_id": "id"}, spread_by=("source_invoice_id", "source_id"))
     return joined.select(
@@ -92,8 +101,7 @@ def fact_invoice_line(raw: DataFrame, invoices: DataFrame, accounts: DataFrame,
 def fact_payment(raw: DataFrame, invoices: DataFrame, accounts: DataFrame, loaded_at: Column,
                  connection_id: str | None = None) -> DataFrame:
     source = _one_per_key(raw, ("tenant_id", "source_id"), connection_id)
-    joined = attach(source, invoices, {"tenant_id": "tenant_id", "invoice_id": "source_id"},
-                    {"fact_invoice_id": "id"}, spread_by=("source_id",))
+    joined = _with_invoice(source, invoices, "invoice_id")
     joined = attach(joined, accounts, {"tenant_id": "tenant_id", "account_id": "source_id"},
                     {"dim_account_id": "id"}, spread_by=("source_id",))
     return joined.select(

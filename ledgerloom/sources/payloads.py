@@ -1,6 +1,7 @@
 """Nested JSON records -> typed raw rows.
 
-Input of every ``ingest_*``: ``connection_id, tenant_id, raw`` with one record per row.
+Input of every ``ingest_*``: ``connection_id, tenant_id, raw`` with one record per row. Records that cannot be stored
+are left out there and listed by :func:`rejects`, pages that cannot be opened by :func:`page_rejects`.
 Columns are parsed with an explicit schema, so only the fields in use are decoded.
 """
 
@@ -52,6 +53,21 @@ PAGE_FIELD = {
 }
 
 
+# The field a record cannot be stored without.
+KEY_FIELD = {
+    "invoices": "InvoiceID",
+    "invoice_lines": "LineItemID",
+    "contacts": "ContactID",
+    "payments": "PaymentID",
+    "bank_transactions": "BankTransactionID",
+    "accounts": "AccountID",
+    "manual_journals": "ManualJournalID",
+}
+
+UNREADABLE, NO_KEY, BAD_VALUE, NO_LIST = "unreadable", "no key", "bad value", "no record list"
+_BAD = "_bad"
+
+
 def record_text(raw: Column) -> Column:
     """JSON text of a record; a payload that was stored as a JSON string is unwrapped once."""
     unwrapped = F.try_variant_get(F.try_parse_json(raw), "$", "string")
@@ -72,9 +88,71 @@ def explode_pages(pages: DataFrame, entity: str) -> DataFrame:
     return pages.select("connection_id", "tenant_id", F.explode(records).alias("raw"))
 
 
+def _opened(df: DataFrame, entity: str) -> DataFrame:
+    """Add ``p``, the typed record, and ``reason``, why it cannot be stored; null for a good one.
+
+    A value that does not fit its type, such as an amount of too many digits, spoils the record: it is never stored
+    as null.
+    """
+    typed = df.withColumn("p", F.from_json("raw", f"{WIRE[entity]}, {_BAD} string", {"columnNameOfCorruptRecord": _BAD}))
+    key = F.coalesce(F.col(f"p.{KEY_FIELD[entity]}"), F.lit(""))
+    spoilt = F.col(f"p.{_BAD}").isNotNull()
+    readable = F.coalesce(F.try_variant_get(F.try_parse_json("raw"), "$", "map<string,variant>").isNotNull(), F.lit(False))
+    # only a record that failed is parsed a second time, to tell a bad value from a bad text
+    reason = (
+        F.when(F.col("raw").isNull() | F.col("p").isNull(), UNREADABLE)
+        .when(spoilt, F.when(readable, BAD_VALUE).otherwise(UNREADABLE))
+        .when(key == "", NO_KEY)
+    )
+    return typed.withColumn("reason", reason)
+
+
 def _parsed(payloads: DataFrame, entity: str) -> DataFrame:
     text = payloads.select("connection_id", "tenant_id", record_text(F.col("raw")).alias("raw"))
-    return text.withColumn("p", F.from_json("raw", WIRE[entity]))
+    return _opened(text, entity)
+
+
+def _good(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("reason").isNull())
+
+
+def _line_records(payloads: DataFrame) -> DataFrame:
+    """One opened row per line of the good invoices."""
+    lines = _good(_parsed(payloads, "invoices")).select(
+        "connection_id", "tenant_id", F.col("p.InvoiceID").alias("source_invoice_id"),
+        _updated().alias("source_updated_at"), F.explode("p.LineItems").alias("raw"))
+    return _opened(lines, "invoice_lines")
+
+
+def _readable_report(raw: Column) -> Column:
+    """Whether a report document holds a list of rows."""
+    return F.try_variant_get(F.try_parse_json(raw), "$.Rows", "array<variant>").isNotNull()
+
+
+def rejects(payloads: DataFrame, entity: str) -> DataFrame:
+    """Records of a pull that cannot be stored: ``connection_id, tenant_id, entity, raw, reason``.
+
+    Every record is either a row of its ``ingest_*`` or a row here, so a step can be failed or its rest be counted.
+    """
+    if entity == "report_snapshots":
+        text = payloads.withColumn("raw", record_text(F.col("raw")))
+        bad = text.filter(~F.coalesce(_readable_report(F.col("raw")), F.lit(False))).withColumn("reason", F.lit(UNREADABLE))
+    elif entity == "invoice_lines":
+        bad = _line_records(payloads).filter(F.col("reason").isNotNull())
+    else:
+        bad = _parsed(payloads, entity).filter(F.col("reason").isNotNull())
+    return bad.select("connection_id", "tenant_id", F.lit(entity).alias("entity"), "raw", "reason")
+
+
+def page_rejects(pages: DataFrame, entity: str) -> DataFrame:
+    """Pages whose records cannot be told: ``connection_id, tenant_id, entity, raw, reason``."""
+    field = PAGE_FIELD[entity]
+    opened = pages.withColumn("p", F.from_json(
+        "page", f"{field} array<string>, {_BAD} string", {"columnNameOfCorruptRecord": _BAD}))
+    bad = opened.filter(F.col(f"p.{field}").isNull())
+    spoilt = F.col("p").isNull() | F.col(f"p.{_BAD}").isNotNull()
+    return bad.select("connection_id", "tenant_id", F.lit(entity).alias("entity"), F.col("page").alias("raw"),
+                      F.when(spoilt, UNREADABLE).otherwise(NO_LIST).alias("reason"))
 
 
 def _field(path: str) -> Column:
@@ -95,7 +173,7 @@ def _updated() -> Column:
 
 
 def _rows(payloads: DataFrame, entity: str, columns: dict[str, Column], synced_at: Column) -> DataFrame:
-    return _parsed(payloads, entity).select(
+    return _good(_parsed(payloads, entity)).select(
         "connection_id", "tenant_id",
         *[c.alias(name) for name, c in columns.items()],
         "raw", synced_at.alias("synced_at"),
@@ -129,18 +207,14 @@ def legacy_invoices(raw_invoices: DataFrame) -> DataFrame:
 
 
 def ingest_invoice_lines(payloads: DataFrame, synced_at: Column) -> DataFrame:
-    """One row per line of each invoice; an invoice without lines gives no rows."""
-    lines = _parsed(payloads, "invoices").select(
-        "connection_id", "tenant_id", F.col("p.InvoiceID").alias("source_invoice_id"),
-        F.explode("p.LineItems").alias("raw"),
-    ).withColumn("p", F.from_json("raw", WIRE["invoice_lines"]))
-    return lines.select(
+    """One row per line of each invoice, with its invoice's time of change; an invoice without lines gives no rows."""
+    return _good(_line_records(payloads)).select(
         "connection_id", "tenant_id", "source_invoice_id",
         _field("LineItemID").alias("source_id"), _field("Description").alias("description"),
         _field("Quantity").alias("quantity"), _field("UnitAmount").alias("unit_amount"),
         _field("LineAmount").alias("line_amount"), _field("AccountCode").alias("account_code"),
         _field("TaxType").alias("tax_type"), _field("TaxAmount").alias("tax_amount"),
-        _field("ItemCode").alias("item_code"), "raw", synced_at.alias("synced_at"),
+        _field("ItemCode").alias("item_code"), "source_updated_at", "raw", synced_at.alias("synced_at"),
     )
 
 
@@ -199,7 +273,7 @@ def ingest_report_snapshots(payloads: DataFrame, captured_at: Column) -> DataFra
 
     Balances are as of a day; profit and loss runs from the first of that month.
     """
-    text = payloads.withColumn("raw", record_text(F.col("raw")))
+    text = payloads.withColumn("raw", record_text(F.col("raw"))).filter(_readable_report(F.col("raw")))
     return text.select(
         surrogate_key("report_snapshots", F.col("connection_id"), F.col("report_type"),
                       F.date_format("as_of", "yyyy-MM-dd")).alias("id"),

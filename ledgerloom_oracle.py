@@ -122,7 +122,7 @@ SHAPES: dict[str, str] = {
                CASE WHEN l_linenumber % 6 <> 0 THEN 'Brand#' || (l_partkey % 25 + 1) END AS account_code,
                l_returnflag AS tax_type,
                CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(15,2)) AS tax_amount,
-               CAST(l_partkey AS VARCHAR) AS item_code
+               CAST(l_partkey AS VARCHAR) AS item_code, o_orderdate + INTERVAL '1 hours' AS source_updated_at
         FROM lines JOIN owned_orders ON l_orderkey = o_orderkey""",
     "raw_payments": """
         SELECT connection_id, tenant_id, 'P' || event_id AS source_id, CAST(ts AS DATE) AS date,
@@ -220,11 +220,12 @@ SHAPES: dict[str, str] = {
                CASE WHEN l_returnflag = 'R' THEN 'step failed: ' || l_suppkey END AS error, l_shipdate AS created_at
         FROM lines""",
     "sync_checkpoints": """
-        SELECT CAST(user_id % 25 AS VARCHAR) AS connection_id,
+        SELECT CAST(CASE WHEN user_id % 23 < 3 THEN user_id % 23 WHEN user_id % 23 < 16 THEN user_id % 23 + 1
+                         ELSE user_id % 23 + 2 END AS VARCHAR) AS connection_id,
                CASE event_type WHEN 'click' THEN 'bank_transactions' WHEN 'view' THEN 'contacts' WHEN 'purchase' THEN 'payments'
                     WHEN 'signup' THEN 'manual_journals' ELSE 'invoices' END AS entity,
                max(ts) AS last_modified_at, CAST(arg_max(event_id, ts) AS VARCHAR) AS last_run_id
-        FROM events WHERE user_id % 25 NOT IN (3, 17) GROUP BY 1, 2""",
+        FROM events GROUP BY 1, 2""",
     "uploaded": f"""
         SELECT *, 'B' || lpad(CAST(b AS VARCHAR), 2, '0') AS batch_id, CAST(b % 5 AS VARCHAR) AS tenant_id,
                CAST(row_number() OVER (PARTITION BY b ORDER BY event_id) - 1 AS INTEGER) AS row_index,
@@ -234,8 +235,8 @@ SHAPES: dict[str, str] = {
                     ELSE CASE event_id % 6 WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN strftime(ts, '%d/%m/%Y')
                          WHEN 2 THEN strftime(ts, '%d-%m-%Y') WHEN 3 THEN strftime(ts, '%d %b %Y')
                          WHEN 4 THEN strftime(ts, '%Y-%m-%d %H:%M') ELSE strftime(ts, '%-d/%-m/%Y %H:%M') END END AS date_cell
-        FROM (SELECT *, user_id % 10 AS b FROM events WHERE event_type IN ('purchase', 'error')
-              UNION ALL SELECT *, user_id % 10 + 10 FROM events WHERE event_type IN ('purchase', 'error') AND event_id % 7 = 0)""",
+        FROM (SELECT *, user_id % 10 AS b FROM events
+              UNION ALL SELECT *, user_id % 10 + 10 FROM events WHERE event_id % 7 = 0)""",
     "row_texts": """
         SELECT *, CASE style
             WHEN 0 THEN '{"Date":"' || date_cell || '","Amount":"' || whole || '","Reference":"R' || event_id || '"' || coalesce(',"Description":"' || description || '"', '') || '}'
@@ -400,6 +401,10 @@ SHAPES: dict[str, str] = {
 }
 
 
+# every delivery of a line, where raw_invoice_lines has the last
+SHAPES["delivered_invoice_lines"] = SHAPES["raw_invoice_lines"].replace("FROM lines ", "FROM lineitem ")
+
+
 def sql(text: str) -> str:
     """Prefix ``text`` with the shapes it needs, in dependency order."""
     needed: list[str] = []
@@ -468,7 +473,7 @@ UPSERT_PARTS = union([upserts(entity, table) for entity, table in WHOLE_TABLES.i
 QUERIES: dict[str, str] = {
     # ingest
     "ingest_invoices": f"SELECT *, {SYNCED} FROM raw_invoices",
-    "ingest_invoice_lines": f"SELECT *, {SYNCED} FROM raw_invoice_lines",
+    "ingest_invoice_lines": f"SELECT *, {SYNCED} FROM delivered_invoice_lines",
     "ingest_contacts": f"SELECT *, {SYNCED} FROM raw_contacts",
     "ingest_payments": f"SELECT *, {SYNCED} FROM raw_payments",
     "ingest_bank_transactions": f"SELECT *, {SYNCED} FROM raw_bank_transactions",
@@ -510,6 +515,22 @@ QUERIES: dict[str, str] = {
                CASE WHEN n.source_id IS NOT NULL THEN n.amount_due ELSE o.amount_due END AS amount_due,
                coalesce(o.tenant_id, n.tenant_id) AS tenant_id
         FROM older o FULL JOIN newer n ON o.connection_id = n.connection_id AND o.source_id = n.source_id""",
+    "keyed_merge_guarded": """
+        WITH deliveries AS (SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem),
+        last AS (SELECT * FROM deliveries QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                 ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1),
+        held AS (SELECT l_orderkey, l_linenumber, min(l_shipdate) AS first_date FROM deliveries WHERE l_linenumber <= 3 GROUP BY ALL)
+        SELECT l_orderkey, l_linenumber, coalesce(first_date, l_shipdate) AS l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice
+        FROM last LEFT JOIN held USING (l_orderkey, l_linenumber)""",
+    "ingest_rejects": """
+        SELECT 'payments' AS entity, CAST(substr(source_id, 2) AS BIGINT) AS number,
+               CASE CAST(substr(source_id, 2) AS BIGINT) % 10 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'no key' WHEN 2 THEN 'bad value'
+                    ELSE 'stored' END AS reason FROM raw_payments
+        UNION ALL
+        SELECT 'accounts', CAST(source_id AS BIGINT), 'stored' FROM raw_accounts WHERE CAST(source_id AS BIGINT) // 50 % 4 <> 0
+        UNION ALL
+        SELECT 'accounts', page, 'unreadable'
+        FROM (SELECT DISTINCT connection_id, CAST(source_id AS BIGINT) // 50 AS page FROM raw_accounts) WHERE page % 4 = 0""",
     "keyed_insert_ignore": """
         SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lines WHERE l_linenumber <= 2
         UNION ALL

@@ -20,23 +20,23 @@ def frame(spark, data):
     return spark.createDataFrame(data, SCHEMA).repartition(3)
 
 
-@pytest.fixture(params=["full_outer", "small_source"])
-def strategy(request, monkeypatch):
-    monkeypatch.setattr(merge, "fits_broadcast", lambda df: request.param == "small_source")
+@pytest.fixture(params=[False, True])
+def small(request):
+    return request.param
 
 
-def test_merge_updates_inserts_and_keeps(spark, strategy):
+def test_merge_updates_inserts_and_keeps(spark, small):
     target = frame(spark, [("a", 1, "x"), ("b", 2, "x")])
     source = frame(spark, [("b", None, "y"), ("c", 3, "y")])
-    assert rows(merge.keyed_merge(target, source, ["k"])) == [("a", 1, "x"), ("b", None, "y"), ("c", 3, "y")]
-    assert rows(merge.keyed_merge(target, source, ["k"], insert_only=["first"])) == [
+    assert rows(merge.keyed_merge(target, source, ["k"], small_source=small)) == [("a", 1, "x"), ("b", None, "y"), ("c", 3, "y")]
+    assert rows(merge.keyed_merge(target, source, ["k"], insert_only=["first"], small_source=small)) == [
         ("a", 1, "x"), ("b", None, "x"), ("c", 3, "y")]
 
 
-def test_merge_is_idempotent(spark, strategy):
+def test_merge_is_idempotent(spark, small):
     target = frame(spark, [("a", 1, "x"), ("b", 2, "x")])
     source = frame(spark, [("b", 9, "y"), ("c", 3, "y")])
-    once = merge.keyed_merge(target, source, ["k"], ["first"])
+    once = merge.keyed_merge(target, source, ["k"], ["first"], small_source=small)
     assert rows(merge.keyed_merge(once, source, ["k"], ["first"])) == rows(once)
 
 
@@ -63,6 +63,32 @@ def test_insert_ignore(spark):
     assert rows(got) == [("a", 1, "x"), ("b", 6, "y")]
 
 
+def test_repeated_keys_of_a_source_fail_or_have_a_winner(spark, small):
+    target = frame(spark, [("a", 1, "x"), ("b", 2, "x")])
+    source = frame(spark, [("a", 3, "y"), ("a", 4, "z"), ("c", 5, "y")])
+    with pytest.raises(Exception, match=r"key \(k\) occurs more than once: a"):
+        merge.keyed_merge(target, source, ["k"], small_source=small).collect()
+    got = merge.keyed_merge(target, source, ["k"], order=[F.desc("v")], small_source=small)
+    assert rows(got) == [("a", 4, "z"), ("b", 2, "x"), ("c", 5, "y")]
+
+
+def test_repeated_edits_fail_or_have_a_winner(spark):
+    kinds = "id string, account_code string, account_name string, category string, tax_type string, notes string, approved boolean, approved_by string"
+    lines = spark.createDataFrame([("1", *[None] * 7, None, None)], f"{kinds}, approved_at timestamp_ntz, updated_at timestamp_ntz")
+    edits = spark.createDataFrame([("1", "100", *[None] * 6), ("1", "200", *[None] * 6)], kinds)
+    now = ts_literal("2024-02-01 00:00:00")
+    with pytest.raises(Exception, match="occurs more than once"):
+        merge.apply_line_edits(lines, edits, now).collect()
+    assert rows(merge.apply_line_edits(lines, edits, now, [F.desc("account_code")]), "id", "account_code") == [("1", "200")]
+
+
+def test_guard_passes_unique_rows(spark):
+    df = frame(spark, [("a", 1, "x"), (None, 2, "x")])
+    assert rows(merge.assert_unique(df, ["k"])) == rows(df)
+    with pytest.raises(Exception, match="occurs more than once: null"):
+        merge.assert_unique(df.unionByName(df.filter("k IS NULL")), ["k"]).count()
+
+
 def test_duplicate_guard(spark):
     assert rows(merge.duplicate_keys(frame(spark, [("a", 1, "x"), ("a", 2, "x"), ("b", 1, "x")]), ["k"])) == [("a", 2)]
 
@@ -136,6 +162,6 @@ def test_attach_is_exact_with_null_and_hot_keys(spark, threshold, hot):
         left = attach(facts, lookup, {"k": "key"}, {"name": "name"}, ("id",), hot_keys=hot)
         counts = {r["name"]: r["count"] for r in left.groupBy("name").count().collect()}
         assert counts == {"H": 1000, "two": 1, None: 1999}
-        assert attach(facts, lookup, {"k": "key"}, {"name": "name"}, ("id",), how="inner", hot_keys=hot).count() == 1001
+        assert attach(facts, lookup, {"k": "key"}, {"name": "name"}, ("id",), how="inner", hot_keys=hot, few_facts=not hot).count() == 1001
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -75,6 +75,43 @@ def test_pages_to_records(spark, scratch):
     assert rows(payloads.ingest_invoices(records, now()), "connection_id", "source_id") == [("c1", "i1"), ("c1", "i2")]
 
 
+def test_every_record_is_a_row_or_a_reject(spark):
+    good = json.dumps(INVOICE)
+    bad = {good[:-4]: "unreadable", "": "unreadable", "[1]": "unreadable", None: "unreadable", '"text"': "unreadable",
+           json.dumps({**INVOICE, "InvoiceID": None}): "no key", json.dumps({**INVOICE, "InvoiceID": ""}): "no key",
+           json.dumps({**INVOICE, "Total": 12345678901234567}): "bad value", json.dumps({**INVOICE, "Total": "many"}): "bad value"}
+    df = spark.createDataFrame([("c1", "t1", r) for r in [good, *bad]], "connection_id string, tenant_id string, raw string")
+    assert rows(payloads.ingest_invoices(df, now()), "source_id", "raw") == [("i1", good)]
+    got = {r.raw: r.reason for r in payloads.rejects(df, "invoices").collect()}
+    unwrapped = {("text" if r == '"text"' else r): why for r, why in bad.items()}
+    assert got == unwrapped
+    assert payloads.ingest_invoice_lines(df, now()).count() == 2
+
+
+def test_bad_lines_are_rejects_of_their_own(spark):
+    lines = [{"LineItemID": "l1", "Quantity": 1}, {"LineItemID": "l2", "Quantity": "x"}, {"Quantity": 1}]
+    df = one(spark, {**INVOICE, "LineItems": lines})
+    assert rows(payloads.ingest_invoice_lines(df, now()), "source_id") == [("l1",)]
+    assert sorted(r.reason for r in payloads.rejects(df, "invoice_lines").collect()) == ["bad value", "no key"]
+
+
+def test_truncated_pages_are_rejects(spark):
+    page = json.dumps({"Invoices": [INVOICE, {**INVOICE, "InvoiceID": "i2"}]})
+    pages = spark.createDataFrame([("c1", "t1", p) for p in (page, page[:-9], '{"Other":[]}', "", '{"Invoices":[]}')],
+                                  "connection_id string, tenant_id string, page string")
+    assert payloads.explode_pages(pages, "invoices").count() == 2
+    assert rows(payloads.page_rejects(pages, "invoices"), "raw", "reason") == [
+        ("", "unreadable"), (page[:-9], "unreadable"), ('{"Other":[]}', "no record list")]
+
+
+def test_unreadable_reports_are_rejects(spark):
+    data = [("c1", "t1", "balance_sheet", dt.date(2025, 3, 15), r) for r in ('{"Rows":[]}', '{"Rows":[', "{}", None, json.dumps('{"Rows":[]}'))]
+    df = spark.createDataFrame(data, "connection_id string, tenant_id string, report_type string, as_of date, raw string")
+    assert payloads.ingest_report_snapshots(df, now()).count() == 2
+    assert rows(payloads.rejects(df, "report_snapshots"), "raw", "reason") == [
+        ('{"Rows":[', "unreadable"), ("{}", "unreadable"), (None, "unreadable")]
+
+
 def test_legacy_table_is_a_projection(spark):
     got = payloads.legacy_invoices(payloads.ingest_invoices(one(spark, INVOICE), now()))
     assert "tenant_id" not in got.columns and got.first()["type"] == "ACCREC"
