@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ledgerloom.operators.joins import attach
 from ledgerloom.operators.merge import keyed_insert_ignore
 
 
@@ -26,24 +27,50 @@ def number_rows(df: DataFrame, group: Sequence[str], block: Column, order: Colum
     )
 
 
+def _file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files with their file and what tells their order in it."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("batch_id"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_seq"), F.col("value").alias("_line"))
+
+
+def _numbered(rows: DataFrame, tenant_id: str) -> DataFrame:
+    rows = rows.select("batch_id", F.lit(tenant_id).alias("tenant_id"), "_start", "_seq", "raw")
+    return number_rows(rows, ["batch_id"], F.col("_start"), F.col("_seq")).drop("_start", "_seq")
+
+
 def read_statement_csv(spark: SparkSession, path: str, tenant_id: str, **options: str) -> DataFrame:
-    """CSV files with a header line; every file is one batch, every row a map of its cells.
+    """CSV files, each with a header line of its own; every file is one batch, every row a map of its cells.
 
-    Splits of a file are numbered independently and put together by their start offset.
+    Cells go by the header of their own file, whatever the other files of the folder look like. Of a name that a
+    header repeats the last cell counts, cells without a name are left out, missing cells are empty. A quoted cell
+    ends with its line. Splits of a file are numbered independently and put together by their start offset.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False).options(**options)
-    cells = reader.csv(path)
-    entries = []
-    for column in cells.columns:
-        entries += [F.lit(column), F.coalesce(F.col(f"`{column}`"), F.lit(""))]
-    rows = cells.select(
-        F.col("_metadata.file_path").alias("batch_id"),
-        F.lit(tenant_id).alias("tenant_id"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_seq"),
-        F.create_map(*entries).alias("raw"),
-    )
-    return number_rows(rows, ["batch_id"], F.col("_start"), F.col("_seq")).drop("_start", "_seq")
+    lines = _file_lines(spark, path).filter(F.trim("_line") != "")
+    first = F.min_by(F.struct("_seq", F.regexp_replace("_line", "^\ufeff", "").alias("line")), "_seq")
+    # one row a file; the number of separators in a header bounds the number of its cells
+    headers = lines.filter("_start = 0").groupBy("batch_id").agg(first.alias("_head"))
+    separator = options.get("sep", ",")
+    width = headers.agg(F.max(F.size(F.split("_head.line", rf"\Q{separator}\E")))).first()[0] or 1
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    cells = lambda line: F.array(*[F.from_csv(line, schema, options)[f"c{i}"] for i in range(width)])
+    names = headers.select(F.col("batch_id").alias("_file"), F.col("_head._seq").alias("_header_at"),
+                           cells(F.col("_head.line")).alias("_names"))
+    rows = attach(lines, names, {"batch_id": "_file"}, {"_header_at": "_header_at", "_names": "_names"},
+                  ("batch_id", "_seq"), how="inner", hot_keys=True).filter("_seq <> _header_at")
+    named = F.filter(
+        F.arrays_zip(F.col("_names").alias("name"), cells(F.col("_line")).alias("cell"), F.sequence(F.lit(1), F.lit(width)).alias("at")),
+        lambda x: (F.coalesce(x["name"], F.lit("")) != "") & ~F.coalesce(F.array_contains(
+            F.slice(F.col("_names"), x["at"] + 1, F.lit(width)), x["name"]), F.lit(False)))
+    raw = F.map_from_entries(F.transform(named, lambda x: F.struct(x["name"], F.coalesce(x["cell"], F.lit("")))))
+    return _numbered(rows.withColumn("raw", raw), tenant_id)
+
+
+def read_statement_json(spark: SparkSession, path: str, tenant_id: str) -> DataFrame:
+    """Uploads as JSON objects, one per line; lines that are no object become rows without cells, which are errors."""
+    lines = _file_lines(spark, path).filter(F.trim("_line") != "")
+    cells = F.from_json("_line", "map<string,string>")
+    return _numbered(lines.withColumn("raw", F.coalesce(cells, F.create_map().cast("map<string,string>"))), tenant_id)
 
 
 def store_rows(existing: DataFrame, rows: DataFrame) -> DataFrame:

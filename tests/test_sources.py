@@ -170,3 +170,40 @@ def test_stored_rows_are_not_replaced(spark):
     held = spark.createDataFrame([("b", "t", 0, {"a": "1"})], schema)
     again = spark.createDataFrame([("b", "t", 0, {"a": "2"}), ("b", "t", 1, {"a": "3"})], schema)
     assert rows(uploads.store_rows(held, again), "row_index", F.col("raw")["a"]) == [(0, "1"), (1, "3")]
+
+
+CSV_FILES = {
+    "a.csv": "Date,Description,Amount\n2025-01-02,Tea,1.50\n2025-01-03,\"Milk, fresh\",-2\n",
+    "b.csv": "\ufeffPosting Date,Narrative,Debit,Credit\n03-01-2025,Rent,10,\n04-01-2025,Pay,,20\n\n05-01-2025,Short\n",
+    "c.csv": "Credit,Note,Memo,Credit,,Transaction Date\n1,n,Gift,7,x,06/01/2025\n",
+}
+
+
+def test_csv_cells_go_by_the_header_of_their_own_file(spark, scratch):
+    from ledgerloom.sources import uploads
+
+    for name, content in CSV_FILES.items():
+        with open(os.path.join(scratch, name), "w", encoding="utf-8") as f:
+            f.write(content)
+    together = uploads.read_statement_csv(spark, scratch, "t")
+    got = {(r.batch_id.rpartition("/")[2], r.row_index): r.raw for r in together.collect()}
+    assert got == {
+        ("a.csv", 0): {"Date": "2025-01-02", "Description": "Tea", "Amount": "1.50"},
+        ("a.csv", 1): {"Date": "2025-01-03", "Description": "Milk, fresh", "Amount": "-2"},
+        ("b.csv", 0): {"Posting Date": "03-01-2025", "Narrative": "Rent", "Debit": "10", "Credit": ""},
+        ("b.csv", 1): {"Posting Date": "04-01-2025", "Narrative": "Pay", "Debit": "", "Credit": "20"},
+        ("b.csv", 2): {"Posting Date": "05-01-2025", "Narrative": "Short", "Debit": "", "Credit": ""},
+        ("c.csv", 0): {"Note": "n", "Memo": "Gift", "Credit": "7", "Transaction Date": "06/01/2025"},
+    }
+    alone = [uploads.read_statement_csv(spark, os.path.join(scratch, n), "t") for n in CSV_FILES]
+    apart = {(r.batch_id.rpartition("/")[2], r.row_index): r.raw for df in alone for r in df.collect()}
+    assert apart == got
+
+
+def test_json_rows(spark, scratch):
+    from ledgerloom.sources import uploads
+
+    with open(os.path.join(scratch, "u.json"), "w") as f:
+        f.write('{"Date": "2025-01-02", "Amount": 5}\n[1]\n\n{"Memo": null}\n')
+    got = uploads.read_statement_json(spark, scratch, "t").orderBy("row_index").collect()
+    assert [(r.row_index, r.raw) for r in got] == [(0, {"Date": "2025-01-02", "Amount": "5"}), (1, {}), (2, {"Memo": None})]
