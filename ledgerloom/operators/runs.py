@@ -44,15 +44,14 @@ def runner_summary(runs: DataFrame, invocation: str) -> DataFrame:
     ).withColumn("duration_ms", F.floor(F.col("_micros") / 1000).cast("bigint")).drop("_micros")
 
 
-def transform_summary(sources: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFrame:
+def transform_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows upserted per entity (inserted and updated alike) and in total.
 
-    ``sources`` maps an entity to its raw rows and warehouse key; only key columns are read.
+    ``tables`` are the transformed rows themselves, so a row that a transform loses or repeats shows in its count.
     """
     parts = [
-        df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("upserted"))
-        .select(F.lit(entity).alias("entity"), "upserted")
-        for entity, (df, keys) in sources.items()
+        df.agg(F.count(F.lit(1)).alias("upserted")).select(F.lit(entity).alias("entity"), "upserted")
+        for entity, df in tables.items()
     ]
     totals = reduce(DataFrame.unionByName, parts).rollup("entity").agg(F.sum("upserted").alias("upserted"))
     return totals.select(F.coalesce("entity", F.lit("total")).alias("entity"), "upserted")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,7 +10,7 @@ from ledgerloom.functions import dates, finance, text
 from ledgerloom.functions.keys import statement_hash, surrogate_key
 from ledgerloom.operators import merge, quality, runs, statements
 from ledgerloom.plans import ops, refresh, views
-from ledgerloom.schemas import CONSTRAINTS, MERGE_RULES, UNIQUE_KEYS
+from ledgerloom.schemas import CONSTRAINTS, FOREIGN_KEYS, MERGE_RULES, REQUIRED, UNIQUE_KEYS
 from ledgerloom.session import scratch_dir, use_ledger_semantics
 from ledgerloom.sources import incremental, lookups, payloads
 from ledgerloom.sources.bindings import Ledger, _mod, _text
@@ -304,9 +304,20 @@ for _name in ("dim_tenant", "dim_contact", "dim_account", "fact_invoice", "fact_
 
 @query
 def warehouse_refresh_counts(ledger: Ledger) -> DataFrame:
-    raw = {name: getattr(ledger, name) for name, _ in refresh.UPSERT_KEYS.values()}
-    facts = {n: getattr(ledger, n) for n in ("fact_trial_balance", "fact_profit_and_loss", "fact_balance_sheet")}
-    return refresh.refresh_counts(raw, facts)
+    """Rows that each transform gives a refresh to merge, counted behind the transform."""
+    return refresh.refresh_counts({name: getattr(ledger, name) for name in refresh.TABLES})
+
+
+@query
+def warehouse_refresh(ledger: Ledger) -> DataFrame:
+    """The whole refresh, from raw tables to stored ones: rows of each table as written, dimensions first."""
+    raw = {name: getattr(ledger, name) for name in (
+        "tenants", "raw_contacts", "raw_accounts", "raw_invoices", "raw_invoice_lines", "raw_payments",
+        "raw_bank_transactions", "raw_manual_journals")}
+    raw["report_snapshots"] = _snapshots(ledger, "id", "connection_id", "tenant_id", "report_type", "period_date", "period_from", "raw")
+    target = scratch_dir(ledger.spark, "warehouse")
+    paths = refresh.refresh_warehouse(ledger.spark, raw, target, ledger.as_of, ledger.loaded_at)
+    return refresh.refresh_counts({name: ledger.spark.read.parquet(path) for name, path in paths.items()})
 
 
 # ── reports ──────────────────────────────────────────────────────────────────
@@ -558,16 +569,21 @@ def scalar_functions(ledger: Ledger) -> DataFrame:
 
 # ── quality ──────────────────────────────────────────────────────────────────
 
+def _snapshots(ledger: Ledger, *columns: str) -> DataFrame:
+    kinds = ("trial_balance", "profit_and_loss", "balance_sheet")
+    one, two, three = (ledger.report_snapshots(k).select(*columns) for k in kinds)
+    return one.unionByName(two).unionByName(three)
+
+
 @query
 def quality_constraint_violations(ledger: Ledger) -> DataFrame:
     kinds = ("trial_balance", "profit_and_loss", "balance_sheet")
-    snapshots = [ledger.report_snapshots(k).select("report_type") for k in kinds]
     rows = [getattr(ledger, f"fact_{k}").select("row_type") for k in kinds]
     tables = {
         "sync_runs": ledger.sync_runs, "sync_run_steps": ledger.sync_run_steps, "raw_invoices": ledger.raw_invoices,
-        "raw_accounts": ledger.raw_accounts, "report_snapshots": snapshots[0].unionByName(snapshots[1]).unionByName(snapshots[2]),
+        "raw_accounts": ledger.raw_accounts, "report_snapshots": _snapshots(ledger, "report_type"),
         "report_rows": rows[0].unionByName(rows[1]).unionByName(rows[2]), "client_metadata": ledger.client_metadata,
-        "upload_batches": ledger.upload_batches,
+        "upload_batches": ledger.upload_batches, **{name: getattr(ledger, name) for name in REQUIRED},
     }
     return quality.constraint_violations(tables, CONSTRAINTS)
 
@@ -587,9 +603,19 @@ def quality_orphans(ledger: Ledger) -> DataFrame:
     })
 
 
+@query
+def quality_foreign_keys(ledger: Ledger) -> DataFrame:
+    """Every documented foreign key of the raw tables, the warehouse and the uploads."""
+    def table(name: str) -> DataFrame:
+        return _snapshots(ledger, "id") if name == "report_snapshots" else getattr(ledger, name)
+
+    return quality.orphans({f"{child}.{fk}": (table(child), fk, table(parent), pk) for child, fk, parent, pk in FOREIGN_KEYS})
+
+
 @query
 def quality_duplicate_keys(ledger: Ledger) -> DataFrame:
-    tables = {name: (getattr(ledger, name), keys) for name, keys in UNIQUE_KEYS.items()}
+    named = {"report_snapshots": lambda keys: _snapshots(ledger, *keys), "uploaded_rows": lambda _: ledger.statement_rows}
+    tables = {name: (named[name](keys) if name in named else getattr(ledger, name), keys) for name, keys in UNIQUE_KEYS.items()}
     tables["delivered_lines"] = (ledger.read("lineitem"), ("l_orderkey", "l_linenumber"))
     tables["account_codes"] = (ledger.raw_accounts, ("tenant_id", "code"))
     return quality.duplicate_key_report(tables)
@@ -602,15 +628,25 @@ def quality_run_lifecycle(ledger: Ledger) -> DataFrame:
 
 @query
 def quality_unresolved_lookups(ledger: Ledger) -> DataFrame:
+    """Natural keys of all four facts with look-ups that have no row behind them; facts drop those keys, raw rows have them."""
+    def keyed(fact: DataFrame, raw: DataFrame, *natural: str) -> DataFrame:
+        source = raw.select(F.col("tenant_id").alias("_t"), F.col("source_id").alias("_s"), *natural)
+        return fact.join(source, (F.col("tenant_id") == F.col("_t")) & (F.col("source_id") == F.col("_s")), "inner")
+
     lines = ledger.fact_invoice_line
-    payments = ledger.fact_payment.select("tenant_id", "source_id", "fact_invoice_id", "dim_account_id")
-    raw = ledger.raw_payments.select(F.col("tenant_id").alias("_t"), F.col("source_id").alias("_s"), "invoice_id", "account_id")
-    paid = payments.join(raw, (F.col("tenant_id") == F.col("_t")) & (F.col("source_id") == F.col("_s")), "inner")
+    invoices = keyed(ledger.fact_invoice.select("tenant_id", "source_id", "dim_contact_id"), ledger.raw_invoices, "contact_id")
+    payments = keyed(ledger.fact_payment.select("tenant_id", "source_id", "fact_invoice_id", "dim_account_id"),
+                     ledger.raw_payments, "invoice_id", "account_id")
+    bank = keyed(ledger.fact_bank_transaction.select("tenant_id", "source_id", "dim_contact_id", "dim_account_id"),
+                 ledger.raw_bank_transactions, "contact_id", "bank_account_id")
     return quality.unresolved_lookups({
+        "fact_invoice.contact": (invoices, "contact_id", "dim_contact_id"),
         "fact_invoice_line.account": (lines, "account_code", "dim_account_id"),
         "fact_invoice_line.invoice": (lines, "source_invoice_id", "fact_invoice_id"),
-        "fact_payment.invoice": (paid, "invoice_id", "fact_invoice_id"),
-        "fact_payment.account": (paid, "account_id", "dim_account_id"),
+        "fact_payment.invoice": (payments, "invoice_id", "fact_invoice_id"),
+        "fact_payment.account": (payments, "account_id", "dim_account_id"),
+        "fact_bank_transaction.contact": (bank, "contact_id", "dim_contact_id"),
+        "fact_bank_transaction.account": (bank, "bank_account_id", "dim_account_id"),
     })
 
 
@@ -619,15 +655,15 @@ def quality_unresolved_lookups(ledger: Ledger) -> DataFrame:
 PAYMENT_OUTPUT = ("connection_id", "tenant_id", "source_id", "amount", "status", "reference", "source_updated_at")
 
 
-def _event_stream(ledger: Ledger) -> DataFrame:
-    """The event table as a stream, read in place.
+ARRIVALS = 3
+
 
-    A glob is given because the source takes a plain path for a folder, while the table may
-    be one file or a folder of files.
-    """
-    schema = ledger.read("events").schema
-    reader = ledger.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
-    return reader.parquet(f"{ledger.folder}/event[s].parquet")
+def _arrivals(ledger: Ledger, landing: str) -> Iterator[DataFrame]:
+    """The event table as it would arrive: in parts, one after another, each a stream of what is new in the folder."""
+    events = ledger.read("events")
+    for part in range(ARRIVALS):
+        events.filter(_mod("event_id", ARRIVALS) == part).write.mode("append").parquet(landing)
+        yield ledger.spark.readStream.schema(events.schema).parquet(landing)
 
 
 @query
@@ -638,12 +674,15 @@ def stream_incremental_merge(ledger: Ledger) -> DataFrame:
     payments = ledger.raw_payments.select(*PAYMENT_OUTPUT)
     base = payments.filter(F.pmod(F.substring("source_id", 2, 20).cast("bigint"), F.lit(2)) == 0).withColumns(
         {"status": F.lit("PENDING"), "tenant_id": F.lit("first"), "reference": F.lit("old")})
+    # the owners are looked up in a stored table, not joined together anew for every micro-batch
+    ledger.order_owners().write.parquet(f"{work}/owners")
+    owners = ledger.spark.read.parquet(f"{work}/owners")
     change_log.create_log(ledger.spark, f"{work}/log", payments.schema)
-    stream = change_log.stream_changes(
-        _event_stream(ledger), f"{work}/log", f"{work}/checkpoint", rule.keys,
-        [F.desc_nulls_last("source_updated_at"), F.desc("source_id")],
-        prepare=lambda batch: ledger.payments_from(batch).select(*PAYMENT_OUTPUT))
-    stream.awaitTermination()
+    for arrived in _arrivals(ledger, f"{work}/landing"):
+        change_log.stream_changes(
+            arrived, f"{work}/log", f"{work}/checkpoint", rule.keys,
+            [F.desc_nulls_last("source_updated_at"), F.desc("source_id")],
+            prepare=lambda batch: ledger.payments_from(batch, owners).select(*PAYMENT_OUTPUT)).awaitTermination()
     log = change_log.read_log(ledger.spark, f"{work}/log", payments.schema)
     return change_log.current_state(base, log, rule.keys, rule.insert_only)
 
@@ -670,8 +709,8 @@ def stream_statement_dedup(ledger: Ledger) -> DataFrame:
     held = statements.dedup(lines_of(ledger.read("events").filter(F.col("event_type") == "click")))
     schema = held.schema
     statement_stream.create_table(held, f"{work}/table")
-    stream = statement_stream.stream_lines(_event_stream(ledger), f"{work}/table", f"{work}/checkpoint", schema, lines_of)
-    stream.awaitTermination()
+    for arrived in _arrivals(ledger, f"{work}/landing"):
+        statement_stream.stream_lines(arrived, f"{work}/table", f"{work}/checkpoint", schema, lines_of).awaitTermination()
     return statement_stream.read_lines(ledger.spark, f"{work}/table", schema).select(*STREAMED_LINE)
 
 

@@ -2,32 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators import reports, runs, star
 from ledgerloom.operators.merge import keyed_merge
 from ledgerloom.schemas import MERGE_RULES
 from ledgerloom.streaming import change_log
 
-# Raw table and warehouse key behind each refreshed table.
-UPSERT_KEYS = {
-    "dim_tenant": ("tenants", ("id",)),
-    "dim_contact": ("raw_contacts", ("tenant_id", "source_id")),
-    "dim_account": ("raw_accounts", ("tenant_id", "source_id")),
-    "fact_invoice": ("raw_invoices", ("tenant_id", "source_id")),
-    "fact_invoice_line": ("raw_invoice_lines", ("tenant_id", "source_invoice_id", "source_id")),
-    "fact_payment": ("raw_payments", ("tenant_id", "source_id")),
-    "fact_bank_transaction": ("raw_bank_transactions", ("tenant_id", "source_id")),
-    "fact_manual_journal": ("raw_manual_journals", ("tenant_id", "source_id")),
-}
+# Tables of a refresh, in dependency order.
+TABLES = ("dim_tenant", "dim_contact", "dim_account", "fact_invoice", "fact_invoice_line", "fact_payment",
+          "fact_bank_transaction", "fact_manual_journal", "fact_trial_balance", "fact_profit_and_loss", "fact_balance_sheet")
 
 
-def refresh_counts(raw: dict[str, DataFrame], report_facts: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Rows each table upserts in a refresh, and the total."""
-    sources = {table: (raw[name], keys) for table, (name, keys) in UPSERT_KEYS.items()}
-    for table, rows in (report_facts or {}).items():
-        sources[table] = (rows, ("snapshot_id", "row_order"))
-    return runs.transform_summary(sources)
+def refresh_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each transformed table, which a refresh upserts, and the total."""
+    return runs.transform_summary(tables)
 
 
 def refresh_warehouse(spark: SparkSession, raw: dict[str, DataFrame], target: str, as_of: Column, loaded_at: Column,
@@ -79,42 +70,64 @@ def append_changes(spark: SparkSession, changed: dict[str, DataFrame], base: str
                    as_of: Column, loaded_at: Column) -> None:
     """Transform only changed raw rows and append them to a change log per table.
 
-    Costs follow the changes: the base tables are read for look-ups and never rewritten.
-    Re-running a ``load_id`` replaces its own folders. Overdue flags of unchanged invoices
-    stay as of their last load; a full :func:`refresh_warehouse` re-dates all of them.
+    Costs follow the changes: base tables and logs are cut down to the keys that the changed rows
+    look up before they are merged, and are never rewritten. Re-running a ``load_id`` replaces its
+    own folders. Overdue flags of unchanged invoices stay as of their last load; a full
+    :func:`refresh_warehouse` re-dates all of them.
     """
     def store(table: str, rows: DataFrame) -> None:
         columns = spark.read.parquet(f"{base}/{table}")
-        change_log.create_log(spark, f"{log}/{table}", columns.schema)
         change_log.write_batch(rows.select(*columns.columns), f"{log}/{table}", load_id)
 
-    def including(table: str) -> DataFrame:
-        return read_current(spark, base, log, table, before=load_id + 1)
+    def in_use(table: str, columns: dict[str, str]) -> DataFrame:
+        """The keys that the changed rows of some tables look up."""
+        parts = [changed[source].select("tenant_id", F.col(column).alias("source_id")) for source, column in columns.items()]
+        keys = reduce(DataFrame.unionByName, parts).filter(F.col("source_id").isNotNull()).distinct()
+        return read_current(spark, base, log, table, before=load_id + 1, wanted=keys)
+
+    def accounts_of_codes() -> DataFrame:
+        """Accounts with a code in use, by whichever of their versions has it."""
+        codes = changed["raw_invoice_lines"].select("tenant_id", F.col("account_code").alias("code")).filter(
+            F.col("code").isNotNull()).distinct()
+        stored, logged = _stored(spark, base, log, "dim_account", load_id + 1)
+        having = [df.select("tenant_id", "source_id", "code").join(codes, ["tenant_id", "code"], "left_semi") for df in (stored, logged)]
+        keys = having[0].unionByName(having[1]).select("tenant_id", "source_id").distinct()
+        return read_current(spark, base, log, "dim_account", before=load_id + 1, wanted=keys)
 
     store("dim_tenant", star.dim_tenant(changed["tenants"], loaded_at))
     store("dim_contact", star.dim_contact(changed["raw_contacts"], loaded_at))
     store("dim_account", star.dim_account(changed["raw_accounts"], loaded_at))
-    contacts, accounts = including("dim_contact"), including("dim_account")
+    contacts = in_use("dim_contact", {"raw_invoices": "contact_id", "raw_bank_transactions": "contact_id"})
+    accounts = in_use("dim_account", {"raw_payments": "account_id", "raw_bank_transactions": "bank_account_id"})
     store("fact_invoice", star.fact_invoice(changed["raw_invoices"], contacts, as_of, loaded_at))
-    invoices = including("fact_invoice")
-    store("fact_invoice_line", star.fact_invoice_line(changed["raw_invoice_lines"], invoices, accounts, loaded_at))
+    invoices = in_use("fact_invoice", {"raw_invoice_lines": "source_invoice_id", "raw_payments": "invoice_id"})
+    store("fact_invoice_line", star.fact_invoice_line(changed["raw_invoice_lines"], invoices, accounts_of_codes(), loaded_at))
     store("fact_payment", star.fact_payment(changed["raw_payments"], invoices, accounts, loaded_at))
     store("fact_bank_transaction", star.fact_bank_transaction(changed["raw_bank_transactions"], contacts, accounts, loaded_at))
     store("fact_manual_journal", star.fact_manual_journal(changed["raw_manual_journals"], loaded_at))
 
 
-def read_current(spark: SparkSession, base: str, log: str, table: str, before: int | None = None) -> DataFrame:
-    """A table with its change log merged in, optionally only the loads ``before`` an id."""
+def _stored(spark: SparkSession, base: str, log: str, table: str, before: int | None) -> tuple[DataFrame, DataFrame]:
+    """Base rows and logged changes of a table."""
     rows = spark.read.parquet(f"{base}/{table}")
-    change_log.create_log(spark, f"{log}/{table}", rows.schema)
     changes = change_log.read_log(spark, f"{log}/{table}", rows.schema)
-    if before is not None:
-        changes = changes.filter(changes["batch_id"] < before)
+    return rows, changes if before is None else changes.filter(F.col("batch_id") < before)
+
+
+def read_current(spark: SparkSession, base: str, log: str, table: str, before: int | None = None,
+                 wanted: DataFrame | None = None) -> DataFrame:
+    """A table with its change log merged in; optionally only the loads ``before`` an id, and only the keys ``wanted``.
+
+    Nothing is written. The keys cut base and log before the merge.
+    """
+    rows, changes = _stored(spark, base, log, table, before)
     rule = MERGE_RULES[table]
+    if wanted is not None:
+        rows, changes = (df.join(wanted.select(*rule.keys), list(rule.keys), "left_semi") for df in (rows, changes))
     return change_log.current_state(rows, changes, rule.keys, rule.insert_only)
 
 
 def _write(rows: DataFrame, path: str, sort_by: tuple[str, ...]) -> str:
-    """Sorted within tasks: no extra shuffle, and a big tenant stays spread over many files."""
-    rows.sortWithinPartitions(*sort_by).write.mode("errorifexists").parquet(path)
+    """In ranges of ``sort_by``: a file holds few tenants and days, and a big tenant is many files."""
+    rows.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write.mode("errorifexists").parquet(path)
     return path

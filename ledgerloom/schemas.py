@@ -50,8 +50,51 @@ UNIQUE_KEYS: dict[str, tuple[str, ...]] = {
     "raw_payments": ("connection_id", "source_id"),
     "raw_bank_transactions": ("connection_id", "source_id"),
     "raw_manual_journals": ("connection_id", "source_id"),
+    "report_snapshots": ("connection_id", "report_type", "period_date"),
+    "dim_contact": ("tenant_id", "source_id"),
+    "dim_account": ("tenant_id", "source_id"),
+    "fact_invoice": ("tenant_id", "source_id"),
+    "fact_invoice_line": ("tenant_id", "source_invoice_id", "source_id"),
+    "fact_payment": ("tenant_id", "source_id"),
+    "fact_bank_transaction": ("tenant_id", "source_id"),
+    "fact_manual_journal": ("tenant_id", "source_id"),
+    "fact_trial_balance": ("snapshot_id", "row_order"),
+    "fact_profit_and_loss": ("snapshot_id", "row_order"),
+    "fact_balance_sheet": ("snapshot_id", "row_order"),
+    "uploaded_rows": ("batch_id", "row_index"),
+    "statement_lines": ("tenant_id", "dedup_hash"),
 }
 
+# Columns no row may lack, by kind of table.
+RAW_TABLES = ("raw_contacts", "raw_accounts", "raw_invoices", "raw_invoice_lines", "raw_payments", "raw_bank_transactions",
+              "raw_manual_journals")
+WAREHOUSE_TABLES = ("dim_contact", "dim_account", "fact_invoice", "fact_invoice_line", "fact_payment",
+                    "fact_bank_transaction", "fact_manual_journal")
+REQUIRED: dict[str, tuple[str, ...]] = {
+    **{t: ("connection_id", "tenant_id", "source_id") for t in RAW_TABLES},
+    **{t: ("id", "tenant_id", "source_id") for t in WAREHOUSE_TABLES},
+    "statement_lines": ("tenant_id", "batch_id", "date", "description", "amount", "dedup_hash"),
+}
+
+# Fixed values: (child table, foreign key, parent table, its key) of the warehouse and of uploads.
+FOREIGN_KEYS: tuple[tuple[str, str, str, str], ...] = (
+    *[(t, "connection_id", "connections", "id") for t in RAW_TABLES],
+    *[(t, "tenant_id", "tenants", "id") for t in RAW_TABLES],
+    *[(t, "tenant_id", "dim_tenant", "id") for t in WAREHOUSE_TABLES],
+    ("fact_invoice", "dim_contact_id", "dim_contact", "id"),
+    ("fact_invoice_line", "fact_invoice_id", "fact_invoice", "id"),
+    ("fact_invoice_line", "dim_account_id", "dim_account", "id"),
+    ("fact_payment", "fact_invoice_id", "fact_invoice", "id"),
+    ("fact_payment", "dim_account_id", "dim_account", "id"),
+    ("fact_bank_transaction", "dim_contact_id", "dim_contact", "id"),
+    ("fact_bank_transaction", "dim_account_id", "dim_account", "id"),
+    *[(t, "snapshot_id", "report_snapshots", "id") for t in ("fact_trial_balance", "fact_profit_and_loss", "fact_balance_sheet")],
+    ("client_metadata", "business_type_id", "business_types", "id"),
+    ("upload_batches", "tenant_id", "tenants", "id"),
+    ("statement_lines", "batch_id", "upload_batches", "id"),
+    ("statement_lines", "tenant_id", "tenants", "id"),
+)
+
 # Fixed values: (table, rule name, SQL condition that a valid row meets).
 CONSTRAINTS: tuple[tuple[str, str, str], ...] = (
     ("sync_runs", "status_known", "status IN ('pending', 'running', 'completed', 'failed')"),
@@ -68,6 +111,7 @@ CONSTRAINTS: tuple[tuple[str, str, str], ...] = (
     ("report_rows", "row_type_known", "row_type IN ('row', 'summary')"),
     ("client_metadata", "fiscal_month_in_year", "fiscal_year_end_month BETWEEN 1 AND 12"),
     ("upload_batches", "status_known", "status IN ('pending', 'processing', 'completed', 'failed')"),
+    *[(table, f"{column}_given", f"{column} IS NOT NULL") for table, columns in REQUIRED.items() for column in columns],
 )
 
 # Business type lookup.

@@ -48,9 +48,12 @@ def build_session(app: str = "ledgerloom", master: str | None = None,
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    A machine-local folder is used only where the setting is absent, i.e. in tests.
+    Only a local session, as in tests, may do without the setting.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return os.path.join(shared, "ledgerloom", f"{label}-{uuid.uuid4().hex}")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"ledgerloom-{label}-")

@@ -183,9 +183,12 @@ class Ledger:
     def raw_payments(self) -> DataFrame:
         return self.payments_from(self.read("events"))
 
-    def payments_from(self, events: DataFrame) -> DataFrame:
+    def order_owners(self) -> DataFrame:
+        return self._orders.select("o_orderkey", "connection_id", "tenant_id")
+
+    def payments_from(self, events: DataFrame, owners: DataFrame | None = None) -> DataFrame:
         """Purchases as payments of the order that has the same number."""
-        owners = self._orders.select("o_orderkey", "connection_id", "tenant_id")
+        owners = self.order_owners() if owners is None else owners
         purchases = events.filter(F.col("event_type") == "purchase")
         rows = purchases.join(owners, F.col("event_id") == F.col("o_orderkey"), "inner")
         return rows.selectExpr(

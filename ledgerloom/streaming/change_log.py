@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -51,8 +52,14 @@ def create_log(spark: SparkSession, log: str, schema: T.StructType) -> None:
 
 
 def read_log(spark: SparkSession, log: str, schema: T.StructType) -> DataFrame:
-    """All logged changes with the micro-batch that brought them."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(log)
+    """All logged changes with the micro-batch that brought them; none where there is no log yet. Writes nothing."""
+    logged = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    try:
+        return spark.read.schema(logged).parquet(log)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], logged)
 
 
 def net_changes(log: DataFrame, keys: Sequence[str], insert_only: Sequence[str]) -> DataFrame:

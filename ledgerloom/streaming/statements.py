@@ -14,29 +14,56 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.operators.statements import dedup
 
 
+# Lines with equal identity have equal dates, so a month is all that a batch has to be compared with.
+MONTH = "_month"
+
+
+def _by_month(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(MONTH, F.coalesce(F.date_format("date", "yyyy-MM"), F.lit("none")))
+
+
+def _store(rows: DataFrame, folder: str, mode: str) -> None:
+    _by_month(rows).write.mode(mode).partitionBy(MONTH).parquet(folder)
+
+
 def create_table(existing: DataFrame, table: str) -> None:
     """Seed the table with the lines known so far (possibly none); a no-op if it exists."""
-    existing.write.mode("ignore").parquet(f"{table}/load_id=-1")
+    _store(existing, f"{table}/load_id=-1", "ignore")
 
 
 def read_lines(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("load_id", T.LongType())])).parquet(table)
+    parts = [T.StructField("load_id", T.LongType()), T.StructField(MONTH, T.StringType())]
+    return spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(table)
+
+
+def earlier_lines(table: str, schema: T.StructType, lines: DataFrame, batch_id: int) -> DataFrame:
+    """Lines of earlier loads in the months of ``lines``; the folders of other months are not opened."""
+    months = [r[0] for r in _by_month(lines).select(MONTH).distinct().collect()]
+    stored = read_lines(lines.sparkSession, table, schema)
+    return stored.filter((F.col("load_id") < batch_id) & F.col(MONTH).isin(months))
 
 
 def insert_new_lines(table: str, schema: T.StructType, prepare: Callable[[DataFrame], DataFrame]):
     """``foreachBatch`` handler: lines not in any earlier batch become one ``load_id=N`` folder.
 
-    The comparison reads only the identity columns of earlier loads, and a replayed batch
-    compares against exactly the same earlier loads, so it writes the same rows again.
+    The comparison reads only the identity columns of earlier loads in the batch's months, and a
+    replayed batch compares against exactly the same earlier loads, so it writes the same rows again.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        earlier = read_lines(batch.sparkSession, table, schema).filter(F.col("load_id") < batch_id)
-        dedup(prepare(batch), earlier).write.mode("overwrite").parquet(f"{table}/load_id={batch_id}")
+        lines = prepare(batch)
+        fresh = dedup(lines, earlier_lines(table, schema, lines, batch_id))
+        _store(fresh, f"{table}/load_id={batch_id}", "overwrite")
 
     return handle
 
 
+def compact_lines(spark: SparkSession, table: str, schema: T.StructType, out: str) -> str:
+    """Write all lines as the first load of a new table, which later batches go on from."""
+    create_table(read_lines(spark, table, schema).drop("load_id", MONTH), out)
+    return out
+
+
 def stream_lines(source: DataFrame, table: str, checkpoint: str, schema: T.StructType,
                  prepare: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
     return (

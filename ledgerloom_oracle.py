@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from ledgerloom.schemas import FOREIGN_KEYS, REQUIRED
+
 AS_OF = "DATE '2001-06-30'"
 RUN_CLOCK = "TIMESTAMP '2001-08-01 12:00:00'"
 CURSOR_CLOCK = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -588,6 +590,7 @@ QUERIES: dict[str, str] = {
     **{t: columns_of(t) for t in ("dim_tenant", "dim_contact", "dim_account", "fact_invoice", "fact_invoice_line",
                                   "fact_bank_transaction", "fact_manual_journal")},
     "fact_payment": "SELECT * EXCLUDE (invoice_id, account_id) FROM fact_payment",
+    "warehouse_refresh": f"SELECT * FROM ({UPSERT_PARTS}) u UNION ALL SELECT 'total', CAST(sum(upserted) AS BIGINT) FROM ({UPSERT_PARTS}) v",
     "warehouse_refresh_counts": f"SELECT * FROM ({UPSERT_PARTS}) u UNION ALL SELECT 'total', CAST(sum(upserted) AS BIGINT) FROM ({UPSERT_PARTS}) v",
     # reports
     "report_amount_parse": """
@@ -754,6 +757,11 @@ QUERIES: dict[str, str] = {
         rule("report_rows", "row_type_known", "level NOT IN (0, 1)"),
         rule("client_metadata", "fiscal_month_in_year", "fiscal_year_end_month NOT BETWEEN 1 AND 12", "client_meta"),
         rule("upload_batches", "status_known", "status NOT IN ('pending', 'processing', 'completed', 'failed')"),
+        *[rule(t, f"{c}_given", f"{c} IS NULL") for t, columns in REQUIRED.items() for c in columns],
+    ]),
+    "quality_foreign_keys": union([
+        orphan(f"{child}.{fk}", {"client_metadata": "client_meta"}.get(child, child), f"c.{fk}",
+               {"report_snapshots": "snapshots"}.get(parent, parent), "p.snapshot_id" if parent == "report_snapshots" else f"p.{pk}") for child, fk, parent, pk in FOREIGN_KEYS
     ]),
     "quality_orphans": union([
         orphan("connections.tenant_id", "connections", "c.tenant_id", "tenants", "p.id"),
@@ -769,6 +777,12 @@ QUERIES: dict[str, str] = {
         duplicates("raw_accounts", MERGED), duplicates("raw_invoices", MERGED),
         duplicates("raw_invoice_lines", "connection_id, source_invoice_id, source_id"), duplicates("raw_payments", MERGED),
         duplicates("raw_bank_transactions", MERGED), duplicates("raw_manual_journals", MERGED),
+        duplicates("report_snapshots", "connection_id, report_type, period_date", "snapshots"),
+        *[duplicates(t, "tenant_id, source_id") for t in ("dim_contact", "dim_account", "fact_invoice", "fact_payment",
+                                                          "fact_bank_transaction", "fact_manual_journal")],
+        duplicates("fact_invoice_line", "tenant_id, source_invoice_id, source_id"),
+        *[duplicates(t, "snapshot_id, row_order") for t in ("fact_trial_balance", "fact_profit_and_loss", "fact_balance_sheet")],
+        duplicates("uploaded_rows", "batch_id, row_index", "uploaded"), duplicates("statement_lines", "tenant_id, dedup_hash"),
         duplicates("delivered_lines", "l_orderkey, l_linenumber", "lineitem"),
         duplicates("account_codes", "tenant_id, code", "raw_accounts"),
     ]),
@@ -779,6 +793,11 @@ QUERIES: dict[str, str] = {
         lifecycle("cursor_in_future", "sync_checkpoints", f"last_modified_at > {CURSOR_CLOCK}"),
     ]),
     "quality_unresolved_lookups": union([
+        lookups_row("fact_invoice.contact", "(SELECT f.*, contact_id FROM fact_invoice f JOIN raw_invoices r USING (tenant_id, source_id))",
+                    "contact_id", "dim_contact_id"),
+        *[lookups_row(f"fact_bank_transaction.{what}", "(SELECT f.*, contact_id, bank_account_id FROM fact_bank_transaction f "
+                      "JOIN raw_bank_transactions r USING (tenant_id, source_id))", natural, resolved)
+          for what, natural, resolved in (("contact", "contact_id", "dim_contact_id"), ("account", "bank_account_id", "dim_account_id"))],
         lookups_row("fact_invoice_line.account", "fact_invoice_line", "account_code", "dim_account_id"),
         lookups_row("fact_invoice_line.invoice", "fact_invoice_line", "source_invoice_id", "fact_invoice_id"),
         lookups_row("fact_payment.invoice", "fact_payment", "invoice_id", "fact_invoice_id"),
@@ -790,7 +809,8 @@ QUERIES: dict[str, str] = {
         FROM (SELECT *, CAST(substr(source_id, 2) AS BIGINT) % 2 = 0 AS even FROM raw_payments)""",
     "stream_statement_dedup": """
         SELECT * FROM streamed_lines
-        QUALIFY row_number() OVER (PARTITION BY tenant_id, dedup_hash ORDER BY batch_id, row_index) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY tenant_id, dedup_hash ORDER BY CASE WHEN description <> 'click' THEN row_index % 3 END NULLS FIRST,
+                                   batch_id, row_index) = 1""",
 }
 
 ORACLE_SQL: dict[str, str] = {name: sql(text) for name, text in QUERIES.items()}

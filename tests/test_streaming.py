@@ -77,3 +77,29 @@ def test_statement_stream_equals_batch(spark, scratch):
     before = rows(got, "id", "load_id")
     lines.insert_new_lines(table, empty.schema, prepare)(spark.createDataFrame(batches[1], raw), 1)
     assert rows(lines.read_lines(spark, table, empty.schema), "id", "load_id") == before
+
+
+def test_a_late_batch_opens_only_its_months(spark, scratch):
+    schema = "tenant_id string, dedup_hash string, batch_id string, row_index int, date date"
+    def frame(data):
+        return spark.createDataFrame([(*r[:4], dt.date.fromisoformat(r[4]) if r[4] else None) for r in data], schema)
+
+    table = f"{scratch}/table"
+    old = frame([("t", "a", "b", 0, "2024-01-05"), ("t", "b", "b", 1, "2024-02-05"), ("t", "c", "b", 2, None)])
+    lines.create_table(old, table)
+    late = frame([("t", "b", "c", 0, "2024-02-05"), ("t", "d", "c", 1, "2024-02-06"), ("t", "c", "c", 2, None)])
+    earlier = lines.earlier_lines(table, old.schema, late, 5)
+    assert rows(earlier, "dedup_hash") == [("b",), ("c",)]
+    plan = earlier._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_id" in plan and "_month" in plan.split("PartitionFilters")[1].split("]")[0]
+    lines.insert_new_lines(table, old.schema, lambda b: b)(late, 5)
+    assert rows(lines.read_lines(spark, table, old.schema), "dedup_hash") == [("a",), ("b",), ("c",), ("d",)]
+    lines.compact_lines(spark, table, old.schema, f"{scratch}/next")
+    assert rows(lines.read_lines(spark, f"{scratch}/next", old.schema), "dedup_hash", "load_id") == [(h, -1) for h in "abcd"]
+
+
+def test_reading_a_missing_log_writes_nothing(spark, scratch):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    assert change_log.read_log(spark, f"{scratch}/none", schema).count() == 0
+    import os
+    assert not os.path.exists(f"{scratch}/none")
