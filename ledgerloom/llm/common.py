@@ -1,4 +1,4 @@
-"""Helpers shared by the text operators: shared scratch tables and a bounded duplicate filter."""
+"""Helpers shared by the text operators: shared scratch tables and bounded filters of keys."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Width of the duplicate filter in bits; its table has at most ``SLOTS / 32768`` rows of 4 KB, that is 8 MB.
+#: Width of a filter in bits; its table has at most ``SLOTS / 32768`` rows of 4 KB, that is 8 MB.
 SLOTS = 1 << 26
 _BITS_PER_ROW = 32768
 
@@ -56,16 +56,24 @@ def repeated_filter(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
     Counting is by slot, so state and result are bounded by ``SLOTS`` however many keys there are. A slot may be
     shared by chance; the filter lets such a key through and never loses a repeated one.
     """
-    slots = df.groupBy(_slot(keys).alias("slot")).count().where("count > 1")
+    return _bitmap(df.groupBy(_slot(keys).alias("slot")).count().where("count > 1"))
+
+
+def present_filter(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    """Bitmap of the hash slots of all keys of ``df``; bounded like :func:`repeated_filter`."""
+    return _bitmap(df.select(_slot(keys).alias("slot")).distinct())
+
+
+def _bitmap(slots: DataFrame) -> DataFrame:
     return slots.groupBy(F.bitmap_bucket_number("slot").alias("__bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bitmap"))
 
 
-def mark_repeated(df: DataFrame, keys: Sequence[Column], repeated: DataFrame, name: str) -> DataFrame:
-    """Add a boolean ``name``: false only for rows whose key no other row of the filter's input has."""
+def mark_found(df: DataFrame, keys: Sequence[Column], found: DataFrame, name: str) -> DataFrame:
+    """Add a boolean ``name``: false only for rows whose key is not one that the filter was made to let through."""
     marked = df.withColumn("__slot", _slot(keys))
     joined = marked.join(
-        F.broadcast(repeated.withColumnRenamed("__bucket", "__at")),
+        F.broadcast(found.withColumnRenamed("__bucket", "__at")),
         F.bitmap_bucket_number("__slot") == F.col("__at"), "left")
     position = F.bitmap_bit_position("__slot")
     byte = F.conv(F.hex(F.substring("__bitmap", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import mark_repeated, repeated_filter, text_of
+from ledgerloom.llm.common import mark_found, repeated_filter, text_of
 
 #: Characters hashed in the second step.
 PREFIX_CHARS = 64
@@ -33,12 +33,12 @@ def refine_duplicates(
     rows = rows.withColumn("__bytes", F.octet_length("__text"))
 
     length = [F.col("__bytes")]
-    rows = mark_repeated(rows, length, repeated_filter(rows, length), "__same_length")
+    rows = mark_found(rows, length, repeated_filter(rows, length), "__same_length")
     rows = rows.withColumn(
         "__prefix", F.when(F.col("__same_length"), F.xxhash64(F.substring("__text", 1, prefix_chars))))
 
     prefix = [F.col("__bytes"), F.col("__prefix")]
-    rows = mark_repeated(
+    rows = mark_found(
         rows, prefix, repeated_filter(rows.where(F.col("__prefix").isNotNull()), prefix), "__same_prefix")
     refined = F.col("__same_length") & F.col("__same_prefix")
     # rows that are told apart already get a key of their own, which spreads them and matches no hash

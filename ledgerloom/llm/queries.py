@@ -79,6 +79,17 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_dedup": """
+        WITH RECURSIVE pairs AS MATERIALIZED (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+            AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.9),
+        reach AS (
+            SELECT vec_id AS x, vec_id AS y FROM embeddings
+            UNION SELECT reach.x, pairs.y FROM reach JOIN pairs ON reach.y = pairs.x)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x)
+        LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM pairs GROUP BY x) USING (vec_id)
+    """,
     "op3_line_dedup": r"""
         WITH parts AS (
             SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import mark_repeated, materialise, repeated_filter, shared_folder, ship_code
+from ledgerloom.llm.common import mark_found, materialise, repeated_filter, shared_folder, ship_code
 from ledgerloom.llm.files import new_file, store, write_bytes
 
 #: Equal payloads below this size are all stored.
@@ -39,7 +39,7 @@ def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
         F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("long", F.length("payload") >= REVISIT_BYTES)
     key = [F.col("digest")]
-    rows = mark_repeated(rows, key, repeated_filter(rows.where("long"), key), "seen").withColumn(
+    rows = mark_found(rows, key, repeated_filter(rows.where("long"), key), "seen").withColumn(
         "seen", F.col("seen") & F.col("long"))
     first = rows.where("seen").groupBy("digest").agg(F.min("order").alias("first"))
     fields = ["page", "url", "payload", "digest"]
