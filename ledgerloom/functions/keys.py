@@ -8,7 +8,12 @@ from ledgerloom.functions.text import plain_number
 
 
 def surrogate_key(table: str, *natural_key: Column) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(table), *natural_key))
+    """Id of a natural key; a missing part and a part that holds the separator are told apart from others."""
+    def marked(part: Column) -> Column:
+        escaped = F.replace(F.replace(part.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        return F.coalesce(escaped, F.lit("\\N"))
+
+    return F.md5(F.concat_ws("|", F.lit(table), *map(marked, natural_key)))
 
 
 def statement_hash(tenant_id: Column, day: Column, description: Column, amount: Column) -> Column:

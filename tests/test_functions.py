@@ -107,3 +107,13 @@ def test_hash_identity(spark):
 
     assert hashes("100") == hashes("100.00") != hashes("200")
     assert len(hashes("100")) == 32
+
+
+def test_surrogate_keys_tell_missing_parts_apart(spark):
+    parts = [("a", None, "b"), ("a", "b", None), ("a", "b", ""), ("a|b", None, ""), ("a", "b|", ""), ("a", "\\N", "b")]
+    df = spark.createDataFrame(parts, "x string, y string, z string")
+    ids = [r[0] for r in df.select(keys.surrogate_key("t", F.col("x"), F.col("y"), F.col("z"))).collect()]
+    assert len(set(ids)) == len(parts)
+    import hashlib
+    plain = spark.createDataFrame([("a", "b")], "x string, y string").select(keys.surrogate_key("t", F.col("x"), F.col("y"))).first()[0]
+    assert plain == hashlib.md5(b"t|a|b").hexdigest()
