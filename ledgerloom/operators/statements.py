@@ -16,6 +16,7 @@ from ledgerloom.schemas import (
     REFERENCE_HEADERS,
 )
 
+# Fixed value: messages that the error column of a batch shows; all of them are rows of ``error_rows``.
 SHOWN_ERRORS = 5
 
 
@@ -116,9 +117,11 @@ def dedup(lines: DataFrame, existing: DataFrame | None = None) -> DataFrame:
 
 
 def batch_summary(normalised: DataFrame, headers: DataFrame, completed_at: Column,
-                  inserted: DataFrame | None = None) -> DataFrame:
+                  inserted: DataFrame | None = None, shown_errors: int = SHOWN_ERRORS) -> DataFrame:
     """Outcome per batch. ``processed`` counts good rows, also those that were duplicates.
 
+    ``error`` shows the first ``shown_errors`` messages; the full list is ``error_rows``.
+
     Counts are pre-aggregated; only the first messages of a batch are brought together, so a
     batch of any size costs a few rows per task.
     """
@@ -128,7 +131,7 @@ def batch_summary(normalised: DataFrame, headers: DataFrame, completed_at: Colum
     w = Window.partitionBy("batch_id").orderBy("row_index")
     messages = (
         normalised.filter(failed).select("batch_id", "row_index", "error")
-        .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= SHOWN_ERRORS)
+        .withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= shown_errors)
         .groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("_n", "error"))).alias("_first"))
         .select("batch_id", F.array_join(F.transform("_first", lambda e: e["error"]), "; ").alias("error"))
     )
