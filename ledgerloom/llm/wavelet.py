@@ -1,7 +1,7 @@
 """Token ids in one compressed file per shard: a wavelet matrix with access, counting and occurrence lookup.
 
 File: magic, length of the header, header (JSON), then sections at the offsets that the header names. The bits of each
-plane are cut into blocks of ``BLOCK_BITS``, each compressed on its own; a directory holds place, length and the number
+plane are cut into blocks of ``BLOCK_BITS``, each compressed on its own (zstd); a directory holds place, length and the number
 of ones before each block, so that any question reads a block or two of each plane. The documents (id, number of
 tokens) are an Arrow stream.
 """
@@ -25,7 +25,7 @@ from ledgerloom.llm.common import materialise, shared_folder, ship_code, text_of
 from ledgerloom.llm.files import new_file, store, write_bytes
 
 #: Fixed values of the format and of the token stream.
-MAGIC, BLOCK_BITS, END_ID = b"WVLTMTX1", 1 << 15, 0
+MAGIC, BLOCK_BITS, END_ID = b"WVLTMTX2", 1 << 15, 0
 #: Tokens after which a task ends its shard with the document at hand.
 SHARD_TOKENS = 1 << 22
 _DIRECTORY = np.dtype([("offset", "<u8"), ("length", "<u4"), ("ones", "<u8")])
@@ -33,6 +33,7 @@ _DIRECTORY = np.dtype([("offset", "<u8"), ("length", "<u4"), ("ones", "<u8")])
 
 def encode(ids: np.ndarray, documents: pa.Table, planes: int) -> bytes:
     """The bytes of a shard: its ids, as ``planes`` bit planes, and its documents."""
+    codec = pa.Codec("zstd", 1)
     body, at, header = [], 0, {"n": len(ids), "planes": planes, "zeros": [], "directories": []}
 
     def put(data: bytes) -> int:
@@ -47,8 +48,10 @@ def encode(ids: np.ndarray, documents: pa.Table, planes: int) -> bytes:
         ones = np.add.reduceat(bits, np.arange(0, len(bits), BLOCK_BITS), dtype=np.int64) if len(bits) else []
         directory = np.zeros(len(ones), _DIRECTORY)
         directory["ones"] = np.cumsum(ones) - ones
+        packed = np.packbits(bits, bitorder="little")
         for k in range(len(directory)):
-            block = zlib.compress(np.packbits(bits[k * BLOCK_BITS:(k + 1) * BLOCK_BITS], bitorder="little").tobytes(), 1)
+            start, size = k * BLOCK_BITS // 8, BLOCK_BITS // 8
+            block = codec.compress(packed[start:start + size], asbytes=True)
             directory[k]["length"] = len(block)
             directory[k]["offset"] = put(block)
         header["directories"].append((put(directory.tobytes()), len(directory)))
@@ -68,7 +71,7 @@ class Shard:
 
     def __init__(self, uri: str, blocks: int = 256):
         fs, path = store(uri)
-        self._file = fs.open_input_file(path)
+        self._file, self._codec = fs.open_input_file(path), pa.Codec("zstd")
         if self._file.read(8) != MAGIC:
             raise ValueError(f"{uri} is no shard")
         (size,) = struct.unpack("<Q", self._file.read(8))
@@ -92,8 +95,9 @@ class Shard:
 
     def _unpacked(self, plane: int, k: int) -> np.ndarray:
         entry = self._directories[plane][k]
-        data = np.frombuffer(zlib.decompress(self._read(entry["offset"], entry["length"])), np.uint8)
-        return np.unpackbits(data, count=min(BLOCK_BITS, self.n - k * BLOCK_BITS), bitorder="little")
+        count = min(BLOCK_BITS, self.n - k * BLOCK_BITS)
+        data = self._codec.decompress(self._read(entry["offset"], entry["length"]), (count + 7) // 8, asbytes=True)
+        return np.unpackbits(np.frombuffer(data, np.uint8), count=count, bitorder="little")
 
     def _ones(self, plane: int, i: int) -> int:
         """Ones of a plane before place i."""
