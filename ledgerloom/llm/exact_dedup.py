@@ -48,7 +48,8 @@ def refine_duplicates(
     key = ["__bytes", "__full"]
     groups = rows.where(~F.col("__full").startswith("own:")).groupBy(*key).agg(
         F.max("__id").alias("__keep"), F.count(F.lit(1)).alias("__size")).where("__size > 1")
-    return rows.join(groups, key, "left").select(
+    # dealt anew on both sides, so that the rows of a large group can be split over tasks
+    return rows.join(groups.hint("rebalance"), key, "left").select(
         F.col("__id").alias(id_col), *[F.col(f"__carry_{c}").alias(c) for c in carry],
         F.when(F.col("__size").isNull(), F.col("__id")).otherwise(F.col("__keep")).alias("keep_id"),
         F.coalesce("__size", F.lit(1).cast("long")).alias("group_size"),
