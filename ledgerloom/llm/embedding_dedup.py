@@ -170,7 +170,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     placed = placed.select("node", "copies", "first", F.coalesce("links", F.lit(0)).alias("links"),
                            F.coalesce("component", "node").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    result = materialise(placed.join(smallest, "root").select(
+    result = materialise(placed.join(smallest.hint("rebalance"), "root").select(
         "node", (F.col("copies") - 1 + F.col("links")).alias("n_links"), "component_id"), "vector-classes")
     linked = named.where("ok").select("id", "node").join(result, "node").select("id", "n_links", "component_id")
     alone = named.where("NOT ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
