@@ -29,9 +29,9 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the rule of the SQL: one number of documents for all lines
+    # the rule of the SQL: one template a leaf, one number of documents for all lines
     docs = _table(spark, sf_dir, "documents")
-    return line_dedup.drop_recurring_lines(docs, long_words=None).select(
+    return line_dedup.drop_recurring_lines(docs, long_words=None, families=False).select(
         "doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"))
 
 
