@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -18,7 +19,9 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup p pre
     search section summary table tbody td tfoot th thead tr ul""".split())
-_RAW = "script|style|noscript|template|iframe|svg|math|textarea|title|select|object|canvas|button|noframes|xmp"
+# What is between their tags is no markup, or no text of the page; only the former runs to the page's end for want of one.
+_RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in "script style iframe textarea title noframes xmp".split()}
+_SKIPPED = frozenset("svg noscript template select object canvas button annotation annotation-xml".split())
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}),
@@ -37,8 +40,7 @@ _COMMENTS = re.compile(r"(?<![a-z])(?:comments?|replies|respond|disqus|discussio
 _HEADER = re.compile(r"(?<![a-z])(?:header|page-header|site-header)(?![a-z])")
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)|"
-    r"<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-z/!?][^>]*+(?:>|\Z)", re.I | re.S)
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-z/!?][^>]*+(?:>|\Z)", re.I | re.S)
 _ATTRIBUTE = re.compile(
     r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
     re.I)
@@ -70,11 +72,13 @@ class _Element:
     marked: bool = False
     comments: bool = False
     link: bool = False
+    skipped: bool = False
 
 
 def _entered(tag: str, attributes: str, above: _Element, number: int) -> _Element:
     """State below an element, from the state above it."""
-    e = _Element(tag, number, above.inside, above.outside, above.marked, above.comments, above.link or tag == "a")
+    e = _Element(tag, number, above.inside, above.outside, above.marked, above.comments, above.link or tag == "a",
+                 above.skipped or tag in _SKIPPED)
     names, role = "", ""
     for m in _ATTRIBUTE.finditer(attributes) if attributes else ():
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -101,6 +105,38 @@ def _entered(tag: str, attributes: str, above: _Element, number: int) -> _Elemen
     return e
 
 
+def _tokens(page: str) -> tuple[list[tuple[int, int, bool, str, str]], dict[int, int]]:
+    """Tags in page order: start, end, whether it is an end tag, name (empty for what is no tag), attributes.
+
+    Also the number of the end tag of every skipped element that has one before its parent's.
+    """
+    out: list[tuple[int, int, bool, str, str]] = []
+    ends: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    count: Counter[str] = Counter()
+    at = 0
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        tag, closed = (m[2] or "").lower(), (m[3] or "").endswith("/")
+        if m[1]:
+            if count[tag]:
+                while True:
+                    name, number = open_.pop()
+                    count[name] -= 1
+                    if name == tag:
+                        break
+                if tag in _SKIPPED:
+                    ends[number] = len(out)
+        elif tag in _RAW and not (closed and (count["svg"] or count["math"])):
+            end = _RAW[tag].search(page, at)
+            at, tag = end.end() if end else len(page), ""
+        elif tag and tag not in _VOID and not closed:
+            open_.append((tag, len(out)))
+            count[tag] += 1
+        out.append((m.start(), at, bool(m[1]), tag, m[3] or ""))
+    return out, ends
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks of text in page order, with what stands around them."""
     stack = [_Element("", 0)]
@@ -123,6 +159,8 @@ def blocks_of(page: str) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal size, linked, owner
+        if stack[-1].skipped:
+            return
         parts.append(text)
         n = len(text.strip())
         if n:
@@ -137,15 +175,24 @@ def blocks_of(page: str) -> list[Block]:
             end()
         del stack[k:]
 
-    for m in _TOKEN.finditer(page):
-        if m.start() > last:
-            add(page[last:m.start()])
-        last = m.end()
-        name = m[3]
-        if name is None:
+    tokens, ends = _tokens(page)
+    upto = -1
+    for i, (start, stop, closing, tag, attributes) in enumerate(tokens):
+        if i <= upto:
+            continue
+        if start > last:
+            add(page[last:start])
+        last = stop
+        if not tag:
+            continue
+        if i in ends and not closing:
+            upto = ends[i]
+            last = tokens[upto][1]
             continue
-        tag = name.lower()
-        if m[2]:
+        if stack[-1].skipped and tag in _BLOCK:
+            # an element without an end tag of its own holds no blocks
+            pop_to(next(k for k, e in enumerate(stack) if e.skipped))
+        if closing:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     pop_to(k)
@@ -173,9 +220,9 @@ def blocks_of(page: str) -> list[Block]:
                         break
         elif tag == "br":
             parts.append(" ")
-        if tag not in _VOID and not m[4].endswith("/"):
+        if tag not in _VOID and not attributes.endswith("/"):
             number += 1
-            stack.append(_entered(tag, m[4], stack[-1], number))
+            stack.append(_entered(tag, attributes, stack[-1], number))
     if last < len(page):
         add(page[last:])
     end()

@@ -74,3 +74,17 @@ def test_rows_of_every_kind(spark):
     assert sorted((str(r.page_id), r["__text"]) for r in got.collect()) == sorted(
         (str(i), html_text.main_text(h or "")) for i, _, h in rows)
     assert html_text.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_elements_without_text_end_with_themselves_or_their_parents():
+    rest = f"<p>Second paragraph. {LONG}</p>"
+    second = f"Second paragraph. {LONG.strip()}"
+    for tag in ('<svg class="i"/>', "<svg><title/><path d='x'/></svg>", "<svg><text>no</text></svg>", "<button>no",
+                "<select><option>no", "<object>no", "<canvas>no</canvas>", "<button><div>no</div></button>", "<svg>", "<noscript>no",
+                "<object>no<object>no</object></object>", "<button>no</button>", "<template><p>no</p></template>"):
+        got = html_text.main_text(f"<article><p>One {LONG}{tag}</p>{rest}<p>Third. {LONG}<button>no</button></p></article>").split("\n\n")
+        assert got == [f"One {LONG.strip()}", second, f"Third. {LONG.strip()}"], tag
+    assert html_text.main_text('<article><p>a <svg class="i"/> b</p><p>Second paragraph.</p></article>') == "a b\n\nSecond paragraph."
+    formula = "<math><semantics><mi>x</mi><mo>+</mo><mn>1</mn><annotation encoding='tex'>no</annotation></semantics></math>"
+    assert html_text.main_text(f"<article><p>Let {formula} be. {LONG}</p></article>") == f"Let x+1 be. {LONG.strip()}"
+    assert html_text.main_text(f"<article><p>One {LONG}</p><script>no<p>no") == f"One {LONG.strip()}"
