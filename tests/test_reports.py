@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from decimal import Decimal
 
-
+import pytest
 from conftest import rows as collected
 
 from ledgerloom.operators import reports
