@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import bpe, embedding_dedup, exact_dedup, html_text, language_id, line_dedup, packing, simhash, warc, wavelet
+from ledgerloom.llm import (alignment, bpe, embedding_dedup, exact_dedup, html_text, importance, language_id, line_dedup, packing, simhash,
+                           url_filter, warc, wavelet)
 from ledgerloom.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+#: Fixed values of the contract: the rules that the pages are judged by.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
+        "page_id", *[F.col(f"__{c}").alias(c) for c in ("host", "path", "rule", "verdict")])
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_language_id": op2_language_id,
@@ -78,6 +98,9 @@ QUERIES: dict[str, Query] = {
     "op8_wavelet_shards": op8_wavelet_shards,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
+    "op11_importance": op11_importance,
+    "op12_url_filter": op12_url_filter,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -151,4 +174,25 @@ ORACLE_SQL: dict[str, str] = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op12_url_filter": r"""
+        WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES
+            ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+            ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        placed AS (
+            SELECT page_id,
+                   CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*') END AS raw,
+                   CASE WHEN contains(url, '://')
+                        THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) END AS path
+            FROM pages),
+        hosts AS (
+            SELECT page_id, coalesce(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                   coalesce(path, '') AS path FROM placed),
+        fitting AS (
+            SELECT host, path, arg_max(rule_host || rule_path, (length(rule_host || rule_path), length(rule_host))) AS rule,
+                   arg_max(rule_verdict, (length(rule_host || rule_path), length(rule_host))) AS verdict
+            FROM (SELECT DISTINCT host, path FROM hosts) JOIN rules
+              ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY host, path)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM hosts LEFT JOIN fitting USING (host, path)
+    """,
 }

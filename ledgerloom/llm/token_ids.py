@@ -1,12 +1,14 @@
 """Token ids of whole texts, equal to those of the ``tokenizers`` library for a byte-level vocabulary file.
 
 The vocabulary is read as the ranks of a byte-pair encoder (``tiktoken``), which is about five times as fast as the
-``tokenizers`` library on the same file. Texts that contain one of the file's special tokens go to ``tokenizers``.
+``tokenizers`` library on the same file. Texts that contain one of the file's special tokens go to ``tokenizers``, and
+so do texts with very long runs of white space, on which ``tiktoken`` overflows its stack.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import public_tokenizers
@@ -17,6 +19,8 @@ from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _OPENED: dict[int, "Encoder"] = {}
+#: Runs of white space of this length and more are left to ``tokenizers``.
+_LONG_BLANK = re.compile(r"\s{10000}")
 
 
 def byte_letters() -> list[str]:
@@ -41,13 +45,28 @@ class Encoder:
         self.whole = Tokenizer.from_str(content)
         self.whole.no_truncation()
         self.whole.no_padding()
+        self.plain = Tokenizer.from_str(content)
+        self.plain.no_truncation()
+        self.plain.no_padding()
+        self.plain.encode_special_tokens = True
         self.fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN,
                                       mergeable_ranks=token_bytes(spec), special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
+        """Ids of a whole text; strings of special tokens in it become those tokens."""
         if any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(self.fast.encode_ordinary(text), np.uint32)
+        return self.plain_ids(text)
+
+    def plain_ids(self, text: str) -> np.ndarray:
+        """Ids of a whole text in which the strings of special tokens are text like any other."""
+        if _LONG_BLANK.search(text) is None:
+            try:
+                return np.array(self.fast.encode_ordinary(text), np.uint32)
+            except BaseException as failure:  # a panic of the native code is no Exception
+                if type(failure).__name__ != "PanicException":
+                    raise
+        return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def share(spark: SparkSession, path: str | None = None) -> Broadcast:
