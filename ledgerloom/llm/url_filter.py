@@ -33,8 +33,11 @@ def _reversed_labels(host: Column) -> Column:
 
 
 def _key(labels: Column, path: Column) -> Column:
-    """Labels from the top level down, each ended by a point, then the path: every prefix is an interval of keys."""
-    return F.concat(F.concat_ws(".", labels), F.when(F.size(labels) > 0, ".").otherwise(""), path)
+    """Labels from the top level down, each ended by a point, a slash, then the path: every prefix is an interval of keys.
+
+    A host has no slash, so the one before the path tells where it ends.
+    """
+    return F.concat(F.concat_ws(".", labels), F.when(F.size(labels) > 0, "./").otherwise("/"), path)
 
 
 def canonical_rules(rules: DataFrame) -> DataFrame:

@@ -107,3 +107,17 @@ def test_pack(spark, with_ids):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "a" * 1_000_000, "中" * 300_000, "x" + " \n" * 500_000])
+def test_long_runs_are_encoded_whole(text):
+    with open(token_ids.VOCABULARY, encoding="utf-8") as f:
+        encoder = token_ids.Encoder(f.read())
+    ids = encoder.ids(text)
+    assert encoder.whole.decode(ids.tolist(), skip_special_tokens=False) == text
+
+
+def test_a_document_of_white_space_alone_is_packed(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "\n" * 1_000_000), (3, "a b")], "doc_id bigint, text string")
+    made = packing.pack(docs).collect()
+    assert {r.doc_id for r in made} == {1, 2, 3} and sum(r.length for r in made if r.doc_id == 1) == 1_000_001

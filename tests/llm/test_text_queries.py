@@ -16,6 +16,9 @@ COLUMNS = {
     "op8_wavelet_shards": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op9_simhash": ["doc_id", "fingerprint", "component_id"],
     "op10_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op11_importance": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op12_url_filter": ["page_id", "host", "path", "rule", "verdict"],
+    "op13_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
 }
 TABLES = ("documents", "pages", "embeddings")
 
@@ -30,7 +33,7 @@ def test_query_covers_its_table_and_equals_its_sql(spark, folder, name):
     df = QUERIES[name](spark, folder)
     assert df.columns == COLUMNS[name]
     got = [tuple(r) for r in df.collect()]
-    table = "embeddings" if name.startswith("op1_") else "pages" if name[:4] in ("op4_", "op5_") else "documents"
+    table = "embeddings" if name.startswith("op1_") else "pages" if name[:4] in ("op4_", "op5_", "op12") else "documents"
     ids = [r[0] for r in spark.read.parquet(f"{folder}/{table}.parquet").select(COLUMNS[name][0]).collect()]
     assert (sorted(set(r[0] for r in got)) if name == "op10_packing" else sorted(r[0] for r in got)) == sorted(ids)
     if name in ORACLE_SQL:

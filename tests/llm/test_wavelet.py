@@ -62,3 +62,9 @@ def test_shards_are_cut_and_empty_tables_write_none(spark, tmp_path):
     found = wavelet.read_shards(shards, docs.schema["doc_id"].dataType).orderBy("start").collect()
     assert [r.id for r in found] == list(range(100))
     assert wavelet.store_and_read(docs.limit(0)).count() == 0
+
+
+def test_documents_of_white_space_alone_are_stored(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "\n" * 1_000_000), (3, "a b")], "doc_id bigint, text string")
+    rows = {r.doc_id: r.n_tokens for r in wavelet.store_and_read(docs).collect()}
+    assert rows[1] == 1_000_001 and rows[2] > 1000 and rows[3] == 3
