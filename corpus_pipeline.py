@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import language_id, line_dedup, packing, simhash
+from ledgerloom.llm import language_id, line_dedup, near_copies, packing
 from ledgerloom.llm.common import materialise
 
 #: Stages that only trained models and iterative linking can express have no SQL equivalent.
@@ -30,8 +30,8 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id."""
-    return simhash.keep_first(docs)
+    """One document of each group of near duplicates, by SimHash and for the rest by min-hash: that with the smallest id."""
+    return near_copies.keep_first(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,19 +19,26 @@ from ledgerloom.llm import token_ids
 from ledgerloom.llm.common import materialise, ship_code, text_of
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
-#: Links of a block of documents: what one task holds at once, and what one group of the last step holds.
-BLOCK_LINKS = 1 << 18
-#: Window alignments are remembered up to so many ids in all, windows of more than ``LONG_WINDOW`` ids never.
-REMEMBERED_IDS, LONG_WINDOW = 2_000_000, 48
+#: Tokens of A in a block of documents: what one task holds at once, and what one group of the last step holds.
+BLOCK_TOKENS = 1 << 18
+#: Window alignments are remembered from block to block up to so many ids in all.
+REMEMBERED_IDS = 1_000_000
 #: An id pair is one number: A's id shifted by this, and B's id.
 _B_BITS = 32
+#: Beyond all ids of A: where a packed window goes over from A to B.
+_B_MARK = 1 << 24
+#: Characters of the texts that are tokenised in one call, but for one long text.
+_CHARS_AT_ONCE = 1 << 18
 _OPENED: dict[int, "Aligner"] = {}
 
-Window = tuple[str, tuple[int, ...]]
-
 
 class Aligner:
-    """Both tokenizers, the bytes of their tokens and the windows seen so far."""
+    """Both tokenizers, the bytes of their tokens and the windows seen so far.
+
+    ``seen`` gives a window's number by its id tuples, packed as A's ids and B's ids beyond ``_B_MARK``; ``groups`` has
+    each window's groups written out, ``links`` the id pairs of all windows one after another, ``many`` how many of them
+    each has.
+    """
 
     def __init__(self, vocabulary: str, pieces: bytes):
         self.a = token_ids.Encoder(vocabulary)
@@ -40,57 +49,79 @@ class Aligner:
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         self.marked_a, self.marked_b = (np.array([x[:1] == b" " for x in y]) for y in (self.bytes_a, self.bytes_b))
-        self.seen: dict[tuple[tuple[int, ...], tuple[int, ...]], Window] = {}
+        self.lengths_a, self.lengths_b = self.size_a.tolist(), self.size_b.tolist()
+        self.written_a, self.written_b = (list(map(str, range(len(x)))) for x in (self.bytes_a, self.bytes_b))
+        self.forget()
+
+    def forget(self) -> None:
+        self.seen: dict[bytes, int] = {}
+        self.groups: list[str] = []
+        self.links, self.many = array("q"), array("q")
         self.held = 0
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of the whole text by both; None where the bytes of either are not those of the text after a space."""
-        if not text:
-            return None
-        whole = b" " + text.encode("utf-8", "surrogatepass")
-        b = self.b.encode(text)
-        if b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return None
-        a = self.a.plain_ids(" " + text)
-        if b"".join(map(self.bytes_a.__getitem__, a.tolist())) != whole:
-            return None
-        return a.astype(np.int64), np.array(b, np.int64)
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> Iterator[Window]:
-        """Alignment of a text, window by window.
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of whole texts by both; None where the bytes of either are not those of the text after a space."""
+        found: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for text, pieces in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            whole = b" " + text.encode("utf-8", "surrogatepass")
+            if not text or b"".join([self.bytes_b[i] for i in pieces]) != whole:
+                found.append(None)
+                continue
+            a = self.a.plain_ids(" " + text).astype(np.int64)
+            # a byte-level vocabulary has every byte, so its tokens spell the text or are none of it
+            found.append((a, np.array(pieces, np.int64)) if self.size_a[a].sum() == len(whole) else None)
+        return found
+
+    def windows(self, a: np.ndarray, b: np.ndarray) -> list[int]:
+        """Numbers of a text's windows, in order.
 
         An anchor is a byte where a token of A and one of B begin that both start with a space: the tokens before them
         end there together. Anchors cut both id sequences into windows, most of them one word long.
         """
         start_a, start_b = (np.cumsum(s) - s for s in (self.size_a[a], self.size_b[b]))
         at_a, at_b = np.flatnonzero(self.marked_a[a]), np.flatnonzero(self.marked_b[b])
-        _, in_a, in_b = np.intersect1d(start_a[at_a], start_b[at_b], assume_unique=True, return_indices=True)
-        cut_a, cut_b = [*at_a[in_a].tolist(), len(a)], [*at_b[in_b].tolist(), len(b)]
-        ids_a, ids_b, seen = a.tolist(), b.tolist(), self.seen
         # the first token of either begins with the space before the text, so the first anchor is at byte 0
-        for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:]):
-            key = (tuple(ids_a[i:j]), tuple(ids_b[k:m]))
-            found = seen.get(key)
-            if found is None:
-                found = self.align(*key)
-                if j - i + m - k <= LONG_WINDOW:
-                    self.held += j - i + m - k
-                    if self.held > REMEMBERED_IDS:
-                        seen.clear()
-                        self.held = 0
-                    seen[key] = found
-            yield found
-
-    def align(self, a: tuple[int, ...], b: tuple[int, ...]) -> Window:
+        _, in_a, in_b = np.intersect1d(start_a[at_a], start_b[at_b], assume_unique=True, return_indices=True)
+        cut_a, cut_b = np.r_[at_a[in_a], len(a)] * 4, np.r_[at_b[in_b], len(b)] * 4
+        ids_a, ids_b, known = a.astype("<u4").tobytes(), (b + _B_MARK).astype("<u4").tobytes(), self.seen.get
+        cut_a, cut_b = cut_a.tolist(), cut_b.tolist()
+        found = [known(ids_a[i:j] + ids_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+        if None in found:
+            for n, number in enumerate(found):
+                if number is None:
+                    found[n] = self._remembered(ids_a[cut_a[n]:cut_a[n + 1]], ids_b[cut_b[n]:cut_b[n + 1]])
+        return found
+
+    def _remembered(self, ids_a: bytes, ids_b: bytes) -> int:
+        number = self.seen.get(ids_a + ids_b)
+        if number is None:
+            number = self.seen[ids_a + ids_b] = len(self.groups)
+            a, b = memoryview(ids_a).cast("I").tolist(), [x - _B_MARK for x in memoryview(ids_b).cast("I")]
+            groups, pairs = self.align(a, b)
+            self.groups.append(groups)
+            self.links.extend(pairs)
+            self.many.append(len(pairs))
+            self.held += len(a) + len(b)
+        return number
+
+    def align(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
         """Groups between shared ends, written out, and the id pairs whose tokens end there."""
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        _, last_a, last_b = np.intersect1d(np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]),
-                                           assume_unique=True, return_indices=True)
-        groups, i, k = [], 0, 0
-        for x, y in zip((last_a + 1).tolist(), (last_b + 1).tolist(), strict=True):
-            groups.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[k:y]))}")
-            i, k = x, y
-        return ";".join(groups), tuple(((ids_a[last_a] << _B_BITS) | ids_b[last_b]).tolist())
+        text_a, text_b = [self.written_a[x] for x in a], [self.written_b[x] for x in b]
+        if len(a) == 1 or len(b) == 1:
+            return f"{','.join(text_a)}|{','.join(text_b)}", [a[-1] << _B_BITS | b[-1]]
+        groups, pairs = [], []
+        first, before, k = 0, 0, 0
+        end_a, end_b = 0, self.lengths_b[b[0]]
+        for i, token in enumerate(a):
+            end_a += self.lengths_a[token]
+            while end_b < end_a:
+                k += 1
+                end_b += self.lengths_b[b[k]]
+            if end_b == end_a:
+                groups.append(f"{','.join(text_a[first:i + 1])}|{','.join(text_b[before:k + 1])}")
+                pairs.append(token << _B_BITS | b[k])
+                first, before = i + 1, k + 1
+        return ";".join(groups), pairs
 
 
 def _share(spark: SparkSession, vocabulary: str | None, pieces: str | None) -> Broadcast:
@@ -107,6 +138,20 @@ def _opened(shared: Broadcast) -> Aligner:
     return _OPENED[key]
 
 
+def _portions(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts with the place of their first."""
+    start, some, size = 0, [], 0
+    for i, text in enumerate(texts):
+        text = text.as_py()
+        if some and size + len(text) > _CHARS_AT_ONCE:
+            yield start, some
+            start, some, size = i, [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield start, some
+
+
 _MARKS = ["n_a", "n_b", "n_groups", "groups_sha256"]
 
 
@@ -124,48 +169,51 @@ def aligned_blocks(docs: DataFrame, id_col: str, text_col: str, vocabulary: str
                                                      "links array<int>, pairs array<bigint>, times array<bigint>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         aligner = _opened(shared)
         ids: list[pa.Array] = []
-        marks: list[tuple[int, int, int, str]] = []
+        marks: list[tuple[int, int, str]] = []
         sizes: list[int] = []
-        links: list[int] = []
+        windows: list[int] = []
 
         def block() -> pa.RecordBatch:
-            nonlocal ids, marks, sizes, links
-            pairs, where, times = np.unique(np.array(links, np.int64), return_inverse=True, return_counts=True)
+            nonlocal ids, marks, sizes, windows
+            # a group ends with each link: the ids of both end together there and nowhere else
+            each, flat = (np.array(x, np.int64) for x in (aligner.many, aligner.links))
+            used = np.array(windows, np.int64)
+            many = each[used]
+            where = np.repeat((np.cumsum(each) - each)[used] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            pairs, link, times = np.unique(flat[where], return_inverse=True, return_counts=True)
             n, name = len(marks), uuid.uuid4().hex
-            offsets = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-            none = [None]
-            id_array = pa.concat_arrays([*ids, pa.nulls(1, ids[0].type)])
+            offsets = np.r_[0, np.cumsum(many)][np.r_[0, np.cumsum(sizes)].astype(np.int64)]
             listed = lambda values, t: pa.array([None] * n + [values], pa.list_(t))
-            of_docs = pa.ListArray.from_arrays(pa.array(np.r_[offsets, offsets[-1]], pa.int32()),
-                                               pa.array(where.astype(np.int32)))
-            made = [pa.array([name] * (n + 1)), pa.array([True] * n + [False]), id_array,
-                    *[pa.array([*c, *none], t) for c, t in zip(zip(*marks), (pa.int64(), pa.int64(), pa.int64(), pa.string()))],
-                    of_docs, listed(pairs, pa.int64()), listed(times, pa.int64())]
-            ids, marks, sizes, links = [], [], [], []
+            n_a, n_b, digests = (list(c) for c in zip(*marks))
+            made = [pa.array([name] * (n + 1)), pa.array([True] * n + [False]), pa.concat_arrays([*ids, pa.nulls(1, ids[0].type)]),
+                    pa.array([*n_a, None], pa.int64()), pa.array([*n_b, None], pa.int64()),
+                    pa.array([*np.diff(offsets).tolist(), None], pa.int64()), pa.array([*digests, None], pa.string()),
+                    pa.ListArray.from_arrays(pa.array(np.r_[offsets, offsets[-1]].astype(np.int32)), pa.array(link.astype(np.int32))),
+                    listed(pairs, pa.int64()), listed(times, pa.int64())]
+            ids, marks, sizes, windows = [], [], [], []
+            if aligner.held > REMEMBERED_IDS:
+                aligner.forget()
             return pa.RecordBatch.from_arrays(made, ["block", "is_doc", "id", *_MARKS, "links", "pairs", "times"])
 
+        held = 0
         for batch in batches:
-            for i, text in enumerate(batch.column(1)):
-                ids.append(batch.column(0).slice(i, 1))
-                found = aligner.tokens(text.as_py())
-                if found is None:
-                    marks.append((0, 0, 0, ""))
-                    sizes.append(0)
-                else:
-                    before, written = len(links), []
-                    for groups, pairs in aligner.windows(*found):
-                        written.append(groups)
-                        links += pairs
-                    sizes.append(len(links) - before)
-                    # a group ends with each link: the ids of both end together there and nowhere else
-                    marks.append((len(found[0]), len(found[1]), sizes[-1],
-                                  hashlib.sha256(";".join(written).encode()).hexdigest()))
-                if len(links) >= BLOCK_LINKS or len(marks) >= BLOCK_LINKS:
+            for start, some in _portions(batch.column(1)):
+                ids.append(batch.column(0).slice(start, len(some)))
+                for found in aligner.tokens(some):
+                    numbers = [] if found is None else aligner.windows(*found)
+                    windows += numbers
+                    sizes.append(len(numbers))
+                    if found is None:
+                        marks.append((0, 0, ""))
+                    else:
+                        written = ";".join([aligner.groups[n] for n in numbers])
+                        marks.append((len(found[0]), len(found[1]), hashlib.sha256(written.encode()).hexdigest()))
+                        held += len(found[0])
+                if held >= BLOCK_TOKENS or len(marks) >= BLOCK_TOKENS:
                     yield block()
+                    held = 0
         if marks:
             yield block()
 
@@ -195,7 +243,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     result.
 
     A block of documents carries each of its pairs once, so what is shuffled to be counted, and back, grows with the
-    vocabulary a block uses and not with its links. Blocks are bounded in links, but for one long document.
+    vocabulary a block uses and not with its links. Blocks are bounded in tokens, but for one long document.
     """
     blocks = materialise(aligned_blocks(docs, id_col, text_col, vocabulary, pieces), "aligned")
     counted = materialise(pair_counts(blocks), "pair-counts")

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerloom.llm.common import mark_found, materialise, present_filter, ship_code, text_of
+from ledgerloom.llm.common import materialise, ship_code, text_of
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.unions import merge
 
@@ -20,13 +20,9 @@ CELL_ROWS = 4096
 #: Anchors beyond the cell size up to which their list is broadcast (16 bytes each); more of them are joined by shuffle.
 BROADCAST_ANCHORS = 100_000
 _PAIRS_AT_ONCE = 1 << 21
-#: Words of a shingle and share of common shingles (Jaccard) from which texts are near copies for ``keep_first``.
-WORDS, SIMILAR = 5, 0.8
-#: Min-hash bands and hashes in each; texts that share SIMILAR of their shingles agree in no band once in 310,000 times.
-BANDS, BAND_HASHES = 24, 4
 
 
-def _shingles(text: str, shingle: int) -> list[int]:
+def shingle_hashes(text: str, shingle: int) -> list[int]:
     """Hashes of all runs of so many words, or of all words if there are fewer."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
@@ -43,7 +39,11 @@ def _shingles(text: str, shingle: int) -> list[int]:
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """SimHash of a whole text as an unsigned number; 0 if it has no word."""
-    hashes = _shingles(text, shingle)
+    return of_hashes(shingle_hashes(text, shingle))
+
+
+def of_hashes(hashes: list[int]) -> int:
+    """SimHash of hashed features, repeats counted; 0 if there are none."""
     if not hashes:
         return 0
     total = np.zeros(BITS, np.int64)
@@ -184,134 +184,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
     marks = materialise(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    return _components(rows, marks, connected_components(compare_cells(cut_cells(replicas(marks)))))
+    return components_of(rows, marks, connected_components(compare_cells(cut_cells(replicas(marks)))))
 
 
-def _components(rows: DataFrame, marks: DataFrame, roots: DataFrame) -> DataFrame:
+def components_of(rows: DataFrame, marks: DataFrame, roots: DataFrame) -> DataFrame:
     placed = marks.join(roots, marks["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialise(placed.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id"),
                         "components")
     return rows.join(named, "fp").select("id", "text_hash", "fp", "root", "component_id")
-
-
-def _set_of(text: str, words: int) -> np.ndarray:
-    return np.unique(np.array(_shingles(text, words), np.uint64))
-
-
-def _bands(shingles: np.ndarray) -> list[int]:
-    """Min-hash of a set of shingles, as one key a band; none for an empty set."""
-    if not len(shingles):
-        return []
-    rng = np.random.default_rng(SEED)
-    mask, factor = rng.integers(0, 1 << 64, (2, BANDS * BAND_HASHES), np.uint64, endpoint=False)
-    low = np.full(BANDS * BAND_HASHES, np.iinfo(np.uint64).max)
-    for i in range(0, len(shingles), 1 << 12):
-        some = shingles[i:i + (1 << 12), None]
-        low = np.minimum(low, ((some ^ mask) * (factor | np.uint64(1))).min(0))
-    keys = [xxhash.xxh64_intdigest(part.tobytes(), k) for k, part in enumerate(low.reshape(BANDS, BAND_HASHES))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
-    """Pairs (a, b) whose sets have that Jaccard similarity; other columns are dropped."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(both >= similar * (len(x) + len(y) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(near, pa.bool_())) for c in (batch.column(0), batch.column(1))], ["a", "b"])
-
-    of = lambda name: sets.select(F.col("fp").alias(name), F.col("set").alias(f"set_{name}")).hint("rebalance")
-    joined = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
-
-
-def similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                  similar: float = SIMILAR) -> DataFrame:
-    """Component of every row under links of ``similar`` or more common shingles (Jaccard) of so many words.
-
-    Texts that agree in a min-hash band are candidates, and their whole shingle sets decide. First a text is compared
-    with the smallest of those it shares most bands with; then all candidates that are not yet of one component are.
-    Rows and columns are as in :func:`near_duplicates`; ``fp`` is the hash of the shingle set, 0 without a word.
-    """
-    ship_code(docs.sparkSession)
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
-                        text_of(text_col).alias("text"))
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [_set_of(t, words) for t in batch.column(2).to_pylist()]
-            marks = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) if len(s) else 0 for s in sets], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(marks.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([_bands(s) for s in sets], pa.list_(pa.int64()))], ["id", "text_hash", "fp", "size", "bands"])
-
-    schema = T.StructType([texts.schema["id"], texts.schema["text_hash"], *T._parse_datatype_string(
-        "fp bigint, size bigint, bands array<bigint>").fields])
-    rows = materialise(texts.mapInArrow(mark, schema), "bands")
-    marks = materialise(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    band = rows.select("fp", "size", F.explode("bands").alias("band")).distinct()
-    shared = band.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("low")).where("n > 1")
-    band = materialise(band.join(shared.hint("rebalance"), "band").select("band", "fp", "size", "low"), "shared")
-
-    wanted = materialise(rows.select("fp", "text_hash").join(band.select("fp").distinct(), "fp", "left_semi").groupBy(
-        "fp").agg(F.min("text_hash").alias("text_hash")), "wanted")
-    key = [F.col("text_hash")]
-    some = mark_found(texts, key, present_filter(wanted, key), "found").where("found")
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
-                [_set_of(t, words).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["text_hash", "set"])
-
-    # of rows that share a text one is enough
-    sets = some.select("text_hash", "text").mapInArrow(fill, "text_hash bigint, set binary").groupBy("text_hash").agg(
-        F.first("set").alias("set"))
-    sets = materialise(sets.join(wanted, "text_hash").select("fp", "set"), "sets")
-
-    best = band.where("fp <> low").groupBy("fp", "low").count().groupBy("fp").agg(
-        F.max(F.struct("count", (-F.col("low").cast("decimal(20,0)")).alias("order"), "low"))["low"].alias("low"))
-    links = materialise(_verified(best.select(F.col("fp").alias("a"), F.col("low").alias("b")), sets, similar), "links")
-    roots = connected_components(links)
-    placed = band.join(roots.hint("rebalance"), band["fp"] == roots["node"], "left").select(
-        "band", "fp", "size", F.coalesce("component", "fp").alias("root"))
-    placed = materialise(placed, "placed")
-    kinds = placed.select("band", "root").distinct()
-    mixed = kinds.groupBy("band").count().where("count > 1").select("band")
-    kinds = kinds.join(mixed, "band", "left_semi")
-    cross = kinds.join(kinds.withColumnRenamed("root", "other"), "band").where("root < other")
-    right = placed.select("band", F.col("root").alias("other"), F.col("fp").alias("b"), F.col("size").alias("size_b"))
-    pairs = placed.join(cross, ["band", "root"]).join(right, ["band", "other"]).where(
-        (F.col("size") >= F.col("size_b") * similar - 1e-6) & (F.col("size_b") >= F.col("size") * similar - 1e-6))
-    pairs = materialise(pairs.select(F.col("fp").alias("a"), "b").distinct(), "pairs")
-    more = materialise(_verified(pairs, sets, similar), "links")
-    if not more.isEmpty():
-        roots = connected_components(links.unionByName(more))
-    return _components(rows, marks, roots)
-
-
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-               similar: float = SIMILAR) -> DataFrame:
-    """One row of each component of :func:`similar_texts`: that with the smallest id.
-
-    Where rows of a component share that id, the one with the smallest text hash stays, and of rows that repeat id and
-    text any one. Null ids stay only in components without any other id.
-    """
-    found = similar_texts(docs, id_col, text_col, words, similar)
-    first = F.struct(F.col("text_hash"), F.col("id"))
-    stays = materialise(
-        found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root", "text_hash", "id").count()
-        .groupBy("root").agg(F.min(first).alias("row"), F.min_by("count", first).alias("times"))
-        .select(F.col("row.id").alias("__id"), F.col("row.text_hash").alias("__kept"), "times"), "stays")
-    keyed = docs.withColumn("__hash", F.xxhash64(text_of(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__kept"))
-    kept = keyed.join(stays.where("times = 1"), same, "left_semi")
-    repeated = stays.where("times > 1")
-    if not repeated.isEmpty():
-        kept = kept.unionByName(keyed.join(repeated, same, "left_semi").dropDuplicates([id_col, "__hash"]))
-    return kept.drop("__hash")

@@ -60,7 +60,7 @@ class Encoder:
 
     def plain_ids(self, text: str) -> np.ndarray:
         """Ids of a whole text in which the strings of special tokens are text like any other."""
-        if _LONG_BLANK.search(text) is None:
+        if len(text) < 10_000 or _LONG_BLANK.search(text) is None:
             try:
                 return np.array(self.fast.encode_ordinary(text), np.uint32)
             except BaseException as failure:  # a panic of the native code is no Exception

@@ -84,7 +84,8 @@ def aligned(spark, rows, **options):
 
 @pytest.mark.parametrize("limit", [1 << 18, 40])
 def test_align_equals_brute_force(spark, libraries, limit, monkeypatch):
-    monkeypatch.setattr(alignment, "BLOCK_LINKS", limit)
+    monkeypatch.setattr(alignment, "_CHARS_AT_ONCE", limit)
+    monkeypatch.setattr(alignment, "BLOCK_TOKENS", limit)
     texts = NAMED + some_texts(60)
     texts += texts[20:24] * 30
     rows = [(None if i == 7 else i // 2, t) for i, t in enumerate(texts)]
@@ -92,19 +93,32 @@ def test_align_equals_brute_force(spark, libraries, limit, monkeypatch):
     assert sorted(aligned(spark, rows), key=repr) == sorted(want, key=repr)
 
 
-def test_memo_is_bounded_and_changes_nothing(libraries, monkeypatch):
-    monkeypatch.setattr(alignment, "REMEMBERED_IDS", 30)
+def test_windows_are_remembered_and_spell_the_text(libraries):
     with open(token_ids.VOCABULARY, encoding="utf-8") as a, open(alignment.PIECES, "rb") as b:
         aligner = alignment.Aligner(a.read(), b.read())
     texts = some_texts(40) + ["long " + "x" * 1000]
     for text, want in zip(texts, (spelt(libraries, t) for t in texts), strict=True):
-        found = aligner.tokens(text)
+        found = aligner.tokens([text or ""])[0]
         assert (found is None) == (want is None)
         if found is not None:
-            groups = ";".join(g for g, _ in aligner.windows(*found))
+            numbers = aligner.windows(*found)
+            assert numbers == aligner.windows(*found)
+            groups = ";".join(aligner.groups[n] for n in numbers)
             assert [int(x) for g in groups.split(";") for x in g.split("|")[0].split(",")] == want[0]
             assert [int(x) for g in groups.split(";") for x in g.split("|")[1].split(",")] == want[1]
-        assert aligner.held <= 30 + alignment.LONG_WINDOW
+    assert len(aligner.seen) == len(aligner.groups) == len(aligner.many) and aligner.held == sum(len(w) // 4 for w in aligner.seen)
+    assert len(aligner.links) == sum(aligner.many)
+    aligner.forget()
+    assert not aligner.seen and aligner.held == 0
+
+
+@pytest.mark.parametrize("limit", [0, 60])
+def test_forgetting_changes_nothing(spark, libraries, limit, monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK_TOKENS", 50)
+    monkeypatch.setattr(alignment, "REMEMBERED_IDS", limit)
+    texts = some_texts(60)
+    want = [(i, *r) for i, r in enumerate(brute(libraries, texts))]
+    assert sorted(aligned(spark, list(enumerate(texts)))) == want
 
 
 def test_long_texts_and_empty_tables(spark):

@@ -7,7 +7,7 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language_id, line_dedup, simhash
+from ledgerloom.llm import language_id, line_dedup, near_copies
 
 EN = "the house of the river and the old bridge was built there in the spring with stones from the hill number {} {}"
 DE = "das haus an dem fluss und die alte bruecke wurde dort im sommer gebaut mit steinen vom berg nummer {} {}"
@@ -63,4 +63,4 @@ def test_run_on_the_small_tables(spark, folder):
     model = language_id.train(docs, ~language_id.held_out())
     clean = language_id.identify(docs, model).where("NOT __lang.rejected").select(*docs.columns)
     texts = line_dedup.drop_recurring_lines(clean).select(*docs.columns).where("trim(text) <> ''")
-    assert ids == {r.doc_id for r in simhash.keep_first(texts).collect()}
+    assert ids == {r.doc_id for r in near_copies.keep_first(texts).collect()}

@@ -5,7 +5,7 @@ import re
 import numpy as np
 import xxhash
 
-from ledgerloom.llm import simhash, unions
+from ledgerloom.llm import near_copies, simhash, unions
 from ledgerloom.llm.components import connected_components
 
 
@@ -93,7 +93,7 @@ def test_rows_of_every_kind(spark):
                                  "doc_id bigint, text string, fp string, id int, root boolean")
     found = {(r.id, r.text_hash): r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert sorted(found.values(), key=str) == sorted([1, 1, 1, 1, 4, 4, 4, 7, None], key=str)
-    kept = simhash.keep_first(docs)
+    kept = near_copies.keep_first(docs)
     assert kept.columns == docs.columns
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
         [("1", None), ("4", "one two three four"), ("7", "word " * 50_000), ("None", "quite another text here")], key=str)
@@ -102,30 +102,4 @@ def test_rows_of_every_kind(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_duplicates(docs).count() == 0
-    assert simhash.keep_first(docs).count() == 0
-
-
-def shingle_jaccard(a, b):
-    a, b = ({tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in (a, b))
-    return len(a & b) / len(a | b)
-
-
-def test_texts_of_four_fifths_common_five_word_runs_leave_one(spark):
-    rng = np.random.default_rng(3)
-    texts = []
-    for g in range(30):
-        own = [f"w{g}x{k}" for k in range(200)]
-        for _ in range(4):
-            some = own.copy()
-            for at in rng.choice(200, rng.integers(1, 9), replace=False):
-                some[at] = f"other{rng.integers(1 << 40)}"
-            texts.append(" ".join(some))
-    near = np.array([[shingle_jaccard(a, b) >= 0.8 for b in texts] for a in texts])
-    labels = np.arange(len(texts))
-    for _ in texts:
-        labels = np.array([labels[row].min() for row in near])
-    far = sum(np.bitwise_count(np.uint64(simhash.fingerprint(a) ^ simhash.fingerprint(b))) > 3
-              for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if near[i, j])
-    assert far > 10 and 30 < len(set(labels)) < 120
-    kept = simhash.keep_first(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(labels.tolist()))
+    assert near_copies.keep_first(docs).count() == 0
