@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions.dates import micros_between
+from ledgerloom.operators.joins import attach
 
 
 def run_outcomes(events: DataFrame) -> DataFrame:
@@ -44,6 +45,35 @@ def runner_summary(runs: DataFrame, invocation: str) -> DataFrame:
     ).withColumn("duration_ms", F.floor(F.col("_micros") / 1000).cast("bigint")).drop("_micros")
 
 
+def isolate_failures(connections: DataFrame, rows: DataFrame, rejects: DataFrame,
+                     spread_by: str = "source_id") -> tuple[DataFrame, DataFrame]:
+    """Land the pulls of connections without a bad record, and none of the others: (rows that land, outcomes).
+
+    ``connections`` (column ``id``) are those that were pulled, ``rows`` their good records and ``rejects`` their bad
+    ones (``connection_id``, ``reason``, ``raw``). One job serves all connections: the rejects are counted by connection
+    and the rows of failed ones are left out by a look-up salted with ``spread_by``, so no connection waits for another and a big one is
+    many tasks. Outcomes: ``connection_id``, ``status``, ``landed``, ``rejected``, ``error`` (the first reason by name),
+    one row a connection, also where nothing was delivered.
+    """
+    failed = rejects.groupBy("connection_id").agg(
+        F.count(F.lit(1)).alias("rejected"), F.min(F.struct("reason", "raw"))["reason"].alias("error"))
+    marked = attach(rows, failed, {"connection_id": "connection_id"}, {"_failed": "connection_id"},
+                    spread_by=(spread_by,), hot_keys=True)
+    landed = marked.filter(F.col("_failed").isNull()).drop("_failed")
+    counted = landed.groupBy("connection_id").agg(F.count(F.lit(1)).alias("landed"))
+    pulled = connections.select(F.col("id").alias("connection_id")).distinct()
+    outcomes = pulled.join(counted, "connection_id", "left").join(failed, "connection_id", "left").select(
+        "connection_id", F.when(F.col("rejected").isNull(), "completed").otherwise("failed").alias("status"),
+        F.coalesce("landed", F.lit(0)).alias("landed"), F.coalesce("rejected", F.lit(0)).alias("rejected"), "error")
+    return landed, outcomes
+
+
+def summary_of_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Rows per entity and in total, from counts that came with the writes."""
+    rows = [*counts.items(), ("total", sum(counts.values()))]
+    return spark.createDataFrame(rows, "entity string, upserted bigint")
+
+
 def transform_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows upserted per entity (inserted and updated alike) and in total.
 

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions import dates, finance, text
 from ledgerloom.functions.keys import statement_hash, surrogate_key
-from ledgerloom.operators import merge, quality, runs, statements
-from ledgerloom.plans import ops, refresh, views
-from ledgerloom.schemas import CONSTRAINTS, FOREIGN_KEYS, MERGE_RULES, REQUIRED, UNIQUE_KEYS
+from ledgerloom.operators import cascade, merge, partitioned, quality, runs, star, statements
+from ledgerloom.plans import ageing_store, ops, refresh, views
+from ledgerloom.schemas import CASCADES, CONSTRAINTS, FOREIGN_KEYS, MERGE_RULES, REQUIRED, RESTRICTS, UNIQUE_KEYS
 from ledgerloom.session import scratch_dir, use_ledger_semantics
-from ledgerloom.sources import incremental, lookups, payloads
-from ledgerloom.sources.bindings import Ledger, _mod, _text
+from ledgerloom.sources import incremental, lookups, payloads, uploads
+from ledgerloom.sources.bindings import AS_OF, Ledger, _mod, _text
 from ledgerloom.streaming import change_log, statements as statement_stream
 
 TENANT = "1"
@@ -109,6 +111,51 @@ def incremental_changes(ledger: Ledger) -> DataFrame:
         "connection_id", "tenant_id", "source_id", "amount", "source_updated_at")
 
 
+@query
+def statement_csv_rows(ledger: Ledger) -> DataFrame:
+    """Events written as one CSV file a batch, with line ends, quotes and separators inside cells, and read back.
+
+    The files are read in small splits, so records go across them.
+    """
+    work = scratch_dir(ledger.spark, "uploads")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    kind = F.col("event_type")
+    memo = (F.when(_mod("event_id", 5) == 0, quoted(F.concat(kind, F.lit("\n\nsaid \"no\", twice\n"))))
+            .when(_mod("event_id", 5) == 1, F.concat(F.lit('5" '), kind)).when(_mod("event_id", 5) == 2, quoted(F.concat(F.lit(","), kind)))
+            .when(_mod("event_id", 5) == 3, F.lit("")).otherwise(kind))
+    line = F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd"), memo, _text(F.floor("value")), quoted(F.concat(F.lit("R\n"), _text("event_id"))))
+    rows = ledger.read("events").select(_mod("user_id", 10).alias("batch"), "event_id", line.alias("value"))
+    heads = rows.select("batch").distinct().select("batch", F.lit(-1).cast("bigint").alias("event_id"),
+                                                   F.lit('Date,Memo,Amount,"Your\nreference"').alias("value"))
+    # a file is one batch, as banks export them
+    rows.unionByName(heads).repartition("batch").sortWithinPartitions("batch", "event_id").select("batch", "value").write.partitionBy(
+        "batch").text(f"{work}/files")
+    sizes = {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: ledger.spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            ledger.spark.conf.set(k, v)
+        uploads.read_statement_csv(ledger.spark, f"{work}/files", "t").write.parquet(f"{work}/rows")
+    finally:
+        for k, v in before.items():
+            ledger.spark.conf.set(k, v)
+    cell = lambda name: F.try_element_at("raw", F.lit(name))
+    return ledger.spark.read.parquet(f"{work}/rows").select(
+        F.regexp_extract("batch_id", "batch=([0-9]+)", 1).cast("bigint").alias("batch"), "row_index", cell("Date").alias("date_text"),
+        cell("Memo").alias("memo"), cell("Amount").alias("amount_text"), cell("Your\nreference").alias("reference"))
+
+
+@query
+def incremental_changes_pruned(ledger: Ledger) -> DataFrame:
+    """:func:`incremental_changes` from a stored table, by the least cursor first."""
+    work = scratch_dir(ledger.spark, "raw")
+    incremental.cluster_by_change(ledger.raw_payments, f"{work}/raw_payments")
+    cursors = ledger.sync_checkpoints.withColumn(
+        "last_modified_at", F.col("last_modified_at") - F.make_dt_interval(F.lit(14)))
+    return incremental.changed_since_pruned(ledger.spark, f"{work}/raw_payments", cursors, "payments", ledger.connections).select(
+        "connection_id", "tenant_id", "source_id", "amount", "source_updated_at")
+
+
 @query
 def active_connections(ledger: Ledger) -> DataFrame:
     return incremental.active_connections(ledger.connections)
@@ -176,6 +223,19 @@ def keyed_merge_insert_only(ledger: Ledger) -> DataFrame:
                              rule.keys, rule.insert_only)
 
 
+@query
+def keyed_merge_partitions(ledger: Ledger) -> DataFrame:
+    """A stored invoice table takes the changes of three tenants from 1997 on: dates move, new invoices come in."""
+    work = scratch_dir(ledger.spark, "invoices")
+    rule = MERGE_RULES["raw_invoices"]
+    columns = [*MERGE_OUTPUT, "tenant_id", "date"]
+    partitioned.create_partitioned(_older_invoices(ledger).select(*columns), f"{work}/table", rule.keys, "tenant_id", "date", period="yyyy")
+    newer = _newer_invoices(ledger).filter(F.col("tenant_id").isin("0", "1", "3") & (F.col("date") >= dates.date_literal("1997-01-01")))
+    moved = newer.withColumn("date", F.when(_mod_id() == 2, F.date_add("date", 40)).otherwise(F.col("date")))
+    partitioned.merge_partitions(ledger.spark, f"{work}/table", moved.select(*columns), rule.keys, "tenant_id", "date", rule.insert_only, period="yyyy")
+    return partitioned.read_partitioned(ledger.spark, f"{work}/table", columns)
+
+
 @query
 def keyed_merge_guarded(ledger: Ledger) -> DataFrame:
     """All deliveries of order lines merged into the older half; of a key delivered twice the last one counts."""
@@ -266,6 +326,40 @@ def cascade_delete_batches(ledger: Ledger) -> DataFrame:
     return merge.cascade_delete(ledger.new_lines, removed, "batch_id").select("id", "batch_id", "date", "amount")
 
 
+@query
+def cascade_delete_tenants(ledger: Ledger) -> DataFrame:
+    """What is left of every table when a tenant, old batches and failed runs are removed, and what the rest holds back."""
+    tables = {**{n: getattr(ledger, n) for n in ("tenants", "connections", "client_metadata", "upload_batches", "statement_lines",
+                                                 "sync_runs", "sync_run_steps", "sync_checkpoints")},
+              "uploaded_rows": ledger.statement_rows}
+    removed = {
+        "tenants": ledger.tenants.filter(F.col("id") == "2").select("id"),
+        "upload_batches": ledger.upload_batches.filter(
+            F.col("created_at") < dates.hours_before(ledger.run_clock, 60)).select("id"),
+        "sync_runs": ledger.sync_runs.filter(F.col("status") == "failed").select("id")}
+    left, held = cascade.cascade_tables(tables, removed, CASCADES, RESTRICTS)
+    key = {"client_metadata": F.col("tenant_id"), "uploaded_rows": F.concat_ws("-", "batch_id", "row_index")}
+    parts = [rows.select(F.lit(name).alias("table_name"), key.get(name, F.col("id")).alias("key"), F.lit(None).cast("bigint").alias("rows"))
+             for name, rows in left.items()]
+    parts.append(held.select(F.lit("held").alias("table_name"), F.col("relation").alias("key"), "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def runner_isolated(ledger: Ledger) -> DataFrame:
+    """One pull of payments for all connections; those with a damaged record fail alone."""
+    number = F.regexp_extract("raw", '"PaymentID":"P([0-9]+)"', 1).cast("bigint")
+    kind = F.col("connection_id").cast("int") % 4
+    raw = (F.when((kind == 1) & (F.pmod(number, F.lit(10)) == 0), F.expr("left(raw, length(raw) - 5)"))
+           .when((kind == 2) & (F.pmod(number, F.lit(7)) == 0), F.regexp_replace("raw", '"Amount":[^,}]*', '"Amount":99999999999999999'))
+           .otherwise(F.col("raw")))
+    pulled = ledger.payloads("payments").withColumn("raw", raw)
+    landed, outcomes = runs.isolate_failures(ledger.connections, payloads.ingest_payments(pulled, ledger.loaded_at),
+                                             payloads.rejects(pulled, "payments"))
+    amounts = landed.groupBy("connection_id").agg(F.sum("amount").alias("amount"))
+    return outcomes.join(amounts, "connection_id", "left")
+
+
 @query
 def run_outcomes(ledger: Ledger) -> DataFrame:
     started = ledger.sync_runs.select(
@@ -316,8 +410,47 @@ def warehouse_refresh(ledger: Ledger) -> DataFrame:
         "raw_bank_transactions", "raw_manual_journals")}
     raw["report_snapshots"] = _snapshots(ledger, "id", "connection_id", "tenant_id", "report_type", "period_date", "period_from", "raw")
     target = scratch_dir(ledger.spark, "warehouse")
-    paths = refresh.refresh_warehouse(ledger.spark, raw, target, ledger.as_of, ledger.loaded_at)
-    return refresh.refresh_counts({name: ledger.spark.read.parquet(path) for name, path in paths.items()})
+    counts: dict[str, int] = {}
+    refresh.refresh_warehouse(ledger.spark, raw, target, ledger.as_of, ledger.loaded_at, counts=counts)
+    return runs.summary_of_counts(ledger.spark, counts)
+
+
+LAST_DAY, THIS_DAY = dt.date(1998, 2, 1), dt.date.fromisoformat(AS_OF)
+
+
+def _loaded_invoices(ledger: Ledger, raw: DataFrame, day: dt.date) -> DataFrame:
+    return star.fact_invoice(raw, ledger.dim_contact, F.lit(day), ledger.loaded_at)
+
+
+@query
+def redate_overdue(ledger: Ledger) -> DataFrame:
+    """Invoices stored on one day, a change load on a later one, then only the flags that the days between turn."""
+    work = scratch_dir(ledger.spark, "redate")
+    older = ledger.raw_invoices.filter(_mod_id() != 2).withColumn(
+        "due_date", F.when(_mod_id() == 0, F.date_add("due_date", 700)).otherwise(F.col("due_date")))
+    _loaded_invoices(ledger, older, LAST_DAY).repartitionByRange("tenant_id", "date").sortWithinPartitions(
+        "tenant_id", "date").write.parquet(f"{work}/base/fact_invoice")
+    changed = _loaded_invoices(ledger, ledger.raw_invoices.filter(_mod_id() != 1), LAST_DAY)
+    change_log.write_batch(changed, f"{work}/log/fact_invoice", 0)
+    refresh.redate_overdue(ledger.spark, f"{work}/base", f"{work}/log", 1, LAST_DAY, THIS_DAY, ledger.loaded_at)
+    now = refresh.read_current(ledger.spark, f"{work}/base", f"{work}/log", "fact_invoice")
+    return refresh.dated_invoices(now, THIS_DAY)
+
+
+@query
+def ageing_summary_incremental(ledger: Ledger) -> DataFrame:
+    """Ageing totals of a stored table after three change loads, folded in one after another."""
+    work = scratch_dir(ledger.spark, "ageing")
+    base, log, store = f"{work}/base", f"{work}/log", f"{work}/totals"
+    older = ledger.raw_invoices.filter(F.pmod(F.col("source_id").cast("bigint"), F.lit(2)) == 0).withColumns(
+        {"status": F.lit("SUBMITTED"), "amount_due": (F.col("total") * 2).cast("decimal(15,2)")})
+    _loaded_invoices(ledger, older, THIS_DAY).write.parquet(f"{base}/fact_invoice")
+    ageing_store.start(ledger.spark.read.parquet(f"{base}/fact_invoice"), store)
+    for load in range(3):
+        change_log.write_batch(_loaded_invoices(ledger, ledger.raw_invoices.filter(_mod_id() == load), THIS_DAY),
+                               f"{log}/fact_invoice", load)
+        ageing_store.fold_load(ledger.spark, base, log, load, store)
+    return ageing_store.ageing_summary(ageing_store.read_totals(ledger.spark, store), ledger.dim_tenant, THIS_DAY)
 
 
 # ── reports ──────────────────────────────────────────────────────────────────

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from ledgerloom.functions.finance import days_overdue, is_overdue
 from ledgerloom.operators import reports, runs, star
 from ledgerloom.operators.merge import keyed_merge
 from ledgerloom.schemas import MERGE_RULES
@@ -22,12 +24,14 @@ def refresh_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def refresh_warehouse(spark: SparkSession, raw: dict[str, DataFrame], target: str, as_of: Column, loaded_at: Column,
-                      previous: str | None = None, connection_id: str | None = None) -> dict[str, str]:
+                      previous: str | None = None, connection_id: str | None = None,
+                      counts: dict[str, int] | None = None) -> dict[str, str]:
     """Write the next warehouse version under ``target`` in dependency order; returns the paths.
 
     Each table is written before the facts that look it up, so a lost executor never
     recomputes more than one table. ``previous`` is the folder of the version to merge into;
     it is only read. Files are clustered by tenant and day so that readers can skip row groups.
+    ``counts`` is filled with the rows of each table, counted by the jobs that write them.
     """
     paths: dict[str, str] = {}
 
@@ -35,13 +39,13 @@ def refresh_warehouse(spark: SparkSession, raw: dict[str, DataFrame], target: st
         if previous is not None:
             rule = MERGE_RULES[table]
             rows = keyed_merge(spark.read.parquet(f"{previous}/{table}"), rows, rule.keys, rule.insert_only)
-        paths[table] = _write(rows, f"{target}/{table}", sort_by)
+        paths[table] = _write(rows, f"{target}/{table}", sort_by, counts)
         return spark.read.parquet(paths[table])
 
     def store_report(table: str, rows: DataFrame) -> None:
         if previous is not None:
             rows = reports.replace_snapshots(spark.read.parquet(f"{previous}/{table}"), rows)
-        paths[table] = _write(rows, f"{target}/{table}", ("tenant_id", "snapshot_id"))
+        paths[table] = _write(rows, f"{target}/{table}", ("tenant_id", "snapshot_id"), counts)
 
     one = connection_id
     store("dim_tenant", star.dim_tenant(raw["tenants"], loaded_at), ("id",))
@@ -72,8 +76,8 @@ def append_changes(spark: SparkSession, changed: dict[str, DataFrame], base: str
 
     Costs follow the changes: base tables and logs are cut down to the keys that the changed rows
     look up before they are merged, and are never rewritten. Re-running a ``load_id`` replaces its
-    own folders. Overdue flags of unchanged invoices stay as of their last load; a full
-    :func:`refresh_warehouse` re-dates all of them.
+    own folders. Overdue flags of unchanged invoices stay as of their last load; :func:`redate_overdue`
+    with the next load id brings them to a new day.
     """
     def store(table: str, rows: DataFrame) -> None:
         columns = spark.read.parquet(f"{base}/{table}")
@@ -107,6 +111,36 @@ def append_changes(spark: SparkSession, changed: dict[str, DataFrame], base: str
     store("fact_manual_journal", star.fact_manual_journal(changed["raw_manual_journals"], loaded_at))
 
 
+def redate_overdue(spark: SparkSession, base: str, log: str, load_id: int, last_as_of: dt.date, as_of: dt.date,
+                   loaded_at: Column) -> None:
+    """Log the invoices whose overdue flag is another one on ``as_of`` than on ``last_as_of``, as load ``load_id``.
+
+    A flag can only have changed where the due date lies between the two days. Of the base only such rows are read, by
+    a pushed-down range of due dates; of the log the last state of each invoice. Days overdue follow from the flag's
+    day, see :func:`dated_invoices`. Running a ``load_id`` again writes the same rows.
+    """
+    early, late = sorted((last_as_of, as_of))
+    between = (F.col("due_date") >= F.lit(early)) & (F.col("due_date") < F.lit(late))
+    rule = MERGE_RULES["fact_invoice"]
+    rows, changes = _stored(spark, base, log, "fact_invoice", load_id)
+    # the log's rows stand for their keys whatever their base row says; what only a first write sets is merged on reading
+    logged = change_log.net_changes(changes, rule.keys, rule.insert_only).select(*rows.columns)
+    due = rows.filter(between).join(changes.select(*rule.keys).distinct(), list(rule.keys), "left_anti")
+    open_rows = due.select(*rows.columns).unionByName(logged.filter(between))
+    day = F.lit(as_of)
+    flag = is_overdue(F.col("status"), F.col("due_date"), day)
+    changed = open_rows.filter(~F.col("is_overdue").eqNullSafe(flag)).withColumns({
+        "is_overdue": flag, "days_overdue": days_overdue(F.col("status"), F.col("due_date"), day),
+        "warehouse_updated_at": loaded_at})
+    change_log.write_batch(changed, f"{log}/fact_invoice", load_id)
+
+
+def dated_invoices(invoices: DataFrame, as_of: dt.date) -> DataFrame:
+    """Invoices whose flags are of ``as_of``, with their days overdue on that day; no other row is touched."""
+    days = F.when(F.col("is_overdue"), days_overdue(F.col("status"), F.col("due_date"), F.lit(as_of)))
+    return invoices.withColumn("days_overdue", days)
+
+
 def _stored(spark: SparkSession, base: str, log: str, table: str, before: int | None) -> tuple[DataFrame, DataFrame]:
     """Base rows and logged changes of a table."""
     rows = spark.read.parquet(f"{base}/{table}")
@@ -127,7 +161,12 @@ def read_current(spark: SparkSession, base: str, log: str, table: str, before: i
     return change_log.current_state(rows, changes, rule.keys, rule.insert_only)
 
 
-def _write(rows: DataFrame, path: str, sort_by: tuple[str, ...]) -> str:
+def _write(rows: DataFrame, path: str, sort_by: tuple[str, ...], counts: dict[str, int] | None = None) -> str:
     """In ranges of ``sort_by``: a file holds few tenants and days, and a big tenant is many files."""
-    rows.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write.mode("errorifexists").parquet(path)
+    dealt = rows.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+    written = Observation()
+    # above the exchange, whose sampling would count rows once more
+    dealt.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    if counts is not None:
+        counts[path.rpartition("/")[2]] = written.get["rows"]
     return path

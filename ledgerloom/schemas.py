@@ -95,6 +95,24 @@ FOREIGN_KEYS: tuple[tuple[str, str, str, str], ...] = (
     ("statement_lines", "tenant_id", "tenants", "id"),
 )
 
+# Fixed values: (child table, its columns, parent table, its columns) of keys whose rows go with their parent.
+CASCADES: tuple[tuple[str, tuple[str, ...], str, tuple[str, ...]], ...] = (
+    ("client_metadata", ("tenant_id",), "tenants", ("id",)),
+    ("upload_batches", ("tenant_id",), "tenants", ("id",)),
+    ("uploaded_rows", ("batch_id",), "upload_batches", ("id",)),
+    ("uploaded_rows", ("tenant_id",), "tenants", ("id",)),
+    ("statement_lines", ("tenant_id",), "tenants", ("id",)),
+    ("statement_lines", ("batch_id",), "upload_batches", ("id",)),
+    ("statement_lines", ("batch_id", "row_index"), "uploaded_rows", ("batch_id", "row_index")),
+    ("sync_run_steps", ("sync_run_id",), "sync_runs", ("id",)),
+)
+# Keys that keep their parent from being removed.
+RESTRICTS: tuple[tuple[str, tuple[str, ...], str, tuple[str, ...]], ...] = (
+    ("connections", ("tenant_id",), "tenants", ("id",)),
+    ("sync_runs", ("tenant_id",), "tenants", ("id",)),
+    ("sync_checkpoints", ("last_run_id",), "sync_runs", ("id",)),
+)
+
 # Fixed values: (table, rule name, SQL condition that a valid row meets).
 CONSTRAINTS: tuple[tuple[str, str, str], ...] = (
     ("sync_runs", "status_known", "status IN ('pending', 'running', 'completed', 'failed')"),

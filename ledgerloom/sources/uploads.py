@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.operators.joins import attach
 from ledgerloom.operators.merge import keyed_insert_ignore
+from ledgerloom.sources import csv_records
 
 
 def number_rows(df: DataFrame, group: Sequence[str], block: Column, order: Column, name: str = "row_index") -> DataFrame:
@@ -39,31 +40,30 @@ def _numbered(rows: DataFrame, tenant_id: str) -> DataFrame:
     return number_rows(rows, ["batch_id"], F.col("_start"), F.col("_seq")).drop("_start", "_seq")
 
 
-def read_statement_csv(spark: SparkSession, path: str, tenant_id: str, **options: str) -> DataFrame:
+def read_statement_csv(spark: SparkSession, path: str, tenant_id: str, separator: str = ",") -> DataFrame:
     """CSV files, each with a header line of its own; every file is one batch, every row a map of its cells.
 
     Cells go by the header of their own file, whatever the other files of the folder look like. Of a name that a
-    header repeats the last cell counts, cells without a name are left out, missing cells are empty. A quoted cell
-    ends with its line. Splits of a file are numbered independently and put together by their start offset.
+    header repeats the last cell counts, cells without a name are left out, missing cells are empty. Quoted cells can
+    hold separators, doubled quotes and line ends, also across the splits of a file; a quote that its file never closes
+    ends with its line. Empty lines between records are no rows. Splits are numbered independently and put together by
+    their start offset. Nothing is read before the result is.
     """
-    lines = _file_lines(spark, path).filter(F.trim("_line") != "")
-    first = F.min_by(F.struct("_seq", F.regexp_replace("_line", "^\ufeff", "").alias("line")), "_seq")
-    # one row a file; the number of separators in a header bounds the number of its cells
-    headers = lines.filter("_start = 0").groupBy("batch_id").agg(first.alias("_head"))
-    separator = options.get("sep", ",")
-    width = headers.agg(F.max(F.size(F.split("_head.line", rf"\Q{separator}\E")))).first()[0] or 1
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    cells = lambda line: F.array(*[F.from_csv(line, schema, options)[f"c{i}"] for i in range(width)])
-    names = headers.select(F.col("batch_id").alias("_file"), F.col("_head._seq").alias("_header_at"),
-                           cells(F.col("_head.line")).alias("_names"))
-    rows = attach(lines, names, {"batch_id": "_file"}, {"_header_at": "_header_at", "_names": "_names"},
-                  ("batch_id", "_seq"), how="inner", hot_keys=True).filter("_seq <> _header_at")
-    named = F.filter(
-        F.arrays_zip(F.col("_names").alias("name"), cells(F.col("_line")).alias("cell"), F.sequence(F.lit(1), F.lit(width)).alias("at")),
-        lambda x: (F.coalesce(x["name"], F.lit("")) != "") & ~F.coalesce(F.array_contains(
-            F.slice(F.col("_names"), x["at"] + 1, F.lit(width)), x["name"]), F.lit(False)))
-    raw = F.map_from_entries(F.transform(named, lambda x: F.struct(x["name"], F.coalesce(x["cell"], F.lit("")))))
-    return _numbered(rows.withColumn("raw", raw), tenant_id)
+    rows = csv_records.records(_file_lines(spark, path), separator).filter(F.trim("_line") != "")
+    place = F.struct("_start", "_seq")
+    # one row a file
+    headers = rows.groupBy("batch_id").agg(F.min(place).alias("_header_at"), F.min_by("_line", place).alias("_head"))
+    names = csv_records.cells(F.regexp_replace("_head", "^\ufeff", ""), separator)
+    named = F.filter(F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("at"))), lambda x: (
+        x["name"] != "") & (x["at"] + 1 == F.size(F.col("_names")) - F.array_position(F.reverse(F.col("_names")), x["name"]) + 1))
+    headers = headers.withColumn("_names", names).select(
+        F.col("batch_id").alias("_file"), "_header_at", named.alias("_named"))
+    found = attach(rows, headers, {"batch_id": "_file"}, {"_header_at": "_header_at", "_named": "_named"},
+                   ("batch_id", "_seq"), how="inner", hot_keys=True).filter(place != F.col("_header_at"))
+    found = found.withColumn("_cells", csv_records.cells(F.col("_line"), separator))
+    raw = F.map_from_entries(F.transform("_named", lambda x: F.struct(
+        x["name"], F.coalesce(F.get("_cells", x["at"]), F.lit("")))))
+    return _numbered(found.withColumn("raw", raw), tenant_id)
 
 
 def read_statement_json(spark: SparkSession, path: str, tenant_id: str) -> DataFrame:

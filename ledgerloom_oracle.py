@@ -290,6 +290,7 @@ SHAPES: dict[str, str] = {
                CASE batch_id WHEN 'B17' THEN 'pending' WHEN 'B18' THEN 'processing' ELSE status END AS status, error, created_at,
                CASE WHEN batch_id NOT IN ('B17', 'B18') THEN created_at + INTERVAL '90 seconds' END AS completed_at
         FROM batch_results""",
+    "old_batches": f"SELECT id FROM upload_batches WHERE tenant_id = '2' OR created_at < {RUN_CLOCK} - INTERVAL '60 hours'",
     "client_meta": """
         SELECT CAST(c_custkey AS VARCHAR) AS tenant_id,
                CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_custkey % 12 + 1 AS INTEGER) END AS business_type_id,
@@ -524,6 +525,49 @@ QUERIES: dict[str, str] = {
         held AS (SELECT l_orderkey, l_linenumber, min(l_shipdate) AS first_date FROM deliveries WHERE l_linenumber <= 3 GROUP BY ALL)
         SELECT l_orderkey, l_linenumber, coalesce(first_date, l_shipdate) AS l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice
         FROM last LEFT JOIN held USING (l_orderkey, l_linenumber)""",
+    "statement_csv_rows": """
+        SELECT user_id % 10 AS batch, CAST(row_number() OVER (PARTITION BY user_id % 10 ORDER BY event_id) - 1 AS INTEGER) AS row_index,
+               strftime(ts, '%Y-%m-%d') AS date_text,
+               CASE event_id % 5 WHEN 0 THEN event_type || chr(10) || chr(10) || 'said "no", twice' || chr(10) WHEN 1 THEN '5" ' || event_type
+                    WHEN 2 THEN ',' || event_type WHEN 3 THEN '' ELSE event_type END AS memo,
+               CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS amount_text, 'R' || chr(10) || event_id AS reference
+        FROM events""",
+    "keyed_merge_partitions": """
+        SELECT coalesce(n.connection_id, o.connection_id) AS connection_id, coalesce(n.source_id, o.source_id) AS source_id,
+               coalesce(o.type, n.type) AS type, CASE WHEN n.source_id IS NULL THEN o.status ELSE n.status END AS status,
+               CASE WHEN n.source_id IS NULL THEN o.reference ELSE n.reference END AS reference,
+               CASE WHEN n.source_id IS NULL THEN o.amount_due ELSE n.amount_due END AS amount_due,
+               coalesce(o.tenant_id, n.tenant_id) AS tenant_id,
+               CASE WHEN n.source_id IS NULL THEN o.date WHEN CAST(n.source_id AS BIGINT) % 3 = 2 THEN n.date + 40 ELSE n.date END AS date
+        FROM older o FULL JOIN (SELECT * FROM newer WHERE tenant_id IN ('0', '1', '3') AND date >= DATE '1997-01-01') n
+            ON o.connection_id = n.connection_id AND o.source_id = n.source_id""",
+    "redate_overdue": "SELECT * FROM fact_invoice",
+    "ageing_summary_incremental": """
+        SELECT ageing_bucket, count(*) AS invoice_count, CAST(sum(amount_due) AS DECIMAL(18,2)) AS total_due, max(amount_due) AS largest_due
+        FROM ageing_view WHERE type = 'ACCREC' GROUP BY ageing_bucket""",
+    "runner_isolated": """
+        SELECT c.id AS connection_id, CASE WHEN coalesce(rejected, 0) > 0 THEN 'failed' ELSE 'completed' END AS status,
+               CASE WHEN coalesce(rejected, 0) > 0 THEN 0 ELSE coalesce(n, 0) END AS landed, CAST(coalesce(rejected, 0) AS BIGINT) AS rejected,
+               CASE WHEN rejected > 0 THEN CASE CAST(c.id AS INTEGER) % 4 WHEN 1 THEN 'unreadable' ELSE 'bad value' END END AS error,
+               CASE WHEN coalesce(rejected, 0) = 0 THEN amount END AS amount
+        FROM connections c LEFT JOIN (
+            SELECT connection_id, count(*) AS n, sum(amount) AS amount, count(*) FILTER (WHERE CASE CAST(connection_id AS INTEGER) % 4
+                       WHEN 1 THEN CAST(substr(source_id, 2) AS BIGINT) % 10 = 0
+                       WHEN 2 THEN CAST(substr(source_id, 2) AS BIGINT) % 7 = 0 ELSE false END) AS rejected
+            FROM raw_payments GROUP BY connection_id) p ON p.connection_id = c.id""",
+    "cascade_delete_tenants": """
+        SELECT 'tenants' AS table_name, id AS key, CAST(NULL AS BIGINT) AS rows FROM tenants WHERE id <> '2'
+        UNION ALL SELECT 'client_metadata', tenant_id, NULL FROM client_meta WHERE tenant_id <> '2'
+        UNION ALL SELECT 'upload_batches', id, NULL FROM upload_batches WHERE id NOT IN (SELECT id FROM old_batches)
+        UNION ALL SELECT 'uploaded_rows', batch_id || '-' || row_index, NULL FROM uploaded WHERE tenant_id <> '2' AND batch_id NOT IN (SELECT id FROM old_batches)
+        UNION ALL SELECT 'statement_lines', id, NULL FROM statement_lines WHERE tenant_id <> '2' AND batch_id NOT IN (SELECT id FROM old_batches)
+        UNION ALL SELECT 'sync_runs', id, NULL FROM sync_runs WHERE status <> 'failed'
+        UNION ALL SELECT 'sync_run_steps', s.id, NULL FROM sync_run_steps s
+            WHERE NOT EXISTS (SELECT 1 FROM sync_runs r WHERE r.id = s.sync_run_id AND r.status = 'failed')
+        UNION ALL SELECT 'held', 'connections.tenant_id', count(*) FROM connections WHERE tenant_id = '2'
+        UNION ALL SELECT 'held', 'sync_runs.tenant_id', count(*) FROM sync_runs WHERE tenant_id = '2' AND status <> 'failed'
+        UNION ALL SELECT 'held', 'sync_checkpoints.last_run_id', count(*) FROM sync_checkpoints k
+            JOIN sync_runs r ON r.id = k.last_run_id AND r.status = 'failed'""",
     "ingest_rejects": """
         SELECT 'payments' AS entity, CAST(substr(source_id, 2) AS BIGINT) AS number,
                CASE CAST(substr(source_id, 2) AS BIGINT) % 10 WHEN 0 THEN 'unreadable' WHEN 1 THEN 'no key' WHEN 2 THEN 'bad value'
@@ -813,4 +857,7 @@ QUERIES: dict[str, str] = {
                                    batch_id, row_index) = 1""",
 }
 
+# the same changes, found another way
+QUERIES["incremental_changes_pruned"] = QUERIES["incremental_changes"]
+
 ORACLE_SQL: dict[str, str] = {name: sql(text) for name, text in QUERIES.items()}

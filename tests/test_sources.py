@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import json
 import os
+import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -207,3 +210,70 @@ def test_json_rows(spark, scratch):
         f.write('{"Date": "2025-01-02", "Amount": 5}\n[1]\n\n{"Memo": null}\n')
     got = uploads.read_statement_json(spark, scratch, "t").orderBy("row_index").collect()
     assert [(r.row_index, r.raw) for r in got] == [(0, {"Date": "2025-01-02", "Amount": "5"}), (1, {}), (2, {"Memo": None})]
+
+
+def _csv_rows(spark, folder):
+    from ledgerloom.sources import uploads
+
+    df = uploads.read_statement_csv(spark, folder, "t")
+    return {(r.batch_id.rpartition("/")[2], r.row_index): r.raw for r in df.collect()}
+
+
+def _write_csv(path, rows):
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerows(rows)
+
+
+MULTI_LINE = [["Date", "Memo", "Amount"], ["1", "two\nlines", "3"], ["2", 'quote " and\n\n"",",", end\n', "4"], ["3", "", ""], ["4", '"', '"\n"'],
+              ["5", ",\n,", ",,"], ["6", "plain", '\n'], ["7", "a,b", "x"]]
+
+
+def test_csv_cells_hold_line_ends(spark, scratch):
+    _write_csv(os.path.join(scratch, "m.csv"), MULTI_LINE)
+    got = _csv_rows(spark, scratch)
+    assert got == {("m.csv", i): dict(zip(MULTI_LINE[0], row, strict=True)) for i, row in enumerate(MULTI_LINE[1:])}
+
+
+@pytest.mark.parametrize("size", [64, 700, 5000])
+def test_csv_records_go_across_splits(spark, scratch, size):
+    rng = random.Random(size)
+    pieces = ["a", '"', ",", "\n", "word ", '""', "\n\n", "é"]
+    files = {}
+    for name in ("x.csv", "y.csv"):
+        rows = [["Date", "Two\nlined name", "Z"]] + [
+            [str(i)] + ["".join(rng.choices(pieces, k=rng.choice((0, 1, 3, 40)))) for _ in range(2)] for i in range(150)]
+        files[name] = rows
+        _write_csv(os.path.join(scratch, name), rows)
+    sizes = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        got = _csv_rows(spark, scratch)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {(n, i): dict(zip(rows[0], row, strict=True)) for n, rows in files.items() for i, row in enumerate(rows[1:])}
+
+
+def test_csv_stray_and_unclosed_quotes(spark, scratch):
+    with open(os.path.join(scratch, "s.csv"), "w") as f:
+        f.write('Date,Memo\n1,5" pipe\n2,12",\n3,x "y" z\n4,"a"" b"\n')
+    with open(os.path.join(scratch, "t.csv"), "w") as f:
+        f.write('Date,Memo\n1,"never\n2,closed\n3,here\n')
+    got = _csv_rows(spark, scratch)
+    assert {k[1]: v["Memo"] for k, v in got.items() if k[0] == "s.csv"} == {0: '5" pipe', 1: '12"', 2: 'x "y" z', 3: 'a" b'}
+    assert {k: v["Memo"] for k, v in got.items() if k[0] == "t.csv"} == {("t.csv", 0): '"never', ("t.csv", 1): "closed", ("t.csv", 2): "here"}
+
+
+def test_csv_reader_runs_no_job_and_parses_once(spark, scratch):
+    from ledgerloom.sources import uploads
+
+    _write_csv(os.path.join(scratch, "m.csv"), MULTI_LINE)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("csv-plan", "csv-plan")
+    df = uploads.read_statement_csv(spark, scratch, "t")
+    assert list(tracker.getJobIdsForGroup("csv-plan")) == []
+    spark.sparkContext.setJobGroup("other", "other")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "csv" not in plan.lower().replace("m.csv", "")
