@@ -22,7 +22,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Tokens of A in a block of documents: what one task holds at once, and what one group of the last step holds.
 BLOCK_TOKENS = 1 << 18
 #: Window alignments are remembered from block to block up to so many ids in all.
-REMEMBERED_IDS = 1_000_000
+REMEMBERED_IDS = 4_000_000
 #: An id pair is one number: A's id shifted by this, and B's id.
 _B_BITS = 32
 #: Beyond all ids of A: where a packed window goes over from A to B.
@@ -87,16 +87,17 @@ class Aligner:
         cut_a, cut_b = cut_a.tolist(), cut_b.tolist()
         found = [known(ids_a[i:j] + ids_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
         if None in found:
+            list_a, list_b = a.tolist(), b.tolist()
             for n, number in enumerate(found):
                 if number is None:
-                    found[n] = self._remembered(ids_a[cut_a[n]:cut_a[n + 1]], ids_b[cut_b[n]:cut_b[n + 1]])
+                    i, j, k, m = cut_a[n], cut_a[n + 1], cut_b[n], cut_b[n + 1]
+                    found[n] = self._remembered(ids_a[i:j] + ids_b[k:m], list_a[i >> 2:j >> 2], list_b[k >> 2:m >> 2])
         return found
 
-    def _remembered(self, ids_a: bytes, ids_b: bytes) -> int:
-        number = self.seen.get(ids_a + ids_b)
+    def _remembered(self, window: bytes, a: list[int], b: list[int]) -> int:
+        number = self.seen.get(window)
         if number is None:
-            number = self.seen[ids_a + ids_b] = len(self.groups)
-            a, b = memoryview(ids_a).cast("I").tolist(), [x - _B_MARK for x in memoryview(ids_b).cast("I")]
+            number = self.seen[window] = len(self.groups)
             groups, pairs = self.align(a, b)
             self.groups.append(groups)
             self.links.extend(pairs)
@@ -106,22 +107,25 @@ class Aligner:
 
     def align(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
         """Groups between shared ends, written out, and the id pairs whose tokens end there."""
-        text_a, text_b = [self.written_a[x] for x in a], [self.written_b[x] for x in b]
-        if len(a) == 1 or len(b) == 1:
-            return f"{','.join(text_a)}|{','.join(text_b)}", [a[-1] << _B_BITS | b[-1]]
-        groups, pairs = [], []
-        first, before, k = 0, 0, 0
-        end_a, end_b = 0, self.lengths_b[b[0]]
-        for i, token in enumerate(a):
-            end_a += self.lengths_a[token]
+        written_a, written_b, lengths_a, lengths_b = self.written_a, self.written_b, self.lengths_a, self.lengths_b
+        pairs: list[int] = []
+        out = group_a = group_b = ""
+        end_a = end_b = k = 0
+        for token in a:
+            group_a += written_a[token]
+            end_a += lengths_a[token]
             while end_b < end_a:
+                piece = b[k]
                 k += 1
-                end_b += self.lengths_b[b[k]]
-            if end_b == end_a:
-                groups.append(f"{','.join(text_a[first:i + 1])}|{','.join(text_b[before:k + 1])}")
-                pairs.append(token << _B_BITS | b[k])
-                first, before = i + 1, k + 1
-        return ";".join(groups), pairs
+                group_b += f",{written_b[piece]}" if group_b else written_b[piece]
+                end_b += lengths_b[piece]
+            if end_a == end_b:
+                out += f"{group_a}|{group_b};"
+                pairs.append(token << _B_BITS | piece)
+                group_a = group_b = ""
+            else:
+                group_a += ","
+        return out[:-1], pairs
 
 
 def _share(spark: SparkSession, vocabulary: str | None, pieces: str | None) -> Broadcast:
