@@ -7,6 +7,7 @@ import json
 import uuid
 from array import array
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +23,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Tokens of A in a block of documents: what one task holds at once, and what one group of the last step holds.
 BLOCK_TOKENS = 1 << 18
 #: Window alignments are remembered from block to block up to so many ids in all.
-REMEMBERED_IDS = 4_000_000
+REMEMBERED_IDS = 1_000_000
 #: An id pair is one number: A's id shifted by this, and B's id.
 _B_BITS = 32
 #: Beyond all ids of A: where a packed window goes over from A to B.
@@ -49,8 +50,9 @@ class Aligner:
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         self.marked_a, self.marked_b = (np.array([x[:1] == b" " for x in y]) for y in (self.bytes_a, self.bytes_b))
-        self.lengths_a, self.lengths_b = self.size_a.tolist(), self.size_b.tolist()
-        self.written_a, self.written_b = (list(map(str, range(len(x)))) for x in (self.bytes_a, self.bytes_b))
+        # how ids are written: A's within and at the end of a group, B's within and at the end of a group, and of a window
+        self.written = [f"{i}{mark}" for ids, marks in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;\n"))
+                        for mark in marks for i in range(ids)]
         self.forget()
 
     def forget(self) -> None:
@@ -87,45 +89,53 @@ class Aligner:
         cut_a, cut_b = cut_a.tolist(), cut_b.tolist()
         found = [known(ids_a[i:j] + ids_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
         if None in found:
-            list_a, list_b = a.tolist(), b.tolist()
+            new: dict[bytes, tuple[int, int, int, int]] = {}
             for n, number in enumerate(found):
                 if number is None:
                     i, j, k, m = cut_a[n], cut_a[n + 1], cut_b[n], cut_b[n + 1]
-                    found[n] = self._remembered(ids_a[i:j] + ids_b[k:m], list_a[i >> 2:j >> 2], list_b[k >> 2:m >> 2])
+                    new.setdefault(ids_a[i:j] + ids_b[k:m], (i, j, k, m))
+            self._remember(a, b, new)
+            found = [known(ids_a[i:j] + ids_b[k:m]) if number is None else number
+                     for number, i, j, k, m in zip(found, cut_a, cut_a[1:], cut_b, cut_b[1:])]
         return found
 
-    def _remembered(self, window: bytes, a: list[int], b: list[int]) -> int:
-        number = self.seen.get(window)
-        if number is None:
-            number = self.seen[window] = len(self.groups)
-            groups, pairs = self.align(a, b)
-            self.groups.append(groups)
-            self.links.extend(pairs)
-            self.many.append(len(pairs))
-            self.held += len(a) + len(b)
-        return number
-
-    def align(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
-        """Groups between shared ends, written out, and the id pairs whose tokens end there."""
-        written_a, written_b, lengths_a, lengths_b = self.written_a, self.written_b, self.lengths_a, self.lengths_b
-        pairs: list[int] = []
-        out = group_a = group_b = ""
-        end_a = end_b = k = 0
-        for token in a:
-            group_a += written_a[token]
-            end_a += lengths_a[token]
-            while end_b < end_a:
-                piece = b[k]
-                k += 1
-                group_b += f",{written_b[piece]}" if group_b else written_b[piece]
-                end_b += lengths_b[piece]
-            if end_a == end_b:
-                out += f"{group_a}|{group_b};"
-                pairs.append(token << _B_BITS | piece)
-                group_a = group_b = ""
-            else:
-                group_a += ","
-        return out[:-1], pairs
+    def _remember(self, a: np.ndarray, b: np.ndarray, new: dict[bytes, tuple[int, int, int, int]]) -> None:
+        """Align the new windows of a text, all at once: one after another they read as a text of their own."""
+        i, j, k, m = (np.array(c) >> 2 for c in zip(*new.values(), strict=True))
+        a, b = a[_ranges(i, j)], b[_ranges(k, m)]
+        groups, many, links = self.align(a, b, np.cumsum(m - k))
+        first = len(self.groups)
+        self.seen.update(zip(new, range(first, first + len(new)), strict=True))
+        self.groups += groups
+        self.links.frombytes(links.tobytes())
+        self.many.frombytes(many.tobytes())
+        self.held += len(a) + len(b)
+
+    def align(self, a: np.ndarray, b: np.ndarray, stops: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Groups of each window written out, how many there are, and the id pairs whose tokens end together.
+
+        ``stops`` says where each window's ids of B stop. All windows' bytes are equal on both sides, so shared ends
+        cut windows and, within them, groups.
+        """
+        _, last_a, last_b = np.intersect1d(np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), assume_unique=True, return_indices=True)
+        many = np.diff(np.r_[0, np.searchsorted(last_b, stops - 1, "right")])
+        n_a, n_b = len(self.bytes_a), len(self.bytes_b)
+        code_a, code_b = a.copy(), b + 2 * n_a
+        code_a[last_a] += n_a
+        code_b[last_b] += n_b
+        code_b[stops - 1] += n_b
+        # A's ids of a group stand before B's: each is moved by the ids of the other side that come first
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[np.arange(len(a)) + np.r_[0, last_b + 1][np.searchsorted(last_a, np.arange(len(a)))]] = code_a
+        codes[np.arange(len(b)) + (last_a + 1)[np.searchsorted(last_b, np.arange(len(b)))]] = code_b
+        text = "".join([self.written[c] for c in codes.tolist()])
+        return text[:-1].split("\n"), many.astype(np.int64), (a[last_a] << _B_BITS) | b[last_b]
+
+
+def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """All numbers of all ranges, one after another."""
+    many = stop - start
+    return np.repeat(start - (np.cumsum(many) - many), many) + np.arange(many.sum())
 
 
 def _share(spark: SparkSession, vocabulary: str | None, pieces: str | None) -> Broadcast:
@@ -185,8 +195,8 @@ def aligned_blocks(docs: DataFrame, id_col: str, text_col: str, vocabulary: str
             each, flat = (np.array(x, np.int64) for x in (aligner.many, aligner.links))
             used = np.array(windows, np.int64)
             many = each[used]
-            where = np.repeat((np.cumsum(each) - each)[used] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            pairs, link, times = np.unique(flat[where], return_inverse=True, return_counts=True)
+            start = (np.cumsum(each) - each)[used]
+            pairs, link, times = np.unique(flat[_ranges(start, start + many)], return_inverse=True, return_counts=True)
             n, name = len(marks), uuid.uuid4().hex
             offsets = np.r_[0, np.cumsum(many)][np.r_[0, np.cumsum(sizes)].astype(np.int64)]
             listed = lambda values, t: pa.array([None] * n + [values], pa.list_(t))
@@ -254,22 +264,39 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     own = blocks.where("NOT is_doc").select(F.col("block").alias("of"), F.posexplode("pairs").alias("at", "pair"))
     known = own.join(counted.hint("rebalance"), "pair").select("of", "at", "n", "best")
     rows = blocks.where("is_doc").select("block", "id", *_MARKS, "links")
-    schema = T.StructType([rows.schema["id"], *T._parse_datatype_string(
+    id_type = rows.schema["id"]
+    schema = T.StructType([id_type, *T._parse_datatype_string(
         "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string").fields])
-
-    def total(left: pa.Table, right: pa.Table) -> pa.Table:
-        n, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, np.int64)
-        at = right.column("at").to_numpy()
-        n[at] = right.column("n").to_numpy()
-        best[at] = right.column("best").to_numpy().astype(np.int64)
-        made = []
-        for links in left.column("links").chunks:
-            offsets, where = links.offsets.to_numpy(), links.values.to_numpy(zero_copy_only=False)
-            for x in (n, best):
-                made.append(np.diff(np.r_[0, np.cumsum(x[where])][offsets]))
-        each = np.concatenate([np.diff(c.offsets.to_numpy()) for c in left.column("links").chunks]).astype(np.int64)
-        return pa.Table.from_arrays(
-            [left.column("id"), *[left.column(c) for c in _MARKS[:3]], pa.array(each), pa.array(np.concatenate(made[1::2])),
-             pa.array(np.concatenate(made[::2])), left.column("groups_sha256")], schema.fieldNames())
-
-    return rows.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(total, schema).withColumnRenamed("id", id_col)
+    nothing = lambda df, names: [F.lit(None).cast(df.schema[n].dataType).alias(n) for n in names]
+    both = known.select(F.col("of").alias("block"), F.lit(False).alias("is_doc"), "at", "n", "best", *nothing(rows, ["id", *_MARKS, "links"]))
+    both = both.unionByName(rows.select("block", F.lit(True).alias("is_doc"), *nothing(known, ["at", "n", "best"]), "id", *_MARKS, "links"))
+    # a block's pairs come before its documents
+    return both.repartition("block").sortWithinPartitions("block", "is_doc").mapInArrow(_summed, schema).withColumnRenamed("id", id_col)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of every document over its links, by the counts of its block's pairs; one block's pairs are held at a time."""
+    block, parts = None, []
+    counts = best = np.zeros(0, np.int64)
+    for batch in batches:
+        start = 0
+        for (of, is_doc), run in groupby(zip(batch.column("block").to_pylist(), batch.column("is_doc").to_pylist(), strict=True)):
+            some = batch.slice(start, len(list(run)))
+            start += some.num_rows
+            if of != block:
+                block, parts = of, []
+                counts = best = np.zeros(0, np.int64)
+            if not is_doc:
+                parts.append([some.column(c).to_numpy(zero_copy_only=False) for c in ("at", "n", "best")])
+                continue
+            if parts:
+                at, n, top = (np.concatenate(c) for c in zip(*parts, strict=True))
+                counts, best, parts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), []
+                counts[at], best[at] = n, top
+            links = some.column("links")
+            offsets = links.offsets.to_numpy()
+            where = links.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]]
+            sums = [np.diff(np.r_[0, np.cumsum(x[where])][offsets - offsets[0]]) for x in (np.ones_like(counts), best, counts)]
+            yield pa.RecordBatch.from_arrays(
+                [some.column("id"), *[some.column(c) for c in _MARKS[:3]], *map(pa.array, sums), some.column("groups_sha256")],
+                ["id", *_MARKS[:3], "n_links", "n_best", "count_sum", "groups_sha256"])

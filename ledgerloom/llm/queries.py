@@ -30,9 +30,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the rule of the SQL: one template a leaf, one number of documents for all lines
-    docs = _table(spark, sf_dir, "documents")
-    return line_dedup.drop_recurring_lines(docs, long_words=None, families=False).select(
+    return line_dedup.drop_recurring_lines(_table(spark, sf_dir, "documents")).select(
         "doc_id", "text", F.col("__lines").alias("n_lines"), F.col("__dropped").alias("n_dropped"))
 
 
@@ -116,40 +114,60 @@ ORACLE_SQL: dict[str, str] = {
         LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM pairs GROUP BY x) USING (vec_id)
     """,
     "op3_line_dedup": r"""
-        WITH parts AS (
+        WITH parts AS MATERIALIZED (
             SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
-        numbered AS (
+        numbered AS MATERIALIZED (
             SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM parts),
-        lines AS (
+        lines AS MATERIALIZED (
             SELECT doc_id, line_no, string_split_regex(regexp_replace(
                 trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
-                '[^ \t\x0b\f\r]*[0-9][^ \t\x0b\f\r]*', '<*>', 'g'), '[ \t\x0b\f\r]+') AS words
+                '[^ \t\x0b\f\r]*[0-9][^ \t\x0b\f\r]*', '<*>', 'g'), '[ \t\x0b\f\r]+') AS words,
+                string_split_regex(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[ \t\x0b\f\r]+') AS whole
             FROM numbered),
-        worded AS (SELECT *, len(words) AS n, words[1] AS w1, coalesce(words[2], '') AS w2 FROM lines WHERE words[1] <> ''),
-        leaves AS (
-            SELECT n, w1, w2 FROM worded GROUP BY n, w1, w2 HAVING count(DISTINCT words) >= 10),
-        different AS (SELECT DISTINCT n, w1, w2, words FROM worded JOIN leaves USING (n, w1, w2)),
-        places AS (SELECT n, w1, w2, unnest(words) AS word, unnest(range(n)) AS place FROM different),
-        counted AS (SELECT n, w1, w2, place, word, count(*) AS c FROM places GROUP BY ALL),
-        fixed AS (
-            SELECT n, w1, w2, place, CASE WHEN max(c) > sum(c) * 0.5 THEN arg_max(word, c) END AS word
-            FROM counted GROUP BY n, w1, w2, place),
-        templates AS (
-            SELECT n, w1, w2, list(word ORDER BY place) AS template
-            FROM fixed GROUP BY n, w1, w2 HAVING count(word) >= n * 0.7),
-        covered AS (
-            SELECT words FROM different JOIN templates USING (n, w1, w2)
-            WHERE len(list_filter(range(n), lambda i: words[i + 1] = template[i + 1])) >= n * 0.7),
-        named AS (
-            SELECT doc_id, line_no, CASE WHEN words IN (SELECT words FROM covered)
-                   THEN {'leaf': [n::VARCHAR, w1, w2], 'line': NULL::VARCHAR[]}
-                   ELSE {'leaf': NULL::VARCHAR[], 'line': words} END AS template
-            FROM worded),
-        recurring AS (
+        worded AS MATERIALIZED (SELECT *, len(words) AS n, words[1] AS w1, coalesce(words[2], '') AS w2 FROM lines WHERE words[1] <> ''),
+        short AS MATERIALIZED (SELECT words, n, w1, w2, count(*) AS c FROM worded WHERE n <= 50 GROUP BY ALL),
+        different AS MATERIALIZED (
+            SELECT * FROM short WHERE (n, w1, w2) IN (
+                SELECT (n, w1, w2) FROM short GROUP BY n, w1, w2 HAVING count(*) >= 2 AND sum(c) >= 10)),
+        placed AS MATERIALIZED (
+            SELECT words, n, w1, w2, c, unnest(words) AS word, unnest(range(n)) AS place FROM different),
+        frequent AS MATERIALIZED (
+            SELECT *, row_number() OVER () * 64 + place AS id FROM (
+                SELECT n, w1, w2, place, word, sum(c) AS seen FROM placed WHERE place >= 2 GROUP BY ALL HAVING sum(c) >= 10)),
+        found AS MATERIALIZED (
+            SELECT words, any_value(n) AS n, any_value(w1) AS w1, any_value(w2) AS w2, any_value(c) AS c, count(*)::INT AS size,
+                   list(id ORDER BY seen DESC, place) AS by_count, list(id ORDER BY place) AS by_place, row_number() OVER () AS line
+            FROM placed JOIN frequent USING (n, w1, w2, place, word) GROUP BY words HAVING count(*) + 2 >= any_value(n) * 0.7),
+        tops AS MATERIALIZED (
+            SELECT line, n, c, list_sort(by_count[1:k]) AS mask
+            FROM (SELECT *, unnest(range(greatest(1, ceil(n * 0.7 - 1e-9)::INT - 2), size + 1)) AS k FROM found)),
+        buts AS MATERIALIZED (
+            SELECT line, n, c, list_sort(list_concat(by_place[1:i - 1], by_place[i + w:size])) AS mask
+            FROM (SELECT *, unnest(range(1, size - w + 2)) AS i FROM found, (VALUES (1), (2), (3)) t(w) WHERE size >= w)),
+        masks AS MATERIALIZED (
+            SELECT DISTINCT line, c, mask FROM (FROM tops UNION ALL FROM buts) WHERE len(mask) + 2 < n AND len(mask) + 2 >= n * 0.7),
+        shared AS MATERIALIZED (
+            SELECT mask, row_number() OVER () AS family FROM masks GROUP BY mask HAVING count(*) > 1 AND sum(c) >= 10),
+        general AS MATERIALIZED (SELECT line, family, mask FROM masks JOIN shared USING (mask)),
+        seen_in AS MATERIALIZED (SELECT DISTINCT line, doc_id FROM worded JOIN found USING (words)),
+        counted AS MATERIALIZED (
+            SELECT family, count(DISTINCT doc_id) AS docs FROM general JOIN seen_in USING (line)
+            GROUP BY family HAVING count(DISTINCT doc_id) >= 10),
+        chosen AS MATERIALIZED (
+            SELECT line, arg_max(family, (docs, len(mask), list_sum(list_transform(mask, lambda x: 2 ** (x % 64))))) AS template
+            FROM general JOIN counted USING (family) GROUP BY line),
+        covered AS MATERIALIZED (SELECT words, template FROM chosen JOIN found USING (line)),
+        named AS MATERIALIZED (
+            SELECT doc_id, line_no, {'general': template, 'line': CASE WHEN template IS NULL THEN worded.words END,
+                                     'whole': NULL::VARCHAR[]} AS template, CASE WHEN template IS NULL THEN 10 ELSE 1 END AS enough
+            FROM worded LEFT JOIN covered USING (words)
+            UNION ALL
+            SELECT doc_id, line_no, {'general': NULL, 'line': words, 'whole': whole}, 2 FROM worded WHERE n > 50),
+        recurring AS MATERIALIZED (
             SELECT template, min((doc_id, line_no)) AS first_place
-            FROM named GROUP BY template HAVING count(DISTINCT doc_id) >= 10),
-        dropped AS (
-            SELECT doc_id, list(line_no) AS places FROM named JOIN recurring USING (template)
+            FROM named GROUP BY template, enough HAVING count(DISTINCT doc_id) >= enough),
+        dropped AS MATERIALIZED (
+            SELECT doc_id, list(DISTINCT line_no) AS places FROM named JOIN recurring USING (template)
             WHERE (doc_id, line_no) <> first_place GROUP BY doc_id)
         SELECT doc_id, CASE WHEN places IS NULL THEN text ELSE array_to_string(list_transform(
                    list_filter(range(len(parts)), lambda i: NOT list_contains(places, i)),

@@ -45,10 +45,7 @@ class Encoder:
         self.whole = Tokenizer.from_str(content)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.plain = Tokenizer.from_str(content)
-        self.plain.no_truncation()
-        self.plain.no_padding()
-        self.plain.encode_special_tokens = True
+        self.content, self.plain = content, None
         self.fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN,
                                       mergeable_ranks=token_bytes(spec), special_tokens={})
 
@@ -66,6 +63,11 @@ class Encoder:
             except BaseException as failure:  # a panic of the native code is no Exception
                 if type(failure).__name__ != "PanicException":
                     raise
+        if self.plain is None:  # few texts need it
+            self.plain = Tokenizer.from_str(self.content)
+            self.plain.no_truncation()
+            self.plain.no_padding()
+            self.plain.encode_special_tokens = True
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
