@@ -353,7 +353,10 @@ def runner_isolated(ledger: Ledger) -> DataFrame:
     raw = (F.when((kind == 1) & (F.pmod(number, F.lit(10)) == 0), F.expr("left(raw, length(raw) - 5)"))
            .when((kind == 2) & (F.pmod(number, F.lit(7)) == 0), F.regexp_replace("raw", '"Amount":[^,}]*', '"Amount":99999999999999999'))
            .otherwise(F.col("raw")))
-    pulled = ledger.payloads("payments").withColumn("raw", raw)
+    # a pull is what was delivered: stored as it came
+    work = scratch_dir(ledger.spark, "pull")
+    ledger.payloads("payments").withColumn("raw", raw).write.parquet(f"{work}/payments")
+    pulled = ledger.spark.read.parquet(f"{work}/payments")
     landed, outcomes = runs.isolate_failures(ledger.connections, payloads.ingest_payments(pulled, ledger.loaded_at),
                                              payloads.rejects(pulled, "payments"))
     amounts = landed.groupBy("connection_id").agg(F.sum("amount").alias("amount"))

@@ -103,3 +103,21 @@ def test_reading_a_missing_log_writes_nothing(spark, scratch):
     assert change_log.read_log(spark, f"{scratch}/none", schema).count() == 0
     import os
     assert not os.path.exists(f"{scratch}/none")
+
+
+def test_a_batch_of_new_lines_opens_no_data_file(spark, scratch):
+    schema = "tenant_id string, dedup_hash string, batch_id string, row_index int, date date"
+    day = dt.date(2024, 1, 5)
+    table = f"{scratch}/table"
+    old = spark.createDataFrame([("t", f"old{i}", "b", i, day) for i in range(300)], schema)
+    lines.create_table(old, table)
+    new = spark.createDataFrame([("t", f"new{i}", "c", i, day) for i in range(20)], schema)
+    known = {r.dedup_hash for r in lines.maybe_known(table, old.unionByName(new), 5).collect()}
+    assert {f"old{i}" for i in range(300)} <= known
+    assert lines.maybe_known(table, old, -1).count() == 0
+    fresh = new.filter(~new["dedup_hash"].isin(sorted(known)))
+    assert fresh.count() >= 19
+    earlier = lines.earlier_lines(table, old.schema, fresh, 5)
+    assert earlier.inputFiles() == [] and earlier.count() == 0
+    lines.insert_new_lines(table, old.schema, lambda b: b)(new.unionByName(old.limit(7)), 5)
+    assert lines.read_lines(spark, table, old.schema).count() == 320
