@@ -16,9 +16,12 @@ from ledgerloom.schemas import MERGE_RULES
 from ledgerloom.streaming import change_log
 
 GROUP = ("tenant_id", "type", "due")
+# ``priced`` counts the invoices with an amount: a group without any has no sum.
 #: Due date of what is not or no longer due: it never comes.
 NEVER = dt.date(9999, 12, 31)
-SCHEMA = T._parse_datatype_string("tenant_id string, type string, due date, n bigint, due_sum decimal(38,2), largest decimal(15,2)")
+SCHEMA = T.StructType([
+    T.StructField("tenant_id", T.StringType()), T.StructField("type", T.StringType()), T.StructField("due", T.DateType()),
+    T.StructField("n", T.LongType()), T.StructField("priced", T.LongType()), T.StructField("due_sum", T.DecimalType(38, 2)), T.StructField("largest", T.DecimalType(15, 2))])
 _TABLE = "fact_invoice"
 
 
@@ -35,7 +38,8 @@ def _open_items(invoices: DataFrame) -> DataFrame:
 
 def _total(items: DataFrame) -> DataFrame:
     return items.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount_due").cast("decimal(38,2)").alias("due_sum"), F.max("amount_due").alias("largest"))
+        F.count(F.lit(1)).alias("n"), F.count("amount_due").alias("priced"),
+        F.coalesce(F.sum("amount_due"), F.lit(0)).cast("decimal(38,2)").alias("due_sum"), F.max("amount_due").alias("largest"))
 
 
 def start(invoices: DataFrame, store: str) -> None:
@@ -48,8 +52,8 @@ def read_totals(spark: SparkSession, store: str, before: int | None = None) -> D
     rows = change_log.read_log(spark, store, SCHEMA)
     if before is not None:
         rows = rows.filter(F.col("batch_id") < before)
-    last = rows.groupBy(*GROUP).agg(F.max_by(F.struct("n", "due_sum", "largest"), "batch_id").alias("s"))
-    return last.select(*GROUP, "s.n", "s.due_sum", "s.largest").filter("n > 0")
+    last = rows.groupBy(*GROUP).agg(F.max_by(F.struct("n", "priced", "due_sum", "largest"), "batch_id").alias("s"))
+    return last.select(*GROUP, "s.n", "s.priced", "s.due_sum", "s.largest").filter("n > 0")
 
 
 def _same(left: str, right: str) -> Column:
@@ -73,12 +77,14 @@ def fold_load(spark: SparkSession, base: str, log: str, load_id: int, store: str
     signed = old.withColumn("sign", F.lit(-1)).unionByName(new.withColumn("sign", F.lit(1)))
     came, went = F.col("sign") == 1, F.col("sign") == -1
     delta = signed.groupBy(*GROUP).agg(
-        F.sum("sign").alias("dn"), F.sum(F.col("amount_due") * F.col("sign")).alias("ddue"),
+        F.sum("sign").alias("dn"), F.sum(F.when(F.col("amount_due").isNotNull(), F.col("sign")).otherwise(0)).alias("dpriced"),
+        F.sum(F.col("amount_due") * F.col("sign")).alias("ddue"),
         F.max(F.when(came, F.col("amount_due"))).alias("came"), F.max(F.when(went, F.col("amount_due"))).alias("went"))
     held = read_totals(spark, store, load_id)
     lost = (F.col("d.went") >= F.col("h.largest")) & F.coalesce(F.col("d.came") < F.col("h.largest"), F.lit(True))
     joined = delta.alias("d").join(held.alias("h"), _same("d", "h"), "left").select(
         *[F.col(f"d.{c}").alias(c) for c in GROUP], (F.coalesce("h.n", F.lit(0)) + F.col("d.dn")).alias("n"),
+        (F.coalesce("h.priced", F.lit(0)) + F.col("d.dpriced")).alias("priced"),
         (F.coalesce("h.due_sum", F.lit(0)) + F.coalesce("d.ddue", F.lit(0))).cast("decimal(38,2)").alias("due_sum"),
         F.greatest("h.largest", "d.came").alias("largest"), F.coalesce(lost, F.lit(False)).alias("lost")).persist()
     try:
@@ -92,9 +98,9 @@ def fold_load(spark: SparkSession, base: str, log: str, load_id: int, store: str
                                  wanted=versions[0].unionByName(versions[1]).distinct())
             found = _open_items(again).groupBy(*GROUP).agg(F.max("amount_due").alias("found"))
             totals = joined.alias("j").join(found.alias("l"), _same("j", "l"), "left").select(
-                *[F.col(f"j.{c}").alias(c) for c in GROUP], "n", "due_sum",
+                *[F.col(f"j.{c}").alias(c) for c in GROUP], "n", "priced", "due_sum",
                 F.when(F.col("lost"), F.col("found")).otherwise(F.col("largest")).alias("largest"))
-        change_log.write_batch(totals.select(*GROUP, "n", "due_sum", "largest"), store, load_id)
+        change_log.write_batch(totals.select(*GROUP, "n", "priced", "due_sum", "largest"), store, load_id)
     finally:
         joined.unpersist()
 
@@ -109,5 +115,5 @@ def ageing_summary(totals: DataFrame, tenants: DataFrame, as_of: dt.date, tenant
     bucket = ageing_bucket(F.lit(1), late)
     known = tenants.select(F.col("id").alias("tenant_id"))
     return rows.join(known, "tenant_id", "left_semi").groupBy(bucket.alias("ageing_bucket")).agg(
-        F.sum("n").alias("invoice_count"), F.sum("due_sum").cast("decimal(18,2)").alias("total_due"),
+        F.sum("n").alias("invoice_count"), F.sum(F.when(F.col("priced") > 0, F.col("due_sum"))).cast("decimal(18,2)").alias("total_due"),
         F.max("largest").alias("largest_due")).orderBy(ageing_rank(F.col("ageing_bucket")))

@@ -18,7 +18,7 @@ from ledgerloom.operators.statements import dedup
 # Lines with equal identity have equal dates, so a month is all that a batch has to be compared with.
 MONTH = "_month"
 IDENTITY = ("tenant_id", "dedup_hash")
-_BITMAPS = T._parse_datatype_string(f"bucket bigint, known binary, load_id bigint, {MONTH} string")
+_BITMAPS = f"bucket bigint, known binary, load_id bigint, {MONTH} string"
 
 
 def _by_month(rows: DataFrame) -> DataFrame:

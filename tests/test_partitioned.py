@@ -113,19 +113,14 @@ def test_cursor_reaches_the_scan(spark, scratch, raw):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and "GreaterThanOrEqual(source_updated_at,2024-11-01" in plan
     assert "_changed" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
-    read = {r[0].rpartition("_changed=")[2][:7] for r in df.select(F.input_file_name()).collect()}
-    opened = {f.split("_changed=")[1][:7] for f in df.inputFiles()} if df.inputFiles() else read
-    assert read <= {"2024-11", "2024-12"} and opened
-
-
-INVOICE = ("id string, tenant_id string, source_id string, type string, status string, due_date date, amount_due decimal(15,2), "
-           "is_overdue boolean, days_overdue int, warehouse_updated_at timestamp_ntz")
+    assert "2024-11" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert {r.source_id for r in df.collect()} == {"0-11", "0-12", "1-12"}
 
 
 def invoices(spark, made, day):
     from ledgerloom.functions.finance import days_overdue, is_overdue
 
-    df = spark.createDataFrame([(f"i{k}", f"t{k % 2}", str(k), kind, status, due, amount and Decimal(amount)) for k, kind, status, due, amount in made],
+    df = spark.createDataFrame([(f"i{k}", f"t{k % 2}", str(k), kind, status, due, None if amount is None else Decimal(amount)) for k, kind, status, due, amount in made],
                                "id string, tenant_id string, source_id string, type string, status string, due_date date, amount_due decimal(15,2)")
     flags = [f(F.col("status"), F.col("due_date"), F.lit(day)).alias(n) for f, n in ((is_overdue, "is_overdue"), (days_overdue, "days_overdue"))]
     return df.select(*df.columns, *flags, ts_literal("2024-01-01 00:00:00").alias("warehouse_updated_at"))
