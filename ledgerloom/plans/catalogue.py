@@ -359,7 +359,7 @@ def runner_isolated(ledger: Ledger) -> DataFrame:
     pulled = ledger.spark.read.parquet(f"{work}/payments")
     landed, outcomes = runs.isolate_failures(ledger.connections, payloads.ingest_payments(pulled, ledger.loaded_at),
                                              payloads.rejects(pulled, "payments"))
-    amounts = landed.groupBy("connection_id").agg(F.sum("amount").alias("amount"))
+    amounts = landed.groupBy("connection_id").agg(F.sum("amount").cast("decimal(18,2)").alias("amount"))
     return outcomes.join(amounts, "connection_id", "left")
 
 

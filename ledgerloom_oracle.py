@@ -551,7 +551,7 @@ QUERIES: dict[str, str] = {
                CASE WHEN rejected > 0 THEN CASE CAST(c.id AS INTEGER) % 4 WHEN 1 THEN 'unreadable' ELSE 'bad value' END END AS error,
                CASE WHEN coalesce(rejected, 0) = 0 THEN amount END AS amount
         FROM connections c LEFT JOIN (
-            SELECT connection_id, count(*) AS n, sum(amount) AS amount, count(*) FILTER (WHERE CASE CAST(connection_id AS INTEGER) % 4
+            SELECT connection_id, count(*) AS n, CAST(sum(amount) AS DECIMAL(18,2)) AS amount, count(*) FILTER (WHERE CASE CAST(connection_id AS INTEGER) % 4
                        WHEN 1 THEN CAST(substr(source_id, 2) AS BIGINT) % 10 = 0
                        WHEN 2 THEN CAST(substr(source_id, 2) AS BIGINT) % 7 = 0 ELSE false END) AS rejected
             FROM raw_payments GROUP BY connection_id) p ON p.connection_id = c.id""",
