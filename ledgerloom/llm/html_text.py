@@ -28,16 +28,21 @@ _CLOSES = {
     "tbody": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}),
 }
 _IN_A_PARAGRAPH = frozenset("caption td th tr tbody thead tfoot".split())
-_CONTENT, _OTHER = frozenset({"article", "main"}), frozenset("nav footer aside form menu dialog".split())
-_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
-# Words in class and id that tell what is not the article.
-_WORDS = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|banner|sidebar|menu|nav|navbar|"
-    r"navigation|breadcrumbs?|footer|cookies?|consent|gdpr|notices?|notification|alert|popup|modal|overlay|related|"
-    r"recommended|share|sharing|social|newsletter|subscribe|subscription|login|signup|signin|search|widget|pagination|"
-    r"pager|paywall|skip|toolbar|topbar|masthead|copyright|legal|disclaimer)(?![a-z])")
-_COMMENTS = re.compile(r"(?<![a-z])(?:comments?|replies|respond|disqus|discussion|reactions?)(?![a-z])|commentlist")
-_HEADER = re.compile(r"(?<![a-z])(?:header|page-header|site-header)(?![a-z])")
+_CONTENT, _OTHER = frozenset({"article", "main"}), frozenset("nav footer aside menu dialog".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
+# Words in class and id that tell what is not the article; those of the first list have no other meaning.
+_SURE_WORDS = frozenset("""ad ads advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos sidebar navbar
+    navigation breadcrumb breadcrumbs footer cookie cookies consent gdpr newsletter pagination pager paywall masthead
+    copyright""".split())
+_WORDS = _SURE_WORDS | frozenset("""banner menu nav notice notices notification alert popup modal overlay related recommended share sharing
+    social subscribe subscription login signup signin search widget skip toolbar topbar legal disclaimer header""".split())
+_COMMENTS = frozenset("comment comments commentlist replies respond disqus discussion reaction reactions".split())
+# Words that say nothing beside them.
+_NEUTRAL = frozenset("""a area bar block body bottom box button buttons card col column container content div form global group holder icons id
+    inner item items js left link links list main message outer page panel post posts primary reader right row secondary section site slot
+    text thread top unit user users wrap wrapper""".split())
+_HEADER = re.compile(r"(?<![a-z])header(?![a-z])")
+_PART = re.compile(r"[^\W\d_]+")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-z/!?][^>]*+(?:>|\Z)", re.I | re.S)
@@ -45,11 +50,17 @@ _ATTRIBUTE = re.compile(
     r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
     re.I)
 
-# Weights of the block classifier, in log-odds of content; fixed by hand.
-_BASE, _INSIDE, _OUTSIDE, _MARKED = -1.0, 6.0, -16.0, -13.0
-_PER_CHAR, _CHARS, _LINKS, _SHORT, _HEADING, _PARAGRAPH, _ITEM = 0.012, 350, -5.0, -1.0, 0.7, 0.5, -0.5
-# Weights of the smoothness edges: next to each other, and next in the same parent.
-_ADJACENT, _SIBLING, _UNIT = 0.6, 1.0, 1000
+# Weights of the block classifier, in log-odds of content, from what a block is by itself; fixed by hand.
+_BASE, _PER_CHAR, _CHARS, _LINKS, _SHORT, _HEADING, _PARAGRAPH, _ITEM = -1.7, 0.012, 250, -5.0, -1.0, 0.7, 0.5, -0.5
+_SENTENCE, _RIGHTS = 1.2, -2.0
+# Weights of the smoothness edges: next to each other, next in the same parent, the share left between two containers,
+# and between a container and its blocks.
+_ADJACENT, _SIBLING, _ACROSS, _TIE = 0.6, 1.0, 0.2, 5.0
+# Capacities that tie a container to the sink where its kind is only likely: about three long paragraphs, or one.
+_LIKELY, _MAYBE = 8.0, 2.0
+_UNIT = 1000
+# What an element says about the blocks in it. Only an article or main element overrides one below ``_OUT``.
+_NONE, _IN, _DOUBTED, _MARKED, _AD, _OUT = range(6)
 
 
 @dataclass
@@ -57,9 +68,8 @@ class Block:
     text: str
     links: float
     tag: str
-    inside: bool
-    outside: bool
-    marked: bool
+    kind: int
+    container: int
     path: tuple[int, ...]
 
 
@@ -67,19 +77,33 @@ class Block:
 class _Element:
     tag: str
     number: int
-    inside: bool = False
-    outside: bool = False
-    marked: bool = False
-    comments: bool = False
+    kind: int = _NONE
+    container: int = 0
     link: bool = False
     skipped: bool = False
 
 
+def _named(names: str) -> int:
+    """What the names in class and id say: a name counts in full where all its parts are known words."""
+    kind = _NONE
+    for name in names.split():
+        parts = _PART.findall(name)
+        if any(p in _COMMENTS for p in parts):
+            found = _OUT if all(p in _COMMENTS or p in _NEUTRAL for p in parts) else _DOUBTED
+        elif any(p in _WORDS for p in parts):
+            if not all(p in _WORDS or p in _NEUTRAL for p in parts):
+                found = _DOUBTED
+            else:
+                found = _AD if any(p in _SURE_WORDS for p in parts) else _MARKED
+        else:
+            continue
+        kind = max(kind, found)
+    return kind
+
+
 def _entered(tag: str, attributes: str, above: _Element, number: int) -> _Element:
     """State below an element, from the state above it."""
-    e = _Element(tag, number, above.inside, above.outside, above.marked, above.comments, above.link or tag == "a",
-                 above.skipped or tag in _SKIPPED)
-    names, role = "", ""
+    names, role, kind = "", "", _NONE
     for m in _ATTRIBUTE.finditer(attributes) if attributes else ():
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key in ("class", "id"):
@@ -88,21 +112,23 @@ def _entered(tag: str, attributes: str, above: _Element, number: int) -> _Elemen
             role = value
         elif key == "hidden" or (key == "aria-hidden" and value == "true") or (
                 key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            e.outside = True
-    if names:
-        names = names.replace("_", "-")
-        if _COMMENTS.search(names) and tag not in ("html", "body", "main"):
-            e.comments = True
-        if _WORDS.search(names) and tag not in ("html", "body", "article", "main"):
-            e.marked = True
-        if not e.inside and _HEADER.search(names) and tag not in ("html", "body", "article", "main"):
-            e.marked = True
-    if tag in _OTHER or role in _ROLES or (tag == "header" and not e.inside):
-        e.outside = True
-    if tag in _CONTENT or role in ("main", "article"):
-        e.inside, e.marked = True, False
-    e.outside = e.outside or e.comments
-    return e
+            kind = _OUT
+    if tag in _OTHER or role in _ROLES or (tag == "header" and above.kind != _IN):
+        kind = _OUT
+    elif tag == "form" or role == "form":
+        kind = max(kind, _MARKED)
+    if names and tag not in ("html", "body", "main"):
+        named = _named(names)
+        # a name in doubt says nothing inside an article, nor does a header there, nor any word on the article itself
+        if named == _OUT or not (tag in _CONTENT or (above.kind == _IN and (named == _DOUBTED or _HEADER.search(names)))):
+            kind = max(kind, named)
+    if kind < _OUT and (tag in _CONTENT or role in ("main", "article")):
+        kind = _IN
+    if kind == _NONE or above.kind == _OUT or (kind != _IN and kind < above.kind):
+        kind, container = above.kind, above.container
+    else:
+        container = number
+    return _Element(tag, number, kind, container, above.link or tag == "a", above.skipped or tag in _SKIPPED)
 
 
 def _tokens(page: str) -> tuple[list[tuple[int, int, bool, str, str]], dict[int, int]]:
@@ -152,8 +178,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
                 at = [e for e in stack if e.tag in _BLOCK] or stack[:1]
-                out.append(Block(text, linked / max(size, 1), at[-1].tag, owner.inside, owner.outside, owner.marked,
-                                 tuple(e.number for e in at)))
+                out.append(Block(text, linked / max(size, 1), at[-1].tag, owner.kind, owner.container, tuple(e.number for e in at)))
             parts.clear()
             size = linked = 0
 
@@ -165,7 +190,7 @@ def blocks_of(page: str) -> list[Block]:
         n = len(text.strip())
         if n:
             top = stack[-1]
-            if size == 0 or (owner.outside and not top.outside):
+            if size == 0 or (owner.kind > _IN >= top.kind):
                 owner = top
             size += n
             linked += n * top.link
@@ -230,41 +255,71 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def log_odds(block: Block) -> float:
-    """The classifier: log-odds that a block is content."""
+    """The classifier: log-odds that a block is content, by its own text and tag."""
     score = _BASE + _PER_CHAR * min(len(block.text), _CHARS) + _LINKS * block.links
-    if block.inside:
-        score += _INSIDE
-    if block.outside:
-        score += _OUTSIDE
-    if block.marked:
-        score += _MARKED
-    if block.tag[:1] == "h" and block.tag[1:].isdigit():
+    heading = block.tag[:1] == "h" and block.tag[1:].isdigit()
+    ended = block.text[-1] in ".!?:;\"'»”…"
+    if heading:
         score += _HEADING
     elif block.tag in ("p", "blockquote", "pre"):
         score += _PARAGRAPH
     elif block.tag in ("li", "td", "th"):
         score += _ITEM
-    if len(block.text) < 25 and not block.tag[1:].isdigit() and block.text[-1] not in ".!?:;\"'»”…":
+    if ended and not heading:
+        score += _SENTENCE
+    elif len(block.text) < 25 and not heading:
         score += _SHORT
+    if block.text[0] in "©®":
+        score += _RIGHTS
     return score
 
 
-def label(blocks: list[Block]) -> list[bool]:
-    """Content or not, for all blocks of a page at once: terminal capacities are the costs of the other label."""
-    scores = [log_odds(b) for b in blocks]
+def graph(blocks: list[Block]) -> tuple[list[int], list[int], list[tuple[int, int, int, int]]]:
+    """Capacities from the source, to the sink, and between nodes (a, b, there, back) of a page's graph.
+
+    Nodes are the blocks and then the containers: elements that say what their blocks are. A block's terminal
+    capacities are the classifier's costs of the other label. An article and what is surely outside one are seeds; a
+    container that is only likely to be outside has a capacity that enough prose in it can fill. An article pulls its
+    blocks in and the others pull theirs out, both one way: a form that turns out to hold the article leaves its labels be.
+    """
     soft = lambda x: max(x, 0.0) + math.log1p(math.exp(-abs(x)))
-    edges, seen = [], {}
+    scores = [log_odds(b) for b in blocks]
+    source, sink = [int(_UNIT * soft(s)) for s in scores], [int(_UNIT * soft(-s)) for s in scores]
+    seed = int(_UNIT * _TIE) * (len(blocks) + 1)
+    has_article = any(b.kind == _IN for b in blocks)
+    edges: list[tuple[int, int, int, int]] = []
+    node: dict[int, int] = {}
+    seen: dict[tuple[int, ...], int] = {}
+    tie = int(_UNIT * _TIE)
     for i, block in enumerate(blocks):
+        if block.kind != _NONE:
+            if block.container not in node:
+                node[block.container] = len(source)
+                likely = _LIKELY if block.kind == _MARKED else _MAYBE
+                sure = block.kind >= _AD or (block.kind == _MARKED and has_article)
+                source.append(seed if block.kind == _IN else 0)
+                sink.append(0 if block.kind == _IN else seed if sure else int(_UNIT * likely))
+            edges.append((i, node[block.container], 0, tie) if block.kind == _IN else (i, node[block.container], tie, 0))
         if i:
             before = blocks[i - 1].path
-            shared = sum(1 for _ in _common(before, block.path))
-            steps = len(before) + len(block.path) - 2 * shared
-            edges.append((i - 1, i, int(_UNIT * _ADJACENT * 2 / (1 + max(1, steps)))))
+            steps = len(before) + len(block.path) - 2 * sum(1 for _ in _common(before, block.path))
+            near = _UNIT * _ADJACENT * 2 / (1 + max(1, steps)) * _kept(blocks[i - 1], block)
+            edges.append((i - 1, i, int(near), int(near)))
         parent = block.path[:-1]
         if parent in seen:
-            edges.append((seen[parent], i, int(_UNIT * _SIBLING)))
+            near = _UNIT * _SIBLING * _kept(blocks[seen[parent]], block)
+            edges.append((seen[parent], i, int(near), int(near)))
         seen[parent] = i
-    return content_side([int(_UNIT * soft(s)) for s in scores], [int(_UNIT * soft(-s)) for s in scores], edges)
+    return source, sink, edges
+
+
+def _kept(a: Block, b: Block) -> float:
+    return 1.0 if a.container == b.container else _ACROSS
+
+
+def label(blocks: list[Block]) -> list[bool]:
+    """Content or not, for all blocks of a page at once: the source's side of a minimum cut."""
+    return content_side(*graph(blocks))[:len(blocks)]
 
 
 def _common(a: tuple[int, ...], b: tuple[int, ...]):
@@ -286,6 +341,11 @@ def extract(html_column: Column) -> Column:
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """All columns of ``pages`` with ``__text`` added; every row stands alone, so ids, ties and repeats play no part."""
+    """All columns of ``pages`` with ``__text`` added: the main text of the whole page, in its page's order.
+
+    Null and empty html, and pages without any content block, have the empty text. Every row stands alone: null and
+    repeated ids and equal pages each keep their row, other columns come back as they are (also one called ``text``), and
+    an empty table gives an empty result. A very long or deep page is one graph, linear in its blocks.
+    """
     ship_code(pages.sparkSession)
     return pages.withColumn("__text", extract(text_of(html_col)))

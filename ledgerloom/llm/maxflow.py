@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 
-def content_side(source: list[int], sink: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
+def content_side(source: list[int], sink: list[int], edges: list[tuple[int, int, int, int]]) -> list[bool]:
     """Nodes on the source's side of a minimum cut.
 
-    ``source[i]`` and ``sink[i]`` are the capacities that tie node i to the terminals, ``edges`` undirected (a, b,
-    capacity). Of several minimum cuts it is that with the smallest source side.
+    ``source[i]`` and ``sink[i]`` are the capacities that tie node i to the terminals, ``edges`` (a, b, capacity
+    from a to b, capacity back). Of several minimum cuts it is that with the smallest source side.
     """
     n = len(source)
     # what can go straight from source over a node to the sink goes first; then a node has one terminal at most
@@ -16,12 +16,12 @@ def content_side(source: list[int], sink: list[int], edges: list[tuple[int, int,
     near: list[list[int]] = [[] for _ in range(n)]
     head: list[int] = []
     room: list[int] = []
-    for a, b, capacity in edges:
-        if capacity > 0:
+    for a, b, there, back in edges:
+        if there > 0 or back > 0:
             near[a].append(len(head))
             near[b].append(len(head) + 1)
             head += [b, a]
-            room += [capacity, capacity]
+            room += [there, back]
     while True:
         level = [-1] * n
         queue = [i for i in sources if excess[i] > 0]
