@@ -17,8 +17,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ledgerloom.llm import token_ids
 from ledgerloom.llm.common import ship_code, text_of
 
-#: Chunks whose ids a worker remembers; all are forgotten when there are more. Only speed depends on it.
-REMEMBERED = 250_000
+#: Bytes of chunks and their ids that a worker remembers; all are forgotten when there are more. Chunks of more letters
+#: than ``LONG_CHUNK`` are never remembered. Only speed depends on both.
+REMEMBERED_BYTES, LONG_CHUNK = 1 << 26, 256
+#: What a remembered chunk takes beside its letters (four bytes each at most) and ids.
+_CHUNK_COST = 200
 #: Letters of text encoded at once.
 AT_ONCE = 1_000_000
 #: Words of more bytes are merged one by one.
@@ -53,6 +56,7 @@ class Bpe:
         self._start = np.cumsum(self._size) - self._size
         self._letters = np.frombuffer(b"".join(tokens), np.uint8)
         self._known: dict[str, bytes] = {}
+        self._held = 0
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair; -1 where it has none."""
@@ -187,15 +191,18 @@ class Bpe:
             return self._pattern.findall(text)
         return text.replace(" ", f"{_CUT} ").split(_CUT)
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Encode and remember chunks."""
+    def _learn(self, chunks: set[str]) -> list[str]:
+        """Encode and remember chunks; gives those too long to be remembered beyond their texts."""
         names = list(chunks)
         split = [self._pattern.findall(c) for c in names]
         words = list({w for ws in split for w in ws})
         ids = dict(zip(words, (a.astype("<u4").tobytes() for a in self.merge_many([w.encode() for w in words])),
                        strict=True))
         for name, ws in zip(names, split, strict=True):
-            self._known[name] = b"".join([ids[w] for w in ws])
+            self._known[name] = found = b"".join([ids[w] for w in ws])
+            if len(name) <= LONG_CHUNK:
+                self._held += 4 * len(name) + len(found) + _CHUNK_COST
+        return [name for name in names if len(name) > LONG_CHUNK]
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each whole text, as little-endian unsigned 32-bit numbers; special tokens in a text are found first."""
@@ -211,19 +218,24 @@ class Bpe:
         yield from self._encode_held(held)
 
     def _encode_held(self, held: list[list[list[str] | int]]) -> Iterator[np.ndarray]:
-        if len(self._known) > REMEMBERED:
+        if self._held > REMEMBERED_BYTES:
             self._known.clear()
+            self._held = 0
         new: set[str] = set()
         for parts in held:
             for part in parts:
                 if not isinstance(part, int):
                     new.update(part)
         new.difference_update(self._known)
-        self._learn(new)
+        long = self._learn(new)
         known = self._known.__getitem__
+        made = []
         for parts in held:
             data = [np.array(p, "<u4").tobytes() if isinstance(p, int) else b"".join(map(known, p)) for p in parts]
-            yield np.frombuffer(b"".join(data), "<u4")
+            made.append(b"".join(data))
+        for name in long:
+            del self._known[name]
+        yield from (np.frombuffer(m, "<u4") for m in made)
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids, special tokens included; bytes that are not UTF-8 become replacement letters."""

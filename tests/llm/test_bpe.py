@@ -58,7 +58,7 @@ def test_tree_merges_as_the_plain_way(ours, words):
 
 
 def test_forgetting_changes_nothing(ours, whole, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 3)
     monkeypatch.setattr(bpe, "AT_ONCE", 10)
     texts = [f"some text {i} here " * 3 for i in range(50)]
     assert [i.tolist() for i in ours.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
@@ -74,3 +74,16 @@ def test_rows_of_every_kind(spark, whole):
         want.append((i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest(), ids, t or ""))
     assert sorted(map(repr, [(r[0], r[1], r[2], r[3], bytes(r[4]), r[5]) for r in got])) == sorted(map(repr, want))
     assert bpe.encode_and_decode(docs.limit(0)).count() == 0
+
+
+def test_what_is_remembered_is_bounded_in_bytes(whole, monkeypatch):
+    ours = bpe.Bpe(open(token_ids.VOCABULARY).read())
+    rng = np.random.default_rng(3)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 1500))) for _ in range(30)]
+    texts += [" ".join("".join(map(chr, rng.integers(97, 123, 200))) for _ in range(50)) for _ in range(30)]
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 100_000)
+    monkeypatch.setattr(bpe, "AT_ONCE", 1)
+    for text, ids in zip(texts, ours.encode(texts), strict=True):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+        size = sum(4 * len(k) + len(v) + 200 for k, v in ours._known.items())
+        assert size == ours._held <= 200_000 and all(len(k) <= bpe.LONG_CHUNK for k in ours._known)
