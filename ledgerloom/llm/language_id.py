@@ -18,17 +18,22 @@ BUCKETS_LOG2, DIMENSIONS = 15, 16
 #: Lengths of the subwords in bytes of the lower-cased text.
 SUBWORDS = (2, 3, 4)
 EPOCHS, RATE = 6, 0.5
-#: Of right predictions on the calibration rows at most this share is rejected; a score from ``SURE`` on never is.
-REJECT_RATE, SURE = 0.001, 0.5
+#: A prediction is rejected whose margin (of the best logit over the next) is under ``OF_WORST`` of the margin that all but
+#: ``REJECT_RATE`` of the right predictions on calibration rows have: far less than any language learnt shows.
+REJECT_RATE, OF_WORST = 0.001, 0.5
+#: Temperatures tried. Where all calibration rows come out right, losses say nothing for the lower end, so it is no lower.
+TEMPERATURES = np.geomspace(0.5, 20, 40)
 #: Every so many-th sampled row calibrates and is not learnt from.
 CALIBRATE_EVERY = 5
 UNDETERMINED = "und"
+#: One in so many ranks is the quantile's error.
+_ACCURACY = 100_000
 _BLOCK = 1 << 20
 
 
 @dataclass
 class Model:
-    """Languages, logits of each bucket, bias, temperature and the score below which a prediction is rejected."""
+    """Languages, logits of each bucket, bias, temperature and the margin below which a prediction is rejected."""
 
     languages: list[str]
     table: np.ndarray
@@ -76,6 +81,11 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
+def margin(z: np.ndarray) -> float:
+    """By how much the best logit is above the next; without end where one language is all there is."""
+    return float(z.max() - np.partition(z, -2)[-2]) if len(z) > 1 else float("inf")
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Model | None:
     """Learn embeddings and softmax by stochastic gradient descent; None without labelled rows."""
     if not rows:
@@ -105,12 +115,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[str]) -> Model |
     model = Model(languages, embed @ weight, bias.astype(np.float64))
     z = np.array([rows[i][1].astype(np.float64) @ model.table[rows[i][0]] + model.bias for i in check])
     truth = y[check]
-    losses = {t: -np.log(softmax(z / t)[np.arange(len(z)), truth] + 1e-12).mean() for t in np.geomspace(0.05, 20, 60)}
+    losses = {t: -np.log(softmax(z / t)[np.arange(len(z)), truth] + 1e-12).mean() for t in TEMPERATURES}
     model.temperature = float(min(losses, key=losses.get))
-    p = softmax(z / model.temperature)
-    right = p[p.argmax(1) == truth].max(1, initial=0) if len(p) else np.zeros(0)
-    if len(right):
-        model.threshold = float(min(SURE, np.quantile(right, REJECT_RATE, method="lower")))
+    right = [margin(x) for x, y in zip(z, truth) if x.argmax() == y]
+    if right and len(languages) > 1:
+        model.threshold = OF_WORST * float(np.quantile(right, REJECT_RATE, method="lower"))
     return model
 
 
@@ -119,7 +128,9 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     """Fit on at most ``train_rows`` of the rows where ``usable`` holds and id, text and language are not null.
 
     Whole texts are turned to bucket shares on the executors; the driver gets those of the sample, at most
-    ``train_rows`` x 32,768 pairs, however large the table or a text is.
+    ``train_rows`` x 32,768 pairs, however large the table or a text is. The margin below which a prediction is rejected
+    comes from all labelled rows beyond the sample, scored on the executors; where there are none, from those rows of
+    the sample that were not learnt from.
     """
     ship_code(docs.sparkSession)
     labelled = docs.where(usable & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
@@ -140,16 +151,31 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     rows = sample.where(F.col("h") <= chosen).mapInPandas(
         run, "h bigint, lang string, index binary, share binary").orderBy("h", "lang", "index").limit(
         train_rows).collect()
-    return fit([(np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["share"], "<f4")) for r in rows],
-               [r["lang"] for r in rows])
+    model = fit([(np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["share"], "<f4")) for r in rows],
+                [r["lang"] for r in rows])
+    if model is None or len(model.languages) < 2:
+        return model
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def right_margins(langs: pd.Series, texts: pd.Series) -> pd.Series:
+        known = shared.value
+        found = [logits(t, known) if any(map(str.isalpha, t)) else None for t in texts]
+        return pd.Series([margin(z) if z is not None and known.languages[z.argmax()] == y else None
+                          for z, y in zip(found, langs, strict=True)], dtype="float64")
+
+    rest = sample.where(F.col("h") > chosen).select(F.pandas_udf(right_margins, "double")("lang", "text").alias("m"))
+    worst = rest.where(F.col("m").isNotNull() & ~F.isnan("m")).agg(F.percentile_approx("m", REJECT_RATE, _ACCURACY)).first()[0]
+    if worst is not None:
+        model.threshold = OF_WORST * worst
+    return model
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """Add ``__lang`` (``lang_pred``, ``score``, ``rejected``) to every row, from its whole text.
 
     A text that is null or has no letter is ``und`` with score 0 and rejected, as is every text where there was
-    nothing to learn from. Others get the likeliest language and its calibrated probability; they are rejected below
-    the model's threshold. All columns of ``docs`` come back.
+    nothing to learn from. Others get the likeliest language and its calibrated probability; they are rejected where its
+    margin is below the model's threshold. All columns of ``docs`` come back.
     """
     ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -161,9 +187,10 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
             if known is None or not any(map(str.isalpha, text)):
                 out.append((UNDETERMINED, 0.0, True))
                 continue
-            p = softmax(logits(text, known) / known.temperature)
+            z = logits(text, known)
+            p = softmax(z / known.temperature)
             best = int(p.argmax())
-            out.append((known.languages[best], float(p[best]), bool(p[best] < known.threshold)))
+            out.append((known.languages[best], float(p[best]), margin(z) < known.threshold))
         return pd.DataFrame(out, columns=["lang_pred", "score", "rejected"])
 
     udf = F.pandas_udf(predict, T.StructType([
