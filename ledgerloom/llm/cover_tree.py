@@ -83,6 +83,7 @@ class Dual:
         self.t = float(np.sqrt(2 - 2 * least))
         self.links = np.zeros(len(x), np.int64)
         self.labels = np.arange(len(x))
+        self._levels: dict[tuple[int, int], Level] = {}
 
     def among(self, rows: np.ndarray) -> None:
         if len(rows):
@@ -117,6 +118,13 @@ class Dual:
             for p, q in zip(i[~single].tolist(), j[~single].tolist(), strict=True):
                 self._pair(a.members(p), a.center[p], a.radius[p], b.members(q), b.center[q], b.radius[q])
 
+    def _opened(self, i: np.ndarray, c: int, r: float) -> Level:
+        """The next level of a node, found once. Nodes of one center are nested, so their size tells them apart."""
+        key = (int(c), len(i))
+        if key not in self._levels:
+            self._levels[key] = net(self.x, i, r / 2)
+        return self._levels[key]
+
     def _lowest(self, radii: np.ndarray) -> np.ndarray:
         """Cosine of centers below which nodes of these radii are too far apart."""
         return (1 - np.minimum(self.t + radii, 2.0) ** 2 / 2 - _SINGLE).astype(np.float32)
@@ -156,10 +164,10 @@ class Dual:
             elif len(i) * len(j) <= OUTRIGHT or ri + rj == 0:
                 self._outright(i, j)
             elif ri >= rj:
-                level = net(self.x, i, ri / 2)
+                level = self._opened(i, ci, ri)
                 todo += [(level.members(k), level.center[k], level.radius[k], j, cj, rj) for k in range(len(level.center))]
             else:
-                level = net(self.x, j, rj / 2)
+                level = self._opened(j, cj, rj)
                 todo += [(i, ci, ri, level.members(k), level.center[k], level.radius[k]) for k in range(len(level.center))]
 
     def _self(self, i: np.ndarray, ci: int, ri: float) -> None:
@@ -178,7 +186,7 @@ class Dual:
                 a, b = np.nonzero(linked)
                 self.labels = merge(self.labels, i[a], i[b])
             else:
-                level = net(self.x, i, ri / 2)
+                level = self._opened(i, ci, ri)
                 nodes = [(level.members(k), level.center[k], level.radius[k]) for k in range(len(level.center))]
                 todo += nodes
                 for p in range(len(nodes)):

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerloom.llm.common import materialise, ship_code
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.cover_tree import Dual
+from ledgerloom.llm.cover_tree import Dual, net
 
 LEAST_COSINE = 0.9
-#: Cells of the first level of the tree over all vectors, for each number of dimensions, and the vectors (those of
-#: the smallest hashes) that their centers are chosen from. Both bound what the driver sees; any choice gives the
-#: same links.
-CELLS, SAMPLE = 32, 2048
 #: Vectors on either side of a comparison that one task makes.
 CHUNK_ROWS = 4096
+#: Vectors of a cell, those of the smallest hashes, that the centers of its sub-cells are chosen from, and sub-cells at
+#: most. Any choice gives the same links.
+SAMPLE, CELLS = 2048, 256
+#: A cell is split where that leaves less than this share of the rows that its comparisons would read, at most so often.
+WORTH, LEVELS = 0.8, 20
+#: Visitors for each vector at home beyond which a smaller cell is split, too.
+CROWDED = 2
+#: What bounds between cells allow for rounding.
+SLACK = 1e-6
 
 
 def usable(vector: str) -> Column:
@@ -35,73 +40,21 @@ def unit(vectors: pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _centers(sample: list) -> dict[int, np.ndarray]:
-    """By dimension, centers chosen one after another as the vector farthest from those before."""
-    by_size: dict[int, list] = {}
-    for v in sample:
-        by_size.setdefault(len(v), []).append(v)
-    found = {}
-    for size, vectors in by_size.items():
-        x = unit(pa.array(vectors, pa.list_(pa.float64())))
-        chosen, nearest = [0], x @ x[0]
-        while len(chosen) < min(CELLS, len(x)):
-            chosen.append(int(nearest.argmin()))
-            nearest = np.maximum(nearest, x @ x[chosen[-1]])
-        found[size] = x[chosen]
-    return found
-
-
 def _away(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (x @ centers.T), 0))
 
 
-def _by_size(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, pa.RecordBatch]]:
-    sizes = np.diff(batch.column(column).offsets.to_numpy())
-    for size in np.unique(sizes):
-        yield int(size), batch.take(pa.array(np.flatnonzero(sizes == size)))
-
-
-def place(nodes: DataFrame, centers: dict[int, np.ndarray], radii: dict[tuple[int, int], float] | None,
-          least: float) -> DataFrame:
-    """Cell and distance of each vector's nearest center, as ``home``; with ``radii``, also every earlier cell that may
-    hold a vector linked to it: those whose center is no farther than covering radius and threshold."""
-    reach = float(np.sqrt(2 - 2 * least)) + 1e-9
-    names = ["size", "cell", "home", "away", "node", "copies", "vector"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                for size, batch in _by_size(whole.slice(at, 2000), "vector"):
-                    x = unit(batch.column("vector"))
-                    away = _away(x, centers[size]) if size in centers else np.zeros((len(x), 1))
-                    home = away.argmin(1)
-                    row, cell, own = np.arange(len(x)), home, np.ones(len(x), bool)
-                    if radii is not None:
-                        wide = np.array([radii.get((size, c), -9.0) for c in range(away.shape[1])])
-                        r, c = np.nonzero((away <= wide + reach) & (np.arange(away.shape[1]) < home[:, None]))
-                        row, cell = np.r_[row, r], np.r_[cell, c]
-                        own = np.r_[own, np.zeros(len(r), bool)]
-                    some = batch.take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(row), size), pa.int32()), pa.array(cell, pa.int32()), pa.array(own),
-                         pa.array(away[row, cell]), *(some.column(n) for n in names[4:])], names)
-
-    schema = T.StructType([
-        T.StructField("size", T.IntegerType()), T.StructField("cell", T.IntegerType()),
-        T.StructField("home", T.BooleanType()), T.StructField("away", T.DoubleType()), *nodes.schema])
-    return nodes.mapInArrow(run, schema)
-
-
 def chunked(placed: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Deal the rows of each cell into chunks and give each row to the comparisons (``i``, ``k``) it takes part in.
 
     The vectors at home in a cell are its chunks 0 to h - 1, those that visit it the next ones; chunk i of the homes is
-    compared with all chunks from itself on. A cell of any size is thus cut into tasks of two chunks.
+    compared with all chunks from itself on, or, in a closed cell, with those of the visitors. A cell of any size is thus
+    cut into tasks of two chunks.
     """
     sizes = placed.groupBy("size", "cell").agg(
         F.ceil(F.count_if("home") / chunk_rows).cast("int").alias("h"),
         F.ceil(F.count_if(~F.col("home")) / chunk_rows).cast("int").alias("v"))
-    rows = placed.join(F.broadcast(sizes), ["size", "cell"])  # one row a cell, at most CELLS for each dimension
+    rows = placed.join(sizes, ["size", "cell"])
     mix = F.xxhash64("node", F.lit(3))
     chunk = F.when(F.col("home"), F.pmod(mix, F.col("h"))).otherwise(
         F.col("h") + F.pmod(mix, F.greatest("v", F.lit(1)))).cast("int")
@@ -109,13 +62,171 @@ def chunked(placed: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     task = lambda i, k, left: F.struct(i.alias("i"), k.alias("k"), F.lit(left).alias("left"))
     span = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
     c, h, zero = F.col("chunk"), F.col("h"), F.lit(0)
-    as_left = F.when(F.col("home"), F.transform(span(c, h + F.col("v") - 1), lambda k: task(c, k, True)))
-    as_right = F.transform(span(zero, F.when(F.col("home"), c).otherwise(h) - 1), lambda i: task(i, c, False))
+    first = F.when(F.col("closed"), h).otherwise(c)
+    last = F.when(~F.col("home"), h).when(F.col("closed"), zero).otherwise(c)
+    as_left = F.when(F.col("home"), F.transform(span(first, h + F.col("v") - 1), lambda k: task(c, k, True)))
+    as_right = F.transform(span(zero, last - 1), lambda i: task(i, c, False))
     tasks = F.when(F.col("home"), F.concat(as_left, as_right)).otherwise(as_right)
     return rows.select("size", "cell", "node", "copies", "vector", F.explode(tasks).alias("task")).select(
         "size", "cell", "task.*", "node", "copies", "vector")
 
 
+def _net_centers(x: np.ndarray) -> np.ndarray:
+    """Centers of the first net of enough nodes, of radii halved again and again; the fullest ones of it."""
+    radius = float(_away(x, x[:1]).max()) / 2
+    while radius > 1e-3:
+        level = net(x, np.arange(len(x)), radius)
+        if len(level.center) >= min(CELLS // 8, len(x)):
+            return x[level.center[np.argsort(-np.diff(level.start), kind="stable")[:CELLS]]]
+        radius /= 2
+    return x[:CELLS]
+
+
+def _asks(away: np.ndarray, near: np.ndarray, at: np.ndarray, centers: np.ndarray, t: float) -> np.ndarray:
+    """Whether the plane between a row's nearest center and another one is within ``t`` of the row."""
+    return away ** 2 - (at ** 2)[:, None] <= 2 * t * _away(centers, centers)[near] + SLACK
+
+
+def choose_centers(cells: DataFrame, least: float) -> DataFrame:
+    """``centers`` of the sub-cells of each cell, from a bounded sample of its homes.
+
+    None where the rows of the sample would visit so many sub-cells that splitting cannot pay; ``rate`` is how often the
+    cell's comparisons read a row if it is left as it is, null for cells with visitors, which the sample does not show.
+    """
+    t = float(np.sqrt(2 - 2 * least))
+    rank = F.row_number().over(Window.partitionBy("size", "cell").orderBy(F.xxhash64("node", F.lit(11)), "node"))
+    sample = cells.where("home").select("size", "cell", "rate", "vector", rank.alias("rank")).where(F.col("rank") <= SAMPLE)
+
+    def run(table: pa.Table) -> pa.Table:
+        x = unit(pa.concat_arrays(table.column("vector").chunks))
+        chosen = _net_centers(x)
+        away = _away(x, chosen)
+        near, at = away.argmin(1), away.min(1)
+        radius = np.full(len(chosen), -9.0)
+        np.maximum.at(radius, near, at)
+        asks = _asks(away, near, at, chosen, t) & (away <= radius + t) & (np.arange(len(chosen)) < near[:, None])
+        rate = table.column("rate")[0].as_py()
+        pays = rate is None or 1 + asks.sum() / len(x) < WORTH * rate
+        made = pa.table({"size": table.column("size")[:1], "cell": table.column("cell")[:1],
+                         "centers": pa.array([chosen.tolist()], pa.list_(pa.list_(pa.float64())))})
+        return made.slice(0, int(pays))
+
+    return sample.groupBy("size", "cell").applyInArrow(run, "size int, cell string, centers array<array<double>>")
+
+
+def measure(cells: DataFrame, centers: DataFrame, least: float) -> DataFrame:
+    """Add each row's nearest center ``near``, its distance ``at``, and the other centers it has to ask (``asks``, with
+    ``away``): those whose side of the plane between them and the nearest one is within the threshold. Rows at home ask
+    earlier cells only, those at home in closed cells none; visitors ask the nearest one too. A cell is many tasks.
+    """
+    t = float(np.sqrt(2 - 2 * least))
+    rows = cells.withColumn("block", F.pmod(F.xxhash64("node", F.lit(13)), "blocks").cast("int")).drop("blocks")
+    blocks = cells.select("size", "cell", "blocks").distinct()
+    spread = centers.join(blocks, ["size", "cell"]).select(
+        "size", "cell", "centers", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    names = [n for n in rows.columns if n != "block"]
+    made = T.StructType([*(rows.schema[n] for n in names), T.StructField("near", T.IntegerType()), T.StructField(
+        "at", T.FloatType()), T.StructField("asks", T.ArrayType(T.IntegerType())), T.StructField("away", T.ArrayType(T.FloatType()))])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        chosen = np.array(right.column("centers")[0].as_py())
+        vectors = pa.concat_arrays(left.column("vector").chunks) if left.num_rows else pa.array([], pa.list_(pa.float64()))
+        x = unit(vectors) if left.num_rows else np.empty((0, chosen.shape[1]))
+        away, index = _away(x, chosen), np.arange(len(chosen))
+        near = away.argmin(1) if len(x) else np.empty(0, np.int64)
+        at = away[np.arange(len(x)), near]
+        asks = _asks(away, near, at, chosen, t)
+        home, closed = (left.column(n).to_numpy() for n in ("home", "closed"))
+        asks &= ~home[:, None] | ((index < near[:, None]) & ~closed[:, None])
+        row, k = np.nonzero(asks)
+        start = pa.array(np.searchsorted(row, np.arange(len(x) + 1)), pa.int32())
+        out = left.select(names).append_column("near", pa.array(near, pa.int32())).append_column("at", pa.array(at, pa.float32()))
+        out = out.append_column("asks", pa.ListArray.from_arrays(start, pa.array(k, pa.int32())))
+        return out.append_column("away", pa.ListArray.from_arrays(start, pa.array(away[row, k], pa.float32())))
+
+    keys = ["size", "cell", "block"]
+    return rows.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(run, made)
+
+
+def _task_rows(homes: Column, visits: Column, closed: Column, chunk_rows: int) -> Column:
+    """Rows that the comparisons of a cell read, as :func:`chunked` deals them."""
+    h, v = F.ceil(homes / chunk_rows), F.ceil(visits / chunk_rows)
+    return homes * (v + F.when(closed, 0).otherwise(h)) + visits * h
+
+
+def sub_cells(placed: DataFrame, least: float, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Split cells with more than ``chunk_rows`` vectors at home, or with many more visitors than these, level by level, as
+    a cover tree's nodes are.
+
+    A cell's centers are a net of a sample of it; its homes go to the nearest center, and a row visits a sub-cell only if
+    the plane between both centers and the covering radius leave a link open. Where a row is so near that all homes of a
+    sub-cell link to it, or all homes of a sub-cell link to one another (it is then ``closed``), the links are counted from
+    sums and no rows are compared. A cell for which splitting would not pay, as where nothing can be pruned, is left to
+    :func:`chunked`. Every level is written to the shared folder; the driver sees only whether cells are left to split.
+
+    ``placed`` has the columns ``size`` (dimensions), ``cell``, ``home``, ``closed``, ``node``, ``copies``, ``vector``.
+    Returns its rows in the last cells, and rows (``node``, ``links``, ``root``) of the links counted on the way.
+    """
+    key, t = ["size", "cell"], float(np.sqrt(2 - 2 * least))
+    columns = ["size", "cell", "home", "closed", "node", "copies", "vector"]
+    fit: list[DataFrame] = []
+    found = [placed.where("false").select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("root"))]
+    for _ in range(LEVELS):
+        homes, visits = F.count_if("home"), F.count_if(~F.col("home"))
+        sizes = placed.groupBy(*key).agg(homes.alias("homes"), visits.alias("visits"), F.first("closed").alias("shut"))
+        many = (F.col("homes") > chunk_rows) | ((F.col("homes") > 1) & (F.col("visits") > CROWDED * F.col("homes")))
+        plain = _task_rows(F.col("homes"), F.col("visits"), F.col("shut"), chunk_rows)
+        big = materialise(sizes.where(many & ~(F.col("shut") & (F.col("visits") == 0))).select(
+            *key, F.ceil((F.col("homes") + F.col("visits")) / chunk_rows).cast("int").alias("blocks"),
+            plain.alias("plain"), F.when(
+                F.col("visits") == 0, plain / F.col("homes")).alias("rate")), "cells-big")
+        if big.isEmpty():
+            break
+        centers = materialise(choose_centers(placed.join(big.select(*key, "rate"), key), least), "cell-centers")
+        if centers.isEmpty():
+            break
+        wide = placed.join(big.select(*key, "blocks").join(centers.select(*key), key), key).select(*columns, "blocks")
+        rows = materialise(measure(wide, centers, least), "cell-distances")
+        subs = rows.where("home").groupBy(*key, "near").agg(
+            F.max("at").cast("double").alias("r"), F.sum("copies").alias("weight"), F.min("node").alias("rep"))
+        subs = subs.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct(
+            "near", F.struct("r", "weight", "rep")))).alias("subs"))  # CELLS entries at most
+        bounds = subs.select(*key, F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("subs"))),
+                                               lambda k: F.col("subs")[k]).alias("subs"))
+        made = rows.join(bounds, key)
+        sub = lambda k: F.get("subs", k)
+        entry = lambda k, home, whole: F.struct(k.alias("k"), home.alias("home"), whole.alias("whole"))
+        near = F.when(F.col("home"), F.array(entry(F.col("near"), F.lit(True), F.lit(False))))
+        asked = F.transform(F.arrays_zip("asks", "away"), lambda a: entry(
+            a["asks"], F.lit(False), F.when(sub(a["asks"]).isNull() | (a["away"] > sub(a["asks"])["r"] + t + SLACK), None)
+            .otherwise(a["away"] + sub(a["asks"])["r"] <= t - SLACK)))
+        to = F.concat(F.coalesce(near, F.array().cast("array<struct<k:int,home:boolean,whole:boolean>>")),
+                      F.filter(asked, lambda a: a["whole"].isNotNull()))
+        made = made.withColumn("to", F.explode(to)).withColumn("sub", sub(F.col("to.k")))
+        ball = 2 * F.col("sub.r") <= t - SLACK
+        shut = F.col("closed") | ball
+
+        counts = made.groupBy(*key, "to.k").agg(
+            F.count_if("to.home").alias("homes"), F.count_if(~F.col("to.home") & ~F.col("to.whole")).alias("visits"),
+            F.first(shut).alias("shut"))
+        cost = counts.groupBy(*key).agg(
+            F.sum(_task_rows(F.col("homes"), F.col("visits"), F.col("shut"), chunk_rows)).alias("split"))
+        worth = materialise(cost.join(big, key).where(F.col("split") < WORTH * F.col("plain")).select(*key), "cells-split")
+        fit.append(placed.join(worth, key, "left_anti"))
+        children = materialise(made.join(worth, key, "left_semi").select(
+            "size", F.concat_ws("/", "cell", F.col("to.k").cast("string")).alias("cell"), F.col("to.home").alias("home"),
+            shut.alias("closed"), *columns[4:], F.col("to.whole").alias("whole"), (ball & ~F.col("closed")).alias("new"),
+            F.col("sub.weight").alias("weight"), F.col("sub.rep").alias("rep")), "cells")
+        around = children.where("whole").groupBy(*key).agg(F.sum("copies").alias("around"))
+        at_home = children.where("home").join(around, key, "left").select("node", (
+            F.coalesce("around", F.lit(0)) + F.when(F.col("new"), F.col("weight") - F.col("copies")).otherwise(0)
+        ).alias("links"), F.col("rep").alias("root"))
+        found += [at_home.where("links > 0"),
+                  children.where("whole").select("node", F.col("weight").alias("links"), F.col("rep").alias("root"))]
+        placed = children.where("NOT whole").select(*columns)
+    return reduce(DataFrame.unionByName, [*fit, placed]), reduce(DataFrame.unionByName, found)
+
+
 def compare(tasks: DataFrame, least: float) -> DataFrame:
     """Rows (``node``, ``links``, ``root``) of each comparison: at most one for each vector in it."""
     made = pa.schema([("node", pa.string()), ("links", pa.int64()), ("root", pa.string())])
@@ -137,12 +248,12 @@ def compare(tasks: DataFrame, least: float) -> DataFrame:
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    least: float = LEAST_COSINE) -> DataFrame:
+                    least: float = LEAST_COSINE, chunk_rows: int | None = None) -> DataFrame:
     """Links and component of every row, over all pairs with a cosine of at least ``least`` in double precision.
 
-    Equal vectors are one node with their number as weight, however many there are. Only centers, covering radii and
-    sizes of at most ``CELLS`` cells for each dimension come to the driver. A comparison returns counts and a spanning
-    forest, never pairs.
+    Equal vectors are one node with their number as weight, however many there are. A comparison of two chunks of at most
+    about ``chunk_rows`` (by default ``CHUNK_ROWS``) vectors returns counts and a spanning forest, never pairs. No vector,
+    center or link comes to the driver.
 
     A vector that is null, empty, zero or has null or non-finite components links with nothing. Vectors of different
     dimensions do not link. Rows that repeat an id count as vectors each; null ids lose to others. An empty table gives
@@ -157,12 +268,11 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     named = named.withColumn("node", node)
     nodes = materialise(named.where("ok").groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min("id").alias("first"), F.first("vector").alias("vector")), "vectors")
-    inner = nodes.select("node", "copies", "vector")
-    sample = [r["vector"] for r in inner.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").collect()]
-    centers = _centers(sample)
-    radii = {(r["size"], r["cell"]): r["r"] for r in place(inner, centers, None, least).groupBy("size", "cell").agg(
-        F.max("away").alias("r")).collect()}
-    found = materialise(compare(chunked(place(inner, centers, radii, least)), least), "vector-links")
+    root = nodes.select(F.size("vector").alias("size"), F.lit("").alias("cell"), F.lit(True).alias("home"),
+                        F.lit(False).alias("closed"), "node", "copies", "vector")
+    sized = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
+    cells, counted = sub_cells(root, least, **sized)
+    found = materialise(compare(chunked(cells, **sized), least).unionByName(counted), "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(found.select("node", "root")).withColumnRenamed("node", "member")
     placed = nodes.select("node", "copies", "first").join(links, "node", "left").join(

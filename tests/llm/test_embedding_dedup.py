@@ -84,3 +84,37 @@ def test_rows_of_every_kind(spark):
         (None, 0, None, True)]
     assert got == sorted(want, key=repr)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def families(n, members, spread, d=16, seed=3):
+    """Clusters of given spread around far centers."""
+    rng = np.random.default_rng(seed)
+    centers = rng.standard_normal((n, d))
+    centers /= np.sqrt((centers * centers).sum(1, keepdims=True))
+    return (centers[:, None] + spread * rng.standard_normal((n, members, d)) / np.sqrt(d)).reshape(-1, d)
+
+
+def test_sub_cells_give_the_links_of_brute_force(spark):
+    x = np.concatenate([families(60, 30, 0.03), families(20, 40, 0.3, seed=4), clouds(40, 16)])
+    x = np.concatenate([x, x[:30]])
+    ids = np.random.default_rng(2).permutation(len(x))
+    want, labels = brute(x)
+    rows = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(rows, chunk_rows=40).collect()}
+    least = {label: ids[labels == label].min() for label in np.unique(labels)}
+    for i, n, label in zip(ids, want, labels, strict=True):
+        assert got[i].n_links == n and got[i].component_id == least[label]
+
+
+@pytest.mark.parametrize("spread", [0.03, 0.25])
+def test_task_rows_do_not_grow_with_clustered_vectors(spark, spread):
+    """Four times as many clusters, and as many rows of comparisons for each vector."""
+    made = []
+    for n in (150, 600):
+        x = families(n, 20, spread)
+        root = spark.createDataFrame([(16, "", True, False, f"{k:06d}", 1, v.tolist()) for k, v in enumerate(x)],
+                                     "size int, cell string, home boolean, closed boolean, node string, copies bigint, vector array<double>")
+        cells, _ = embedding_dedup.sub_cells(root, 0.9, 60)
+        made.append(embedding_dedup.chunked(cells, 60).count() / len(x))
+    print(made)
+    assert made[1] < 1.5 * made[0]
