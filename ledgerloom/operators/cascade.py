@@ -9,6 +9,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators.joins import attach
+from ledgerloom.session import scratch_dir
 
 #: (child table, its columns, parent table, its columns)
 Edge = tuple[str, tuple[str, ...], str, tuple[str, ...]]
@@ -29,21 +30,29 @@ def _pointing(rows: DataFrame, gone: Mapping[str, DataFrame], edges: list[Edge],
     for n, (_, columns, parent, keys) in enumerate(edges):
         if parent not in gone:
             continue
-        # one row a removed key; a hot tenant or batch is salted
+        # one row a removed key, as many as a table has rows: never replicated. Few keys, as of hot tenants and batches,
+        # are broadcast, and of many a hot one is split at run time
         marked = attach(marked, gone[parent].select(*keys).distinct(), dict(zip(columns, keys, strict=True)),
-                        {f"_gone{n}": keys[0]}, spread_by=hashable, hot_keys=True)
+                        {f"_gone{n}": keys[0]}, spread_by=hashable)
         hits.append(F.col(f"_gone{n}").isNotNull())
     hit = reduce(lambda a, b: a | b, hits, F.lit(False))
     return marked.select(*rows.columns, hit.alias(mark))
 
 
+def _stored(keys: DataFrame, table: str) -> DataFrame:
+    """Removed keys, written once: every child that points at them reads them, and plans stay one level deep."""
+    path = f"{scratch_dir(keys.sparkSession, 'gone')}/{table}"
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
 def cascade_tables(tables: Mapping[str, DataFrame], removed: Mapping[str, DataFrame], cascades: Iterable[Edge],
                    restricts: Iterable[Edge] = ()) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """Remove rows and all that hangs on them: survivors of every table that loses any, and what stands in the way.
 
     ``removed`` gives the keys (by the columns that edges use) of the rows to remove, by table. Tables are walked with
-    parents first; the frontier of a level is the removed rows' keys alone, so only key columns are read until the
-    survivors are. The second result has a row per edge of ``restricts`` (``relation``, ``rows``): rows that would stay
+    parents first; the frontier of a level is the removed rows' keys alone, which are stored, so only key columns are
+    read until the survivors are. The second result has a row per edge of ``restricts`` (``relation``, ``rows``): rows that would stay
     and point at a row that goes. A caller who wants the database's rule deletes nothing while one of them is not zero.
     """
     cascades, restricts = list(cascades), list(restricts)
@@ -62,7 +71,7 @@ def cascade_tables(tables: Mapping[str, DataFrame], removed: Mapping[str, DataFr
         used = sorted({k for e in [*cascades, *restricts] if e[2] == table for k in e[3]})
         if used:
             keyed = tables[table].select(*dict.fromkeys([*used, *[c for e in edges for c in e[1]], *(roots.columns if own else ())]))
-            gone[table] = _pointing(keyed, marks, [*edges, *own], "_goes").filter("_goes").select(*used)
+            gone[table] = _stored(_pointing(keyed, marks, [*edges, *own], "_goes").filter("_goes").select(*used).distinct(), table)
     parts = []
     for child, columns, parent, keys in restricts:
         if parent in gone and child in tables:

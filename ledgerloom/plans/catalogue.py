@@ -329,6 +329,7 @@ def cascade_delete_batches(ledger: Ledger) -> DataFrame:
 @query
 def cascade_delete_tenants(ledger: Ledger) -> DataFrame:
     """What is left of every table when a tenant, old batches and failed runs are removed, and what the rest holds back."""
+    ledger.keep("statement_rows", "normalised_rows", "new_lines", "upload_batches")
     tables = {**{n: getattr(ledger, n) for n in ("tenants", "connections", "client_metadata", "upload_batches", "statement_lines",
                                                  "sync_runs", "sync_run_steps", "sync_checkpoints")},
               "uploaded_rows": ledger.statement_rows}
@@ -531,6 +532,7 @@ def statement_dedup(ledger: Ledger) -> DataFrame:
 @query
 def statement_batch_summary(ledger: Ledger) -> DataFrame:
     """Outcome per batch; ``inserted`` leaves out the duplicates that ``processed`` counts."""
+    ledger.keep("normalised_rows")
     rows = ledger.normalised_rows
     done = F.col("created_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1), F.lit(30).cast("decimal(18,6)"))
     return statements.batch_summary(rows, ledger.batch_headers, done, ledger.new_lines)

@@ -13,6 +13,7 @@ from ledgerloom.functions.dates import date_literal, format_wire_date, ts_litera
 from ledgerloom.functions.text import slugify
 from ledgerloom.operators import reports, star, statements
 from ledgerloom.operators.merge import apply_line_edits, pick_winner
+from ledgerloom.session import scratch_dir
 from ledgerloom.sources import uploads
 from ledgerloom.sources.lookups import business_types
 
@@ -60,6 +61,16 @@ class Ledger:
             self._scans[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._scans[name]
 
+    def keep(self, *names: str) -> None:
+        """Write tables that a query reads more than once; all that is bound later reads them from there.
+
+        To be called before anything derived from them is bound, in order of dependency.
+        """
+        for name in names:
+            rows, path = getattr(self, name), f"{scratch_dir(self.spark, 'kept')}/{name}"
+            rows.write.parquet(path)
+            self.__dict__[name] = self.spark.read.schema(rows.schema).parquet(path)
+
     # ── organisations ────────────────────────────────────────────────────────
     @cached_property
     def tenants(self) -> DataFrame:
