@@ -92,9 +92,11 @@ def _opened(df: DataFrame, entity: str) -> DataFrame:
     """Add ``p``, the typed record, and ``reason``, why it cannot be stored; null for a good one.
 
     A value that does not fit its type, such as an amount of too many digits, spoils the record: it is never stored
-    as null.
+    as null. The record is made behind a one-element explode: a filter on ``reason`` would otherwise be pushed below it
+    and parse every text, and make the text itself, several times over. Filters stop at a generator.
     """
-    typed = df.withColumn("p", F.from_json("raw", f"{WIRE[entity]}, {_BAD} string", {"columnNameOfCorruptRecord": _BAD}))
+    record = F.from_json("raw", f"{WIRE[entity]}, {_BAD} string", {"columnNameOfCorruptRecord": _BAD})
+    typed = df.withColumn("_row", F.explode(F.array(F.struct(record.alias("p"))))).withColumn("p", F.col("_row.p")).drop("_row")
     key = F.coalesce(F.col(f"p.{KEY_FIELD[entity]}"), F.lit(""))
     spoilt = F.col(f"p.{_BAD}").isNotNull()
     readable = F.coalesce(F.try_variant_get(F.try_parse_json("raw"), "$", "map<string,variant>").isNotNull(), F.lit(False))
@@ -118,9 +120,11 @@ def _good(df: DataFrame) -> DataFrame:
 
 def _line_records(payloads: DataFrame) -> DataFrame:
     """One opened row per line of the good invoices."""
-    lines = _good(_parsed(payloads, "invoices")).select(
+    invoices = _good(_parsed(payloads, "invoices")).select(
         "connection_id", "tenant_id", F.col("p.InvoiceID").alias("source_invoice_id"),
-        _updated().alias("source_updated_at"), F.explode("p.LineItems").alias("raw"))
+        _updated().alias("source_updated_at"), F.col("p.LineItems").alias("_lines"))
+    # the time is read once an invoice, below the explode
+    lines = invoices.select("connection_id", "tenant_id", "source_invoice_id", "source_updated_at", F.explode("_lines").alias("raw"))
     return _opened(lines, "invoice_lines")
 
 
