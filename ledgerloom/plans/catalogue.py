@@ -744,8 +744,23 @@ def quality_orphans(ledger: Ledger) -> DataFrame:
 
 @query
 def quality_foreign_keys(ledger: Ledger) -> DataFrame:
-    """Every documented foreign key of the raw tables, the warehouse and the uploads."""
+    """Every documented foreign key of the raw tables, the warehouse and the uploads.
+
+    The key columns of a table that joins or ranks rows are made once and stored for all relations that name it.
+    """
+    ledger.keep("normalised_rows")
+    work = scratch_dir(ledger.spark, "keys")
+    ends = [end for child, fk, parent, pk in FOREIGN_KEYS for end in ((child, fk), (parent, pk))]
+    stored: dict[str, DataFrame] = {}
+    for name in ("raw_invoice_lines", "fact_invoice", "fact_invoice_line", "fact_payment", "fact_bank_transaction",
+                 "upload_batches", "statement_lines"):
+        keys = getattr(ledger, name).select(*dict.fromkeys(column for table, column in ends if table == name))
+        keys.write.parquet(f"{work}/{name}")
+        stored[name] = ledger.spark.read.schema(keys.schema).parquet(f"{work}/{name}")
+
     def table(name: str) -> DataFrame:
+        if name in stored:
+            return stored[name]
         return _snapshots(ledger, "id") if name == "report_snapshots" else getattr(ledger, name)
 
     return quality.orphans({f"{child}.{fk}": (table(child), fk, table(parent), pk) for child, fk, parent, pk in FOREIGN_KEYS})
