@@ -63,6 +63,38 @@ def _same(left: str, right: str) -> Column:
     return condition
 
 
+def _signed_items(rows: DataFrame, changes: DataFrame, load_id: int, rule) -> DataFrame:
+    """Open items of the changed keys as they were before a load (``sign`` -1) and after it (1), in one pass.
+
+    The states are those of :func:`read_current` with the loads before this one and with this one, too.
+    """
+    keys, read = list(rule.keys), dict.fromkeys([*rule.keys, "tenant_id", "type", "status", "due_date", "amount_due"])
+    first = [c for c in read if c in rule.insert_only]
+    latest = [c for c in read if c not in keys and c not in first]
+    wanted = changes.filter(F.col("batch_id") == load_id).select(*keys).distinct()
+    rows, changes = (df.select(*read, *more).join(wanted, keys, "left_semi") for df, more in ((rows, ()), (changes, ("batch_id",))))
+    earlier = F.when(F.col("batch_id") < load_id, F.col("batch_id"))
+    folded = changes.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.max_by(F.struct(*latest), earlier).alias("_before"), F.max_by(F.struct(*latest), "batch_id").alias("_after"),
+        *([F.min_by(F.struct(*first), "batch_id").alias("_first")] if first else []))
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_k_{k}"))
+    joined = folded.join(rows.withColumn("_held", F.lit(True)), same, "left")
+
+    def state(sign: int, change: str, there: Column) -> Column:
+        held, changed = F.col("_held").isNotNull(), F.col(change).isNotNull()
+        value = {k: F.col(f"_k_{k}") for k in keys}
+        value |= {c: F.when(held, F.col(c)).otherwise(F.col(f"_first.{c}")) for c in first}
+        value |= {c: F.when(changed, F.col(f"{change}.{c}")).otherwise(F.col(c)) for c in latest}
+        return F.struct(F.lit(sign).alias("sign"), there.alias("there"), *[value[c].alias(c) for c in read])
+
+    states = F.array(state(-1, "_before", F.col("_held").isNotNull() | F.col("_before").isNotNull()),
+                     state(1, "_after", F.lit(True)))
+    both = joined.select(F.explode(states).alias("_s")).select("_s.*").filter("there")
+    return _counting(both).select(*GROUP, "amount_due", "sign")
+
+
 def fold_load(spark: SparkSession, base: str, log: str, load_id: int, store: str) -> None:
     """Bring the totals from before a logged load to after it; running it again writes the same rows.
 
@@ -71,10 +103,7 @@ def fold_load(spark: SparkSession, base: str, log: str, load_id: int, store: str
     """
     rule = MERGE_RULES[_TABLE]
     rows, changes = _stored(spark, base, log, _TABLE, load_id + 1)
-    keys = changes.filter(F.col("batch_id") == load_id).select(*rule.keys).distinct()
-    old = _open_items(read_current(spark, base, log, _TABLE, before=load_id, wanted=keys))
-    new = _open_items(read_current(spark, base, log, _TABLE, before=load_id + 1, wanted=keys))
-    signed = old.withColumn("sign", F.lit(-1)).unionByName(new.withColumn("sign", F.lit(1)))
+    signed = _signed_items(rows, changes, load_id, rule)
     came, went = F.col("sign") == 1, F.col("sign") == -1
     delta = signed.groupBy(*GROUP).agg(
         F.sum("sign").alias("dn"), F.sum(F.when(F.col("amount_due").isNotNull(), F.col("sign")).otherwise(0)).alias("dpriced"),
@@ -87,6 +116,7 @@ def fold_load(spark: SparkSession, base: str, log: str, load_id: int, store: str
         (F.coalesce("h.priced", F.lit(0)) + F.col("d.dpriced")).alias("priced"),
         (F.coalesce("h.due_sum", F.lit(0)) + F.coalesce("d.ddue", F.lit(0))).cast("decimal(38,2)").alias("due_sum"),
         F.greatest("h.largest", "d.came").alias("largest"), F.coalesce(lost, F.lit(False)).alias("lost")).persist()
+    bearers = None
     try:
         at = joined.filter("lost AND n > 0").select("tenant_id", "due").distinct()
         totals = joined
@@ -94,8 +124,10 @@ def fold_load(spark: SparkSession, base: str, log: str, load_id: int, store: str
             # whichever version of an invoice, in base or log, has such a group: their current rows decide
             versions = [_counting(df.select(*rows.columns)).join(at, ["tenant_id", "due"], "left_semi").select(*rule.keys)
                         for df in (rows, changes)]
-            again = read_current(spark, base, log, _TABLE, before=load_id + 1,
-                                 wanted=versions[0].unionByName(versions[1]).distinct())
+            # base and log are both cut by them
+            bearers = versions[0].unionByName(versions[1]).distinct().persist()
+            again = read_current(spark, base, log, _TABLE, before=load_id + 1, wanted=bearers,
+                                 columns=("tenant_id", "type", "status", "due_date", "amount_due"))
             found = _open_items(again).groupBy(*GROUP).agg(F.max("amount_due").alias("found"))
             totals = joined.alias("j").join(found.alias("l"), _same("j", "l"), "left").select(
                 *[F.col(f"j.{c}").alias(c) for c in GROUP], "n", "priced", "due_sum",
@@ -103,6 +135,8 @@ def fold_load(spark: SparkSession, base: str, log: str, load_id: int, store: str
         change_log.write_batch(totals.select(*GROUP, "n", "priced", "due_sum", "largest"), store, load_id)
     finally:
         joined.unpersist()
+        if bearers is not None:
+            bearers.unpersist()
 
 
 def ageing_summary(totals: DataFrame, tenants: DataFrame, as_of: dt.date, tenant_id: str | None = None,

@@ -149,16 +149,26 @@ def _stored(spark: SparkSession, base: str, log: str, table: str, before: int |
 
 
 def read_current(spark: SparkSession, base: str, log: str, table: str, before: int | None = None,
-                 wanted: DataFrame | None = None) -> DataFrame:
-    """A table with its change log merged in; optionally only the loads ``before`` an id, and only the keys ``wanted``.
+                 wanted: DataFrame | None = None, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """A table with its change log merged in; optionally only the loads ``before`` an id, the keys ``wanted``, some columns.
 
-    Nothing is written. The keys cut base and log before the merge.
+    Nothing is written. The keys cut base and log before the merge, and so do ``columns``, to which keys are added: the
+    merge moves changes whole.
     """
     rows, changes = _stored(spark, base, log, table, before)
     rule = MERGE_RULES[table]
+    if columns is not None:
+        columns = tuple(dict.fromkeys([*rule.keys, *columns]))
+        rows, changes = rows.select(*columns), changes.select(*columns, "batch_id")
+        return _merged(rows, changes, rule.keys, tuple(c for c in rule.insert_only if c in columns), wanted)
+    return _merged(rows, changes, rule.keys, rule.insert_only, wanted)
+
+
+def _merged(rows: DataFrame, changes: DataFrame, keys: tuple[str, ...], insert_only: tuple[str, ...],
+            wanted: DataFrame | None) -> DataFrame:
     if wanted is not None:
-        rows, changes = (df.join(wanted.select(*rule.keys), list(rule.keys), "left_semi") for df in (rows, changes))
-    return change_log.current_state(rows, changes, rule.keys, rule.insert_only)
+        rows, changes = (df.join(wanted.select(*keys), list(keys), "left_semi") for df in (rows, changes))
+    return change_log.current_state(rows, changes, keys, insert_only)
 
 
 def _write(rows: DataFrame, path: str, sort_by: tuple[str, ...], counts: dict[str, int] | None = None) -> str:
