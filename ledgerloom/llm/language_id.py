@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerloom.llm.common import ship_code, text_of
@@ -139,16 +139,17 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
     if chosen is None:
         return None
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for start in range(0, len(frame), 100):
-                some = frame.iloc[start:start + 100]
-                made = [features(t) for t in some["text"]]
-                yield pd.DataFrame({"h": some["h"].to_numpy(), "lang": some["lang"].to_numpy(),
-                                    "index": [i.astype("<u2").tobytes() for i, _ in made],
-                                    "share": [s.astype("<f4").tobytes() for _, s in made]})
-
-    rows = sample.where(F.col("h") <= chosen).mapInPandas(
+    # Arrow's columns, of which one text at a time is made a string: pandas would hold all of a batch twice
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, len(batch), 100):
+                some = batch.slice(start, 100)
+                made = [features(t.as_py()) for t in some.column(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), some.column(1), pa.array([i.astype("<u2").tobytes() for i, _ in made], pa.binary()),
+                     pa.array([s.astype("<f4").tobytes() for _, s in made], pa.binary())], ["h", "lang", "index", "share"])
+
+    rows = sample.where(F.col("h") <= chosen).mapInArrow(
         run, "h bigint, lang string, index binary, share binary").orderBy("h", "lang", "index").limit(
         train_rows).collect()
     model = fit([(np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["share"], "<f4")) for r in rows],
@@ -157,13 +158,13 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
         return model
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def right_margins(langs: pd.Series, texts: pd.Series) -> pd.Series:
+    def right_margins(langs: pa.Array, texts: pa.Array) -> pa.Array:
         known = shared.value
-        found = [logits(t, known) if any(map(str.isalpha, t)) else None for t in texts]
-        return pd.Series([margin(z) if z is not None and known.languages[z.argmax()] == y else None
-                          for z, y in zip(found, langs, strict=True)], dtype="float64")
+        found = (logits(t, known) if any(map(str.isalpha, t)) else None for t in (x.as_py() for x in texts))
+        return pa.array([margin(z) if z is not None and known.languages[z.argmax()] == y.as_py() else None
+                         for z, y in zip(found, langs, strict=True)], pa.float64())
 
-    rest = sample.where(F.col("h") > chosen).select(F.pandas_udf(right_margins, "double")("lang", "text").alias("m"))
+    rest = sample.where(F.col("h") > chosen).select(F.arrow_udf(right_margins, "double")("lang", "text").alias("m"))
     worst = rest.where(F.col("m").isNotNull() & ~F.isnan("m")).agg(F.percentile_approx("m", REJECT_RATE, _ACCURACY)).first()[0]
     if worst is not None:
         model.threshold = OF_WORST * worst
@@ -180,10 +181,10 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
     ship_code(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(texts: pd.Series) -> pd.DataFrame:
+    def predict(texts: pa.Array) -> pa.Array:
         known = shared.value
         out = []
-        for text in texts:
+        for text in (x.as_py() for x in texts):
             if known is None or not any(map(str.isalpha, text)):
                 out.append((UNDETERMINED, 0.0, True))
                 continue
@@ -191,9 +192,12 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
             p = softmax(z / known.temperature)
             best = int(p.argmax())
             out.append((known.languages[best], float(p[best]), margin(z) < known.threshold))
-        return pd.DataFrame(out, columns=["lang_pred", "score", "rejected"])
+        langs, scores, rejected = zip(*out) if out else ((), (), ())
+        return pa.StructArray.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
+            ["lang_pred", "score", "rejected"])
 
-    udf = F.pandas_udf(predict, T.StructType([
+    udf = F.arrow_udf(predict, T.StructType([
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("rejected", T.BooleanType())]))
     return docs.withColumn("__lang", udf(text_of(text_col)))

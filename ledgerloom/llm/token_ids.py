@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -42,13 +43,29 @@ class Encoder:
     def __init__(self, content: str):
         spec = json.loads(content)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.whole = Tokenizer.from_str(content)
-        self.whole.no_truncation()
-        self.whole.no_padding()
-        self.content, self.plain = content, None
+        self.size = len({*spec["model"]["vocab"], *self.special})
+        self.content = content
         self.fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN,
                                       mergeable_ranks=token_bytes(spec), special_tokens={})
 
+    def _library(self) -> Tokenizer:
+        made = Tokenizer.from_str(self.content)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
+    # few texts need either: a worker that meets none keeps one vocabulary in memory, not three
+
+    @cached_property
+    def whole(self) -> Tokenizer:
+        return self._library()
+
+    @cached_property
+    def plain(self) -> Tokenizer:
+        made = self._library()
+        made.encode_special_tokens = True
+        return made
+
     def ids(self, text: str) -> np.ndarray:
         """Ids of a whole text; strings of special tokens in it become those tokens."""
         if any(s in text for s in self.special):
@@ -63,11 +80,6 @@ class Encoder:
             except BaseException as failure:  # a panic of the native code is no Exception
                 if type(failure).__name__ != "PanicException":
                     raise
-        if self.plain is None:  # few texts need it
-            self.plain = Tokenizer.from_str(self.content)
-            self.plain.no_truncation()
-            self.plain.no_padding()
-            self.plain.encode_special_tokens = True
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
 
 

@@ -68,3 +68,13 @@ def test_documents_of_white_space_alone_are_stored(spark):
     docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "\n" * 1_000_000), (3, "a b")], "doc_id bigint, text string")
     rows = {r.doc_id: r.n_tokens for r in wavelet.store_and_read(docs).collect()}
     assert rows[1] == 1_000_001 and rows[2] > 1000 and rows[3] == 3
+
+
+def test_library_vocabulary_is_opened_only_where_needed():
+    from ledgerloom.llm import token_ids
+
+    with open(token_ids.VOCABULARY, encoding="utf-8") as f:
+        encoder = token_ids.Encoder(f.read())
+    encoder.ids("plain words")
+    assert not {"whole", "plain"} & vars(encoder).keys()
+    assert encoder.size == encoder.whole.get_vocab_size(with_added_tokens=True)
