@@ -8,6 +8,7 @@ import uuid
 from array import array
 from collections.abc import Iterator
 from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
@@ -66,7 +67,7 @@ class Aligner:
         found: list[tuple[np.ndarray, np.ndarray] | None] = []
         for text, pieces in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
             whole = b" " + text.encode("utf-8", "surrogatepass")
-            if not text or b"".join([self.bytes_b[i] for i in pieces]) != whole:
+            if not text or b"".join(_of(self.bytes_b, pieces)) != whole:
                 found.append(None)
                 continue
             a = self.a.plain_ids(" " + text).astype(np.int64)
@@ -74,8 +75,26 @@ class Aligner:
             found.append((a, np.array(pieces, np.int64)) if self.size_a[a].sum() == len(whole) else None)
         return found
 
+    def windows_of(self, texts: list[tuple[np.ndarray, np.ndarray] | None]) -> list[list[int]]:
+        """Numbers of the windows of each text, in order; none of a text without tokens.
+
+        Every text begins with a space in both sequences, so texts one after another are cut like one long text, and
+        no window reaches from one into the next.
+        """
+        spelt = [t for t in texts if t is not None]
+        if not spelt:
+            return [[] for _ in texts]
+        numbers, starts = self._cut(*(np.concatenate(x) for x in zip(*spelt, strict=True)))
+        ends = np.searchsorted(starts, np.cumsum([len(a) for a, _ in spelt])).tolist()
+        parts = iter([numbers[i:j] for i, j in zip([0, *ends], ends)])
+        return [[] if t is None else next(parts) for t in texts]
+
     def windows(self, a: np.ndarray, b: np.ndarray) -> list[int]:
-        """Numbers of a text's windows, in order.
+        """Numbers of a text's windows, in order."""
+        return self._cut(a, b)[0]
+
+    def _cut(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """Numbers of the windows of a text, or of texts one after another, in order, and where in A's ids each starts.
 
         An anchor is a byte where a token of A and one of B begin that both start with a space: the tokens before them
         end there together. Anchors cut both id sequences into windows, most of them one word long.
@@ -84,24 +103,27 @@ class Aligner:
         at_a, at_b = np.flatnonzero(self.marked_a[a]), np.flatnonzero(self.marked_b[b])
         # the first token of either begins with the space before the text, so the first anchor is at byte 0
         _, in_a, in_b = np.intersect1d(start_a[at_a], start_b[at_b], assume_unique=True, return_indices=True)
-        cut_a, cut_b = np.r_[at_a[in_a], len(a)] * 4, np.r_[at_b[in_b], len(b)] * 4
-        ids_a, ids_b, known = a.astype("<u4").tobytes(), (b + _B_MARK).astype("<u4").tobytes(), self.seen.get
-        cut_a, cut_b = cut_a.tolist(), cut_b.tolist()
-        found = [known(ids_a[i:j] + ids_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+        cut_a, cut_b = np.r_[at_a[in_a], len(a)], np.r_[at_b[in_b], len(b)]
+        # a window's ids of A and then of B stand together, so a window is one slice
+        packed = np.empty(len(a) + len(b), "<u4")
+        packed[np.arange(len(a)) + np.repeat(cut_b[:-1], np.diff(cut_a))] = a
+        packed[np.arange(len(b)) + np.repeat(cut_a[1:], np.diff(cut_b))] = b + _B_MARK
+        raw, cuts = packed.tobytes(), ((cut_a + cut_b) * 4).tolist()
+        keys = [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+        found = list(map(self.seen.get, keys))
         if None in found:
-            new: dict[bytes, tuple[int, int, int, int]] = {}
-            for n, number in enumerate(found):
-                if number is None:
-                    i, j, k, m = cut_a[n], cut_a[n + 1], cut_b[n], cut_b[n + 1]
-                    new.setdefault(ids_a[i:j] + ids_b[k:m], (i, j, k, m))
-            self._remember(a, b, new)
-            found = [known(ids_a[i:j] + ids_b[k:m]) if number is None else number
-                     for number, i, j, k, m in zip(found, cut_a, cut_a[1:], cut_b, cut_b[1:])]
-        return found
+            new = {keys[n]: n for n, number in enumerate(found) if number is None}
+            n = np.array(list(new.values()))
+            self._remember(a, b, list(new), cut_a[n], cut_a[n + 1], cut_b[n], cut_b[n + 1])
+            found = [self.seen[key] if number is None else number for key, number in zip(keys, found)]
+        return found, cut_a[:-1]
 
-    def _remember(self, a: np.ndarray, b: np.ndarray, new: dict[bytes, tuple[int, int, int, int]]) -> None:
-        """Align the new windows of a text, all at once: one after another they read as a text of their own."""
-        i, j, k, m = (np.array(c) >> 2 for c in zip(*new.values(), strict=True))
+    def _remember(self, a: np.ndarray, b: np.ndarray, new: list[bytes], i: np.ndarray, j: np.ndarray, k: np.ndarray,
+                  m: np.ndarray) -> None:
+        """Align the new windows, all at once: one after another they read as a text of their own.
+
+        They are A's ids from ``i`` to before ``j`` and B's from ``k`` to before ``m``.
+        """
         a, b = a[_ranges(i, j)], b[_ranges(k, m)]
         groups, many, links = self.align(a, b, np.cumsum(m - k))
         first = len(self.groups)
@@ -132,6 +154,11 @@ class Aligner:
         return text[:-1].split("\n"), many.astype(np.int64), (a[last_a] << _B_BITS) | b[last_b]
 
 
+def _of(values: list, places: list[int]) -> tuple:
+    """The values at some places, in their order."""
+    return itemgetter(*places)(values) if len(places) > 1 else tuple(values[i] for i in places)
+
+
 def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """All numbers of all ranges, one after another."""
     many = stop - start
@@ -215,14 +242,14 @@ def aligned_blocks(docs: DataFrame, id_col: str, text_col: str, vocabulary: str
         for batch in batches:
             for start, some in _portions(batch.column(1)):
                 ids.append(batch.column(0).slice(start, len(some)))
-                for found in aligner.tokens(some):
-                    numbers = [] if found is None else aligner.windows(*found)
+                tokens = aligner.tokens(some)
+                for found, numbers in zip(tokens, aligner.windows_of(tokens), strict=True):
                     windows += numbers
                     sizes.append(len(numbers))
                     if found is None:
                         marks.append((0, 0, ""))
                     else:
-                        written = ";".join([aligner.groups[n] for n in numbers])
+                        written = ";".join(_of(aligner.groups, numbers))
                         marks.append((len(found[0]), len(found[1]), hashlib.sha256(written.encode()).hexdigest()))
                         held += len(found[0])
                 if held >= BLOCK_TOKENS or len(marks) >= BLOCK_TOKENS:

@@ -22,6 +22,10 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 _OPENED: dict[int, "Encoder"] = {}
 #: Runs of white space of this length and more are left to ``tokenizers``.
 _LONG_BLANK = re.compile(r"\s{10000}")
+#: The vocabulary's way to split a text, and one with the same splits that ``tiktoken`` goes through faster: what cannot
+#: match otherwise is not tried again, letters come first, and a blank before a word is the last alternative alone.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_SAME_SPLIT = r" ?\p{L}++|'(?:[stmd]|re|ve|ll)| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
 def byte_letters() -> list[str]:
@@ -45,8 +49,8 @@ class Encoder:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.size = len({*spec["model"]["vocab"], *self.special})
         self.content = content
-        self.fast = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN,
-                                      mergeable_ranks=token_bytes(spec), special_tokens={})
+        pattern = _SAME_SPLIT if public_tokenizers.PATTERN == _SPLIT else public_tokenizers.PATTERN
+        self.fast = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=token_bytes(spec), special_tokens={})
 
     def _library(self) -> Tokenizer:
         made = Tokenizer.from_str(self.content)

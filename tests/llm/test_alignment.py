@@ -126,3 +126,17 @@ def test_long_texts_and_empty_tables(spark):
     got = {r[0]: r for r in aligned(spark, [(0, spaces), (1, letters), (2, words)])}
     assert got[1][1:] and got[2][3] > 0 and got[2][4] == got[2][3] and got[0][0] == 0
     assert aligned(spark, []) == []
+
+
+def test_texts_are_cut_together_like_each_alone(monkeypatch):
+    with open(token_ids.VOCABULARY, encoding="utf-8") as a, open(alignment.PIECES, "rb") as b:
+        aligner = alignment.Aligner(a.read(), b.read())
+    texts = ["", *some_texts(40), "a \u2581 b", " ", "a\n", "\n b", ""]
+    tokens = aligner.tokens([t or "" for t in texts])
+    calls, align = [], aligner.align
+    monkeypatch.setattr(aligner, "align", lambda *x: calls.append(1) or align(*x))
+    together = aligner.windows_of(tokens)
+    assert len(calls) == 1 and None in tokens
+    assert together == [[] if t is None else aligner.windows(*t) for t in tokens]
+    assert len(calls) == 1
+    assert aligner.windows_of([None, None]) == [[], []] and aligner.windows_of([]) == []
