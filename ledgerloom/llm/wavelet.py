@@ -44,20 +44,21 @@ def encode(ids: np.ndarray, documents: pa.Table, planes: int) -> bytes:
 
     sequence = ids
     for shift in range(planes - 1, -1, -1):
-        bits = (sequence >> sequence.dtype.type(shift) & sequence.dtype.type(1)).astype(bool)
-        packed = np.packbits(bits, bitorder="little")
-        ones = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), BLOCK_BITS // 8), dtype=np.int64) if len(bits) else []
-        directory = np.zeros(len(ones), _DIRECTORY)
-        directory["ones"] = np.cumsum(ones) - ones
+        one, zeros, ones = sequence.dtype.type(1 << shift), [], []
+        directory = np.zeros(-(-len(ids) // BLOCK_BITS), _DIRECTORY)
+        # block by block, so that what is split stays in the processor's cache
         for k in range(len(directory)):
-            start, size = k * BLOCK_BITS // 8, BLOCK_BITS // 8
-            block = codec.compress(packed[start:start + size], asbytes=True)
-            directory[k]["length"] = len(block)
-            directory[k]["offset"] = put(block)
+            some = sequence[k * BLOCK_BITS:(k + 1) * BLOCK_BITS]
+            bits = (some & one).astype(bool)
+            block = codec.compress(np.packbits(bits, bitorder="little"), asbytes=True)
+            directory[k] = put(block), len(block), np.count_nonzero(bits)
+            # compress() is about twice as fast as a mask as an index
+            zeros.append(np.compress(~bits, some))
+            ones.append(np.compress(bits, some))
+        directory["ones"] = np.cumsum(directory["ones"]) - directory["ones"]
         header["directories"].append((put(directory.tobytes()), len(directory)))
-        header["zeros"].append(len(bits) - int(sum(ones)))
-        # compress() is about twice as fast as a mask as an index
-        sequence = np.concatenate([np.compress(~bits, sequence), np.compress(bits, sequence)])
+        header["zeros"].append(sum(map(len, zeros)))
+        sequence = np.concatenate([*zeros, *ones]) if zeros else sequence
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, documents.schema) as writer:
         writer.write_table(documents)
@@ -162,11 +163,14 @@ class Shard:
         kind = np.uint16 if self.planes <= 16 else np.uint32
         sequence = np.zeros(self.n, kind)
         for plane in range(self.planes - 1, -1, -1):
-            blocks = [self._unpacked(plane, k) for k in range(len(self._directories[plane]))]
-            bits = np.concatenate(blocks).astype(bool) if blocks else np.zeros(0, bool)
-            above, zeros = np.empty(self.n, kind), self._zeros[plane]
-            above[np.flatnonzero(~bits)] = sequence[:zeros]
-            above[np.flatnonzero(bits)] = sequence[zeros:] | kind(1 << (self.planes - 1 - plane))
+            above, one = np.empty(self.n, kind), kind(1 << (self.planes - 1 - plane))
+            zeros, ones = 0, self._zeros[plane]
+            for k in range(len(self._directories[plane])):
+                bits = self._unpacked(plane, k).view(bool)
+                some, at_zeros, at_ones = above[k * BLOCK_BITS:(k + 1) * BLOCK_BITS], np.flatnonzero(~bits), np.flatnonzero(bits)
+                some[at_zeros] = sequence[zeros:zeros + len(at_zeros)]
+                some[at_ones] = sequence[ones:ones + len(at_ones)] | one
+                zeros, ones = zeros + len(at_zeros), ones + len(at_ones)
             sequence = above
         return sequence.astype(np.uint32)
 

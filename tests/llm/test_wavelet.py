@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import token_ids, wavelet
@@ -78,3 +81,23 @@ def test_library_vocabulary_is_opened_only_where_needed():
     encoder.ids("plain words")
     assert not {"whole", "plain"} & vars(encoder).keys()
     assert encoder.size == encoder.whole.get_vocab_size(with_added_tokens=True)
+
+
+def test_planes_are_split_and_joined_block_by_block(tmp_path, monkeypatch):
+    sizes, compress = [], np.compress
+    monkeypatch.setattr(np, "compress", lambda mask, ids: sizes.append(len(ids)) or compress(mask, ids))
+    for n in (0, 1, wavelet.BLOCK_BITS, 3 * wavelet.BLOCK_BITS + 5):
+        ids = np.random.default_rng(n).integers(0, 50_257, n).astype(np.uint16)
+        write_bytes(str(tmp_path / f"b{n}"), wavelet.encode(ids, DOCS, 16))
+        with wavelet.Shard(str(tmp_path / f"b{n}")) as shard:
+            assert (shard.ids() == ids).all()
+    assert max(sizes) == wavelet.BLOCK_BITS
+
+
+def test_the_faster_pattern_splits_alike():
+    assert public_tokenizers.PATTERN == token_ids._SPLIT
+    parts = [" ", "  ", "\n", "\t", "\u00a0", "\u2003", "a", "I'", "'s", "'ll", "'", "'S", "12", "\u0661", ".", "...", "\u00e9", "e\u0301", "\u4e2d", "\U0001f600", "_"]
+    some = random.Random(7)
+    for _ in range(4_000):
+        text = "".join(some.choices(parts, k=some.randrange(9)))
+        assert regex.findall(token_ids._SAME_SPLIT, text) == regex.findall(token_ids._SPLIT, text), text
