@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ledgerloom.llm.common import materialise
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    """Size and order-free digest of a set of links."""
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-    return row["n"], row["x"] or 0
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """A set of links, written and read back, with its size and order-free digest, taken by the job that writes it."""
+    seen = Observation()
+    stored = materialise(
+        edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")), "links")
+    return stored, (seen.get["n"], seen.get["x"] or 0)
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -25,16 +27,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     edges = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
-    edges = materialise(edges, "links")
-    before = _mark(edges)
+    edges, before = _stored(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(lowest, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        edges = materialise(small.unionByName(lowest.withColumnRenamed("low", "b")).distinct(), "links")
-        after = _mark(edges)
+        edges, after = _stored(small.unionByName(lowest.withColumnRenamed("low", "b")).distinct())
         if after == before:
             break
         before = after

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -127,9 +128,9 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
           train_rows: int = TRAIN_ROWS) -> Model | None:
     """Fit on at most ``train_rows`` of the rows where ``usable`` holds and id, text and language are not null.
 
-    Whole texts are turned to bucket shares on the executors; the driver gets those of the sample, at most
-    ``train_rows`` x 32,768 pairs, however large the table or a text is. The margin below which a prediction is rejected
-    comes from all labelled rows beyond the sample, scored on the executors; where there are none, from those rows of
+    Whole texts are turned to bucket shares on the executors; one task learns from those of the sample, at most
+    ``train_rows`` x 32,768 pairs, however large the table or a text is, and the driver gets the model alone. The margin
+    below which a prediction is rejected comes from all labelled rows beyond the sample, scored on the executors; where there are none, from those rows of
     the sample that were not learnt from.
     """
     ship_code(docs.sparkSession)
@@ -149,11 +150,20 @@ def train(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str
                     [some.column(0), some.column(1), pa.array([i.astype("<u2").tobytes() for i, _ in made], pa.binary()),
                      pa.array([s.astype("<f4").tobytes() for _, s in made], pa.binary())], ["h", "lang", "index", "share"])
 
+    # the limit leaves one partition, in order
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, labels = [], []
+        for batch in batches:
+            labels += batch.column(1).to_pylist()
+            rows += [(np.frombuffer(i.as_buffer(), "<u2"), np.frombuffer(s.as_buffer(), "<f4"))
+                     for i, s in zip(batch.column(2), batch.column(3), strict=True)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows, labels))], pa.binary())], ["model"])
+
     rows = sample.where(F.col("h") <= chosen).mapInArrow(
-        run, "h bigint, lang string, index binary, share binary").orderBy("h", "lang", "index").limit(
-        train_rows).collect()
-    model = fit([(np.frombuffer(r["index"], "<u2").astype(np.int64), np.frombuffer(r["share"], "<f4")) for r in rows],
-                [r["lang"] for r in rows])
+        run, "h bigint, lang string, index binary, share binary").orderBy("h", "lang", "index").limit(train_rows)
+    found = rows.mapInArrow(learn, "model binary").first()
+    model = pickle.loads(found["model"]) if found is not None else None
     if model is None or len(model.languages) < 2:
         return model
     shared = docs.sparkSession.sparkContext.broadcast(model)

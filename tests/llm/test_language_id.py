@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -109,3 +110,21 @@ def test_predictions_are_those_of_plain_python(spark, folder):
         p = np.exp(z / model.temperature)
         assert r["__lang"].lang_pred == model.languages[z.argmax()]
         assert abs(r["__lang"].score - (p / p.sum()).max()) < 1e-5
+
+
+def test_driver_learns_nothing_itself_and_gets_no_rows_of_the_sample(spark, monkeypatch):
+    driver, plain, collected = os.getpid(), language_id.fit, []
+
+    def fit(rows, labels):
+        assert os.getpid() != driver
+        return plain(rows, labels)
+
+    rows = [(i, ("the cat sat on the mat " if i % 2 else "der hund lief durch den wald ") * 3, "en" if i % 2 else "de") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language_id, "fit", fit)
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    model = language_id.train(docs, ~language_id.held_out())
+    assert model.languages == ["de", "en"] and model.threshold > 0
+    assert max(map(len, collected), default=0) <= 1
+    assert language_id.train(docs.where("false"), ~language_id.held_out()) is None

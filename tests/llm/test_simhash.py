@@ -103,3 +103,14 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_duplicates(docs).count() == 0
     assert near_copies.keep_first(docs).count() == 0
+
+
+def test_rounds_of_linking_are_one_job_each(spark, monkeypatch):
+    links = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(50, 40), (7, 7)], "a long, b long")
+    none = links.where("a < 0")
+    looked = []
+    first = type(links).first
+    monkeypatch.setattr(type(links), "first", lambda self: looked.append(1) or first(self))
+    found = {r.node: r.component for r in connected_components(links).collect()}
+    assert found == {**{i: 0 for i in range(1, 21)}, 50: 40} and not looked
+    assert connected_components(none).collect() == []
