@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 NULL_SPREAD = 1024
@@ -14,8 +16,26 @@ def hot_key_salt(df: DataFrame) -> int:
     return max(MIN_SALT, min(MAX_SALT, partitions // 4))
 
 
+def _spread(keys: Iterable[str], spread_by: tuple[str, ...], salt: int) -> Column:
+    row_hash = F.xxhash64(*spread_by)
+    any_null = F.lit(False)
+    for column in keys:
+        any_null = any_null | F.col(column).isNull()
+    return F.when(any_null, F.pmod(row_hash, F.lit(NULL_SPREAD)) + salt).otherwise(F.pmod(row_hash, F.lit(salt)))
+
+
+def placed(facts: DataFrame, keys: Iterable[str], spread_by: tuple[str, ...]) -> DataFrame:
+    """Facts dealt as ``attach(placed=True)`` by the same keys needs them, with ``_spread`` added.
+
+    A window within ``keys``, last first, then ``_spread`` takes the rows as they are: one shuffle and one sort serve both.
+    """
+    keys = tuple(keys)
+    return facts.withColumn("_spread", _spread(keys, spread_by, 1)).repartition(*reversed(keys), "_spread")
+
+
 def attach(facts: DataFrame, lookup: DataFrame, keys: dict[str, str], take: dict[str, str],
-           spread_by: tuple[str, ...], how: str = "left", hot_keys: bool = False, few_facts: bool = False) -> DataFrame:
+           spread_by: tuple[str, ...], how: str = "left", hot_keys: bool = False, few_facts: bool = False,
+           placed: bool = False) -> DataFrame:
     """Join ``lookup`` columns onto ``facts``; ``lookup`` must be unique on its keys.
 
     ``keys`` maps fact columns to lookup columns, ``take`` maps new names to lookup columns.
@@ -29,20 +49,16 @@ def attach(facts: DataFrame, lookup: DataFrame, keys: dict[str, str], take: dict
       wide key domains (contacts, accounts, invoices) adaptive skew-join splitting divides a
       hot key at run time without replicating anything;
     * ``few_facts=True`` says that the facts are few against the lookup: it is first cut down to
-      the keys in use, a join that can broadcast the facts' keys and leave the lookup where it is.
+      the keys in use, a join that can broadcast the facts' keys and leave the lookup where it is;
+    * ``placed=True`` says that the facts come from :func:`placed` by these keys; ``_spread`` is dropped.
 
-    Both are the caller's to say; the result is the same either way.
+    All are the caller's to say; the result is the same either way.
     """
     salt = hot_key_salt(facts) if hot_keys else 1
     if few_facts:
         in_use = facts.select(*[F.col(c).alias(k) for c, k in keys.items()]).distinct()
         lookup = lookup.join(in_use, list(keys.values()), "left_semi")
-    row_hash = F.xxhash64(*spread_by)
-    any_null = F.lit(False)
-    for column in keys:
-        any_null = any_null | F.col(column).isNull()
-    spread = F.when(any_null, F.pmod(row_hash, F.lit(NULL_SPREAD)) + salt).otherwise(F.pmod(row_hash, F.lit(salt)))
-    left = facts.withColumn("_spread", spread)
+    left = facts if placed else facts.withColumn("_spread", _spread(keys, spread_by, salt))
 
     right = lookup.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys.values())],
@@ -54,11 +70,12 @@ def attach(facts: DataFrame, lookup: DataFrame, keys: dict[str, str], take: dict
         # always 0, but tied to the row so that the optimizer keeps it as a join key
         right = right.withColumn("_slot", F.pmod(F.xxhash64("_k0"), F.lit(1)))
 
-    condition: Column = F.col("_spread") == F.col("_slot")
-    for i, column in enumerate(keys):
+    # both sides are sorted in this order: tenants come last, as most comparisons should be over at the first column
+    condition = F.lit(True)
+    for i, column in reversed([*enumerate(keys)]):
         condition = condition & (F.col(column) == F.col(f"_k{i}"))
-    joined = left.join(right, condition, how)
+    joined = left.join(right, condition & (F.col("_spread") == F.col("_slot")), how)
     return joined.select(
-        *[F.col(c) for c in facts.columns],
+        *[F.col(c) for c in facts.columns if c != "_spread"],
         *[F.col(f"_t{i}").alias(name) for i, name in enumerate(take)],
     )

@@ -409,6 +409,7 @@ def warehouse_refresh_counts(ledger: Ledger) -> DataFrame:
 @query
 def warehouse_refresh(ledger: Ledger) -> DataFrame:
     """The whole refresh, from raw tables to stored ones: rows of each table as written, dimensions first."""
+    ledger.keep("_orders", "_monthly")
     raw = {name: getattr(ledger, name) for name in (
         "tenants", "raw_contacts", "raw_accounts", "raw_invoices", "raw_invoice_lines", "raw_payments",
         "raw_bank_transactions", "raw_manual_journals")}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -35,11 +36,15 @@ def refresh_warehouse(spark: SparkSession, raw: dict[str, DataFrame], target: st
     """
     paths: dict[str, str] = {}
 
-    def store(table: str, rows: DataFrame, sort_by: tuple[str, ...]) -> DataFrame:
+    def store(table: str, rows: DataFrame | Callable[[star.Deal], DataFrame], sort_by: tuple[str, ...]) -> DataFrame:
+        """``rows`` that take a way of dealing are dealt inside their transform, unless a merge follows it."""
+        inside = callable(rows) and previous is None
+        if callable(rows):
+            rows = rows(lambda df: _dealt(df, sort_by) if inside else df)
         if previous is not None:
             rule = MERGE_RULES[table]
             rows = keyed_merge(spark.read.parquet(f"{previous}/{table}"), rows, rule.keys, rule.insert_only)
-        paths[table] = _write(rows, f"{target}/{table}", sort_by, counts)
+        paths[table] = _write(rows, f"{target}/{table}", () if inside else sort_by, counts)
         return spark.read.parquet(paths[table])
 
     def store_report(table: str, rows: DataFrame) -> None:
@@ -52,13 +57,15 @@ def refresh_warehouse(spark: SparkSession, raw: dict[str, DataFrame], target: st
     contacts = store("dim_contact", star.dim_contact(raw["raw_contacts"], loaded_at, one), ("tenant_id",))
     accounts = store("dim_account", star.dim_account(raw["raw_accounts"], loaded_at, one), ("tenant_id",))
     dated = ("tenant_id", "date")
-    invoices = store("fact_invoice", star.fact_invoice(raw["raw_invoices"], contacts, as_of, loaded_at, one), dated)
-    store("fact_invoice_line", star.fact_invoice_line(raw["raw_invoice_lines"], invoices, accounts, loaded_at, one),
-          ("tenant_id", "source_invoice_id"))
-    store("fact_payment", star.fact_payment(raw["raw_payments"], invoices, accounts, loaded_at, one), dated)
-    store("fact_bank_transaction",
-          star.fact_bank_transaction(raw["raw_bank_transactions"], contacts, accounts, loaded_at, one), dated)
-    store("fact_manual_journal", star.fact_manual_journal(raw["raw_manual_journals"], loaded_at, one), dated)
+    invoices = store("fact_invoice", lambda deal: star.fact_invoice(
+        raw["raw_invoices"], contacts, as_of, loaded_at, one, deal), dated)
+    store("fact_invoice_line", lambda deal: star.fact_invoice_line(
+        raw["raw_invoice_lines"], invoices, accounts, loaded_at, one, deal), ("tenant_id", "source_invoice_id"))
+    store("fact_payment", lambda deal: star.fact_payment(
+        raw["raw_payments"], invoices, accounts, loaded_at, one, deal), dated)
+    store("fact_bank_transaction", lambda deal: star.fact_bank_transaction(
+        raw["raw_bank_transactions"], contacts, accounts, loaded_at, one, deal), dated)
+    store("fact_manual_journal", lambda deal: star.fact_manual_journal(raw["raw_manual_journals"], loaded_at, one, deal), dated)
     snapshots = raw.get("report_snapshots")
     if snapshots is not None:
         if one is not None:
@@ -171,9 +178,14 @@ def _merged(rows: DataFrame, changes: DataFrame, keys: tuple[str, ...], insert_o
     return change_log.current_state(rows, changes, keys, insert_only)
 
 
-def _write(rows: DataFrame, path: str, sort_by: tuple[str, ...], counts: dict[str, int] | None = None) -> str:
+def _dealt(rows: DataFrame, sort_by: tuple[str, ...]) -> DataFrame:
     """In ranges of ``sort_by``: a file holds few tenants and days, and a big tenant is many files."""
-    dealt = rows.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+    return rows.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+
+
+def _write(rows: DataFrame, path: str, sort_by: tuple[str, ...], counts: dict[str, int] | None = None) -> str:
+    """Dealt by ``sort_by``, or as the rows are where it is empty."""
+    dealt = _dealt(rows, sort_by) if sort_by else rows
     written = Observation()
     # above the exchange, whose sampling would count rows once more
     dealt.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)

@@ -164,12 +164,13 @@ class Ledger:
             "o_orderpriority AS reference", "o_orderdate + INTERVAL '1' HOUR AS source_updated_at",
         )
 
+    LINE_KEY = ("l_orderkey", "l_linenumber")
     LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
     @cached_property
     def _lines(self) -> DataFrame:
         """Latest delivery per (order, line number); the table holds repeats."""
-        return pick_winner(self.read("lineitem"), ("l_orderkey", "l_linenumber"), [F.desc(c) for c in self.LINE_ORDER])
+        return pick_winner(self.read("lineitem"), self.LINE_KEY, [F.desc(c) for c in self.LINE_ORDER])
 
     LINE_COLUMNS = (
         "string(l_orderkey) AS source_invoice_id", "string(l_linenumber) AS source_id",
@@ -185,7 +186,9 @@ class Ledger:
     @cached_property
     def raw_invoice_lines(self) -> DataFrame:
         owners = self._orders.select("o_orderkey", "o_orderdate", "connection_id", "tenant_id")
-        joined = self._lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+        # dealt by order once, for the latest delivery and for the order
+        lines = pick_winner(self.read("lineitem").repartition("l_orderkey"), self.LINE_KEY, [F.desc(c) for c in self.LINE_ORDER])
+        joined = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
         return joined.selectExpr("connection_id", "tenant_id", *self.LINE_COLUMNS,
                                  "o_orderdate + INTERVAL '1' HOUR AS source_updated_at")
 
