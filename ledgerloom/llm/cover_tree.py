@@ -3,12 +3,14 @@
 A node is a center with all vectors within its covering radius; the levels of a tree are nets of halving radii. Of a
 pair of nodes with centers d apart and covering radii r and s, nothing links if d > r + s + t, and everything links if
 d + r + s <= t; only pairs in between are opened, the wider node first. On the unit sphere no pair of nodes of radius 1
-can be told apart, so a tree's first stored level is the net of radius 1/2.
+can be told apart, so a tree's first stored level is the net of radius 1/2. Centers without a covering radius are first
+compared by their heads, of half the dimensions or fewer, whose product is an upper bound of the cosine.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 
@@ -18,6 +20,11 @@ TOP_RADIUS = 0.5
 #: Pairs of vectors below which two nodes are compared outright.
 OUTRIGHT = 1 << 18
 _BLOCK = 512
+#: Directions of a head; vectors of up to twice as many dimensions are compared in full. Where more than one pair in
+#: ``OPEN`` is left open by heads, they are not used.
+HEAD, OPEN = 31, 64
+#: Centers on either side of a product, so that it stays in the cache, and components that are looked up at once.
+_LEFT, _RIGHT, _COMPONENTS = 512, 512, 1 << 22
 #: What single and double precision may be off by.
 _SINGLE, _DOUBLE = 1e-4, 1e-9
 
@@ -30,10 +37,34 @@ class Level:
     radius: np.ndarray
     order: np.ndarray
     start: np.ndarray
+    single: np.ndarray | None = None
+    head: np.ndarray | None = None
 
     def members(self, k: int) -> np.ndarray:
         return self.order[self.start[k]:self.start[k + 1]]
 
+    def look(self, x: np.ndarray) -> None:
+        """Keep the centers in single precision and their heads, found once."""
+        if self.single is None:
+            self.single, self.head = x[self.center].astype(np.float32), head(x[self.center])
+
+    def behind(self, n: int) -> Level:
+        """The same level for vectors that come behind ``n`` others."""
+        return replace(self, center=self.center + n, order=self.order + n)
+
+
+@lru_cache(8)
+def _directions(d: int) -> np.ndarray:
+    return np.linalg.qr(np.random.default_rng(0).standard_normal((d, HEAD)))[0]
+
+
+def head(x: np.ndarray) -> np.ndarray:
+    """Coordinates of unit vectors in ``HEAD`` fixed directions and the length of the rest, in single precision."""
+    if x.shape[1] <= 2 * HEAD:
+        return x.astype(np.float32)
+    first = x @ _directions(x.shape[1])
+    return np.column_stack([first, np.sqrt(np.maximum(1 - (first * first).sum(1), 0))]).astype(np.float32)
+
 
 def net(x: np.ndarray, members: np.ndarray, radius: float) -> Level:
     """A net of ``members``: each is within about ``radius`` of a center; the covering radii are exact."""
@@ -87,10 +118,12 @@ class Dual:
 
     def among(self, rows: np.ndarray) -> None:
         if len(rows):
-            level = net(self.x, rows, TOP_RADIUS)
-            self._tops(level, level)
-            for k in np.flatnonzero(np.diff(level.start) > 1):
-                self._self(level.members(k), level.center[k], level.radius[k])
+            self._among(net(self.x, rows, TOP_RADIUS))
+
+    def _among(self, level: Level) -> None:
+        self._tops(level, level)
+        for k in np.flatnonzero(np.diff(level.start) > 1):
+            self._self(level.members(k), level.center[k], level.radius[k])
 
     def between(self, left: np.ndarray, right: np.ndarray) -> None:
         if len(left) and len(right):
@@ -98,25 +131,65 @@ class Dual:
 
     def _tops(self, a: Level, b: Level) -> None:
         """All pairs of nodes of two top levels; of one level, each pair of different nodes once."""
-        ca, cb = (self.x[v.center].astype(np.float32) for v in (a, b))
-        wide_b = np.flatnonzero(b.radius > 0)
-        for start in range(0, len(ca), 1024):
-            near = ca[start:start + 1024] @ cb.T
-            radius = a.radius[start:start + 1024]
-            keep = near >= np.float32(self.least - _SINGLE)
-            for rows in (np.flatnonzero(radius > 0),):
+        a.look(self.x)
+        b.look(self.x)
+        (flat_a, wide_a), (flat_b, wide_b) = ((np.flatnonzero(v.radius == 0), np.flatnonzero(v.radius > 0)) for v in (a, b))
+        self._flats(a, flat_a, b, flat_b)
+        self._wides(a, wide_a, b, np.arange(len(b.center)))
+        if a is not b:
+            self._wides(b, wide_b, a, flat_a)
+
+    def _flats(self, a: Level, i: np.ndarray, b: Level, j: np.ndarray) -> None:
+        """Pairs of nodes without a covering radius."""
+        lowest = np.float32(self.least - _SINGLE)
+        left, right = a.head[i], b.head[j]
+        if len(i) and len(j) and (left[:_LEFT] @ right[:_RIGHT].T >= lowest).mean() * OPEN > 1:
+            left, right = a.single[i], b.single[j]
+        held = np.empty(_LEFT * _RIGHT, np.float32)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for p in range(0, len(i), _LEFT):
+            for q in range(p // _RIGHT * _RIGHT if a is b else 0, len(j), _RIGHT):
+                some, others = left[p:p + _LEFT], right[q:q + _RIGHT]
+                near = np.matmul(some, others.T, out=held[:len(some) * len(others)].reshape(len(some), -1))
+                rows = np.flatnonzero(near.max(1) >= lowest)
                 if len(rows):
-                    keep[rows] = near[rows] >= self._lowest(radius[rows][:, None] + b.radius[None, :])
-            if len(wide_b):
-                keep[:, wide_b] = near[:, wide_b] >= self._lowest(radius[:, None] + b.radius[None, wide_b])
-            i, j = np.nonzero(keep)
-            i += start
+                    k, m = np.nonzero(near[rows] >= lowest)
+                    found.append((i[p + rows[k]], j[q + m]))
+                if sum(len(k) for k, _ in found) * self.x.shape[1] > _COMPONENTS:
+                    self._open(a, b, found)
+                    found = []
+        self._open(a, b, found)
+
+    def _open(self, a: Level, b: Level, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Nodes without a covering radius that heads leave open."""
+        if not found:
+            return
+        i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+        once = (i < j) | (a is not b)
+        i, j, step = i[once], j[once], max(1, _COMPONENTS // self.x.shape[1])
+        for start in range(0, len(i), step):
+            k, m = i[start:start + step], j[start:start + step]
+            near = np.einsum("nd,nd->n", self.x[a.center[k]], self.x[b.center[m]]) >= self.least - _SINGLE
+            k, m = k[near], m[near]
+            single = (np.diff(a.start)[k] == 1) & (np.diff(b.start)[m] == 1)
+            self._link_each(a.center[k[single]], b.center[m[single]])
+            self._pairs(a, k[~single], b, m[~single])
+
+    def _wides(self, a: Level, i: np.ndarray, b: Level, j: np.ndarray) -> None:
+        """Pairs of nodes of ``a`` with a covering radius and nodes of ``b``."""
+        right, radius = b.single[j].T, b.radius[j]
+        for p in range(0, len(i), _LEFT):
+            some = i[p:p + _LEFT]
+            k, m = np.nonzero(a.single[some] @ right >= self._lowest(a.radius[some][:, None] + radius))
+            k, m = some[k], j[m]
             if a is b:
-                i, j = i[i < j], j[i < j]
-            single = (a.radius[i] == 0) & (b.radius[j] == 0) & (np.diff(a.start)[i] == 1) & (np.diff(b.start)[j] == 1)
-            self._link_each(a.center[i[single]], b.center[j[single]])
-            for p, q in zip(i[~single].tolist(), j[~single].tolist(), strict=True):
-                self._pair(a.members(p), a.center[p], a.radius[p], b.members(q), b.center[q], b.radius[q])
+                once = (k < m) | (a.radius[m] == 0)
+                k, m = k[once], m[once]
+            self._pairs(a, k, b, m)
+
+    def _pairs(self, a: Level, k: np.ndarray, b: Level, m: np.ndarray) -> None:
+        for p, q in zip(k.tolist(), m.tolist(), strict=True):
+            self._pair(a.members(p), a.center[p], a.radius[p], b.members(q), b.center[q], b.radius[q])
 
     def _opened(self, i: np.ndarray, c: int, r: float) -> Level:
         """The next level of a node, found once. Nodes of one center are nested, so their size tells them apart."""
@@ -192,3 +265,25 @@ class Dual:
                 for p in range(len(nodes)):
                     for q in range(p):
                         self._pair(*nodes[p], *nodes[q])
+
+
+@dataclass
+class Tree:
+    """Unit vectors, their weights, and the top level of their cover tree."""
+
+    x: np.ndarray
+    weight: np.ndarray
+    level: Level
+
+
+def compare(a: Tree, b: Tree, least: float) -> Dual:
+    """Links between the vectors of two trees, those of ``a`` first, or among the vectors of one tree."""
+    if a is b:
+        dual = Dual(a.x, a.weight, least)
+        dual._among(a.level)
+        return dual
+    dual = Dual(np.concatenate([a.x, b.x]), np.concatenate([a.weight, b.weight]), least)
+    for tree in (a, b):
+        tree.level.look(tree.x)
+    dual._tops(a.level, b.level.behind(len(a.x)))
+    return dual

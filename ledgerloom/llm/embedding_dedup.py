@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ledgerloom.llm.common import materialise, ship_code
+from ledgerloom.llm import cover_tree
+from ledgerloom.llm.common import materialise, shared_folder, ship_code
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.cover_tree import Dual, net
+from ledgerloom.llm.cover_tree import TOP_RADIUS, Level, Tree, net
+from ledgerloom.llm.files import new_file, read_bytes, write_bytes
 
 LEAST_COSINE = 0.9
-#: Vectors on either side of a comparison that one task makes.
+#: Vectors on either side of a comparison.
 CHUNK_ROWS = 4096
+#: Comparisons of a task, at least if there are tasks enough, and chunks on either side that are compared in turn.
+PER_TASK, TILE = 64, 8
+#: Bytes of vectors that a task keeps for its next comparisons.
+HELD = 128 << 20
 #: Vectors of a cell, those of the smallest hashes, that the centers of its sub-cells are chosen from, and sub-cells at
 #: most. Any choice gives the same links.
 SAMPLE, CELLS = 2048, 256
@@ -45,30 +53,20 @@ def _away(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 
 def chunked(placed: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Deal the rows of each cell into chunks and give each row to the comparisons (``i``, ``k``) it takes part in.
+    """Deal the rows of each cell into chunks: each row once, however many comparisons its chunk takes part in.
 
-    The vectors at home in a cell are its chunks 0 to h - 1, those that visit it the next ones; chunk i of the homes is
-    compared with all chunks from itself on, or, in a closed cell, with those of the visitors. A cell of any size is thus
-    cut into tasks of two chunks.
+    The vectors at home in a cell are its chunks 0 to ``h`` - 1, those that visit it the next ``v``; chunk i of the homes is
+    compared with all chunks from itself on, or, in a closed cell, with those of the visitors. Rows that no comparison
+    reads are left out.
     """
-    sizes = placed.groupBy("size", "cell").agg(
+    sizes = materialise(placed.groupBy("size", "cell").agg(
         F.ceil(F.count_if("home") / chunk_rows).cast("int").alias("h"),
-        F.ceil(F.count_if(~F.col("home")) / chunk_rows).cast("int").alias("v"))
-    rows = placed.join(sizes, ["size", "cell"])
+        F.ceil(F.count_if(~F.col("home")) / chunk_rows).cast("int").alias("v")), "chunk-sizes")
+    rows = placed.join(sizes, ["size", "cell"]).where((F.col("h") > 0) & ~(F.col("closed") & (F.col("v") == 0)))
     mix = F.xxhash64("node", F.lit(3))
     chunk = F.when(F.col("home"), F.pmod(mix, F.col("h"))).otherwise(
         F.col("h") + F.pmod(mix, F.greatest("v", F.lit(1)))).cast("int")
-    rows = rows.withColumn("chunk", chunk)
-    task = lambda i, k, left: F.struct(i.alias("i"), k.alias("k"), F.lit(left).alias("left"))
-    span = lambda a, b: F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
-    c, h, zero = F.col("chunk"), F.col("h"), F.lit(0)
-    first = F.when(F.col("closed"), h).otherwise(c)
-    last = F.when(~F.col("home"), h).when(F.col("closed"), zero).otherwise(c)
-    as_left = F.when(F.col("home"), F.transform(span(first, h + F.col("v") - 1), lambda k: task(c, k, True)))
-    as_right = F.transform(span(zero, last - 1), lambda i: task(i, c, False))
-    tasks = F.when(F.col("home"), F.concat(as_left, as_right)).otherwise(as_right)
-    return rows.select("size", "cell", "node", "copies", "vector", F.explode(tasks).alias("task")).select(
-        "size", "cell", "task.*", "node", "copies", "vector")
+    return rows.select("size", "cell", "closed", "h", "v", chunk.alias("chunk"), "node", "copies", "vector")
 
 
 def _net_centers(x: np.ndarray) -> np.ndarray:
@@ -87,15 +85,20 @@ def _asks(away: np.ndarray, near: np.ndarray, at: np.ndarray, centers: np.ndarra
     return away ** 2 - (at ** 2)[:, None] <= 2 * t * _away(centers, centers)[near] + SLACK
 
 
-def choose_centers(cells: DataFrame, least: float) -> DataFrame:
-    """``centers`` of the sub-cells of each cell, from a bounded sample of its homes.
+def choose_centers(cells: DataFrame, least: float, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``centers`` of the sub-cells of each cell, from a bounded sample of its ``homes``.
 
-    None where the rows of the sample would visit so many sub-cells that splitting cannot pay; ``rate`` is how often the
-    cell's comparisons read a row if it is left as it is, null for cells with visitors, which the sample does not show.
+    None where the comparisons of the sub-cells, filled and visited as the sample shows, would read so many rows that
+    splitting cannot pay; ``rate`` is how often the cell's comparisons read a row if it is left as it is, null for cells
+    with visitors, which the sample does not show.
     """
     t = float(np.sqrt(2 - 2 * least))
     rank = F.row_number().over(Window.partitionBy("size", "cell").orderBy(F.xxhash64("node", F.lit(11)), "node"))
-    sample = cells.where("home").select("size", "cell", "rate", "vector", rank.alias("rank")).where(F.col("rank") <= SAMPLE)
+    # hashes are even, so about twice as many rows as are wanted are ranked, not a cell's rows in one task
+    share = F.least(2.0 * SAMPLE / F.col("homes"), F.lit(1.0))
+    small = F.xxhash64("node", F.lit(11)).cast("double") <= share * 2.0**64 - 2.0**63
+    sample = cells.where("home").where(small).select("size", "cell", "homes", "rate", "vector", rank.alias(
+        "rank")).where(F.col("rank") <= SAMPLE)
 
     def run(table: pa.Table) -> pa.Table:
         x = unit(pa.concat_arrays(table.column("vector").chunks))
@@ -105,8 +108,12 @@ def choose_centers(cells: DataFrame, least: float) -> DataFrame:
         radius = np.full(len(chosen), -9.0)
         np.maximum.at(radius, near, at)
         asks = _asks(away, near, at, chosen, t) & (away <= radius + t) & (np.arange(len(chosen)) < near[:, None])
-        rate = table.column("rate")[0].as_py()
-        pays = rate is None or 1 + asks.sum() / len(x) < WORTH * rate
+        asks &= away + radius > t
+        rate, rows = table.column("rate")[0].as_py(), table.column("homes")[0].as_py()
+        homes, visits = (rows / len(x) * n for n in (np.bincount(near, minlength=len(chosen)), asks.sum(0)))
+        h, v = np.ceil(homes / chunk_rows), np.ceil(visits / chunk_rows)
+        split = homes * (v + np.where(2 * radius <= t, 0, h)) + visits * h
+        pays = rate is None or split.sum() < WORTH * rate * rows
         made = pa.table({"size": table.column("size")[:1], "cell": table.column("cell")[:1],
                          "centers": pa.array([chosen.tolist()], pa.list_(pa.list_(pa.float64())))})
         return made.slice(0, int(pays))
@@ -177,12 +184,13 @@ def sub_cells(placed: DataFrame, least: float, chunk_rows: int = CHUNK_ROWS) ->
         many = (F.col("homes") > chunk_rows) | ((F.col("homes") > 1) & (F.col("visits") > CROWDED * F.col("homes")))
         plain = _task_rows(F.col("homes"), F.col("visits"), F.col("shut"), chunk_rows)
         big = materialise(sizes.where(many & ~(F.col("shut") & (F.col("visits") == 0))).select(
-            *key, F.ceil((F.col("homes") + F.col("visits")) / chunk_rows).cast("int").alias("blocks"),
+            *key, "homes", F.ceil((F.col("homes") + F.col("visits")) / chunk_rows).cast("int").alias("blocks"),
             plain.alias("plain"), F.when(
                 F.col("visits") == 0, plain / F.col("homes")).alias("rate")), "cells-big")
         if big.isEmpty():
             break
-        centers = materialise(choose_centers(placed.join(big.select(*key, "rate"), key), least), "cell-centers")
+        centers = materialise(choose_centers(placed.join(big.select(*key, "homes", "rate"), key), least, chunk_rows),
+                              "cell-centers")
         if centers.isEmpty():
             break
         wide = placed.join(big.select(*key, "blocks").join(centers.select(*key), key), key).select(*columns, "blocks")
@@ -227,24 +235,87 @@ def sub_cells(placed: DataFrame, least: float, chunk_rows: int = CHUNK_ROWS) ->
     return reduce(DataFrame.unionByName, [*fit, placed]), reduce(DataFrame.unionByName, found)
 
 
-def compare(tasks: DataFrame, least: float) -> DataFrame:
-    """Rows (``node``, ``links``, ``root``) of each comparison: at most one for each vector in it."""
-    made = pa.schema([("node", pa.string()), ("links", pa.int64()), ("root", pa.string())])
+def planted(chunks: DataFrame) -> DataFrame:
+    """Chunks with the ``file`` of each in the shared folder: its rows by node of the top level of its cover tree, the
+    node's center first. A level is found once, and a vector is written once, for all comparisons of its chunk.
+    """
+    folder = shared_folder(chunks.sparkSession, "trees")
+    keys = ["size", "cell", "chunk"]
+    kept = ["size", "cell", "closed", "h", "v", "chunk"]
 
     def run(table: pa.Table) -> pa.Table:
-        vectors = pa.concat_arrays(table.column("vector").chunks)
-        left = table.column("left").to_numpy()
-        dual = Dual(unit(vectors), table.column("copies").to_numpy(), least)
-        if table.column("i")[0].as_py() == table.column("k")[0].as_py():
-            dual.among(np.arange(len(left)))
-        else:
-            dual.between(np.flatnonzero(left), np.flatnonzero(~left))
-        found = np.flatnonzero(dual.links)
-        names = table.column("node").combine_chunks()
-        return pa.table([names.take(pa.array(found)), pa.array(dual.links[found]),
-                         names.take(pa.array(dual.labels[found]))], schema=made)
-
-    return tasks.groupBy("size", "cell", "i", "k").applyInArrow(run, "node string, links bigint, root string")
+        x = unit(pa.concat_arrays(table.column("vector").chunks))
+        level = net(x, np.arange(len(x)), TOP_RADIUS)
+        rows = table.select(["node", "copies", "vector"]).take(pa.array(level.order)).append_column(
+            "owner", pa.array(np.repeat(np.arange(len(level.center)), np.diff(level.start)), pa.int32()))
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, rows.schema) as stream:
+            stream.write_table(rows)
+        file = new_file(folder, "chunk", ".arrow")
+        write_bytes(file, out.getvalue())
+        return table.select(kept).slice(0, 1).append_column("file", pa.array([file]))
+
+    # cells alone would do for Spark, with all chunks of a cell in one task
+    tasks = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = T.StructType([*(chunks.schema[n] for n in kept), T.StructField("file", T.StringType())])
+    return materialise(chunks.repartition(tasks, *keys).groupBy(*keys).applyInArrow(run, made), "trees")
+
+
+class _Chunks:
+    """Names and trees of chunks from their files; the last ones stay, up to ``HELD`` bytes of vectors."""
+
+    def __init__(self) -> None:
+        self._held: OrderedDict[str, tuple[pa.Array, Tree]] = OrderedDict()
+
+    def __call__(self, file: str) -> tuple[pa.Array, Tree]:
+        if file not in self._held:
+            table = pa.ipc.open_stream(read_bytes(file)).read_all().combine_chunks()
+            x = unit(pa.concat_arrays(table.column("vector").chunks))
+            owner = table.column("owner").to_numpy()
+            start = np.searchsorted(owner, np.arange(owner[-1] + 2))
+            away = np.sqrt(((x - x[start[owner]]) ** 2).sum(1))
+            level = Level(start[:-1], np.maximum.reduceat(away, start[:-1]), np.arange(len(x)), start)
+            names = pa.concat_arrays(table.column("node").chunks)
+            self._held[file] = names, Tree(x, table.column("copies").to_numpy(), level)
+        self._held.move_to_end(file)
+        while len(self._held) > 2 and sum(tree.x.nbytes for _, tree in self._held.values()) > HELD:
+            self._held.popitem(last=False)
+        return self._held[file]
+
+
+def compare(chunks: DataFrame, least: float) -> DataFrame:
+    """Rows (``node``, ``links``, ``root``) of each comparison of chunks: at most one for each vector in it.
+
+    Comparisons are rows of two files, dealt by number: tasks read the chunks that they compare, so no cell is one task
+    and no vector is moved once for each comparison.
+    """
+    made = pa.schema([("node", pa.string()), ("links", pa.int64()), ("root", pa.string())])
+    trees = planted(chunks)
+    first = F.when(F.col("closed"), F.col("h")).otherwise(F.col("chunk"))
+    left = trees.where(F.col("chunk") < F.col("h")).select(
+        "size", "cell", F.col("chunk").alias("i"), F.col("file").alias("left"),
+        F.explode(F.sequence(first, F.col("h") + F.col("v") - 1)).alias("k"))
+    right = trees.select("size", "cell", F.col("chunk").alias("k"), F.col("file").alias("right"))
+    pairs = materialise(left.join(right, ["size", "cell", "k"]), "comparisons")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = _Chunks()
+        for batch in batches:
+            for i, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                (names, a), (others, b) = chunk(i), chunk(k)
+                dual = cover_tree.compare(a, a if i == k else b, least)
+                found = np.flatnonzero(dual.links)
+                if len(found):
+                    names = names if i == k else pa.concat_arrays([names, others])
+                    yield pa.RecordBatch.from_arrays([
+                        names.take(pa.array(found)), pa.array(dual.links[found]),
+                        names.take(pa.array(dual.labels[found]))], schema=made)
+
+    count = pairs.count()
+    tasks = max(1, min(count, max(4 * chunks.sparkSession.sparkContext.defaultParallelism, count // PER_TASK)))
+    order = ["size", "cell", F.floor(F.col("i") / TILE), F.floor(F.col("k") / TILE), "i", "k"]
+    return pairs.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("left", "right").mapInArrow(
+        run, "node string, links bigint, root string")
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -253,7 +324,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     Equal vectors are one node with their number as weight, however many there are. A comparison of two chunks of at most
     about ``chunk_rows`` (by default ``CHUNK_ROWS``) vectors returns counts and a spanning forest, never pairs. No vector,
-    center or link comes to the driver.
+    center or link comes to the driver, only the number of comparisons.
 
     A vector that is null, empty, zero or has null or non-finite components links with nothing. Vectors of different
     dimensions do not link. Rows that repeat an id count as vectors each; null ids lose to others. An empty table gives

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import cover_tree, embedding_dedup
 
@@ -118,3 +119,66 @@ def test_task_rows_do_not_grow_with_clustered_vectors(spark, spread):
         made.append(embedding_dedup.chunked(cells, 60).count() / len(x))
     print(made)
     assert made[1] < 1.5 * made[0]
+
+
+@pytest.mark.parametrize("kind", ["spread", "wide", "narrow"])
+def test_heads_leave_all_pairs_of_brute_force_open(kind):
+    """Vectors of so many dimensions that centers are compared by heads, or by all of them where heads tell nothing apart."""
+    rng = np.random.default_rng(7)
+    x = {"spread": rng.standard_normal((700, 80)), "wide": clouds(100, 80), "narrow": 1 + 0.45 * rng.standard_normal((700, 80))}[kind]
+    x = np.concatenate([x, x[:90] + 0.3 * rng.standard_normal((90, 80)) * np.abs(x[:90]).mean(1, keepdims=True), 2 * x[:5]])
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    assert cover_tree.head(x).shape[1] < 80 and (cover_tree.head(x) @ cover_tree.head(x).T > x @ x.T - 1e-5).all()
+    want, labels = brute(x)
+    assert 0 < want.sum()
+    weight = np.arange(len(x)) % 3 + 1
+    tree = lambda some: cover_tree.Tree(x[some], weight[some], cover_tree.net(x[some], np.arange(len(some)), 0.5))
+    own = tree(np.arange(len(x)))
+    dual = cover_tree.compare(own, own, 0.9)
+    linked = x @ x.T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert (dual.links == linked @ weight).all() and (dual.labels == labels).all()
+    left = np.arange(len(x)) % 3 == 0
+    dual = cover_tree.compare(tree(np.flatnonzero(left)), tree(np.flatnonzero(~left)), 0.9)
+    across = np.concatenate([np.flatnonzero(left), np.flatnonzero(~left)])
+    assert (dual.links == ((linked & (left[:, None] != left)) @ weight)[across]).all()
+
+
+def one_cell(spark, x):
+    return spark.createDataFrame([(x.shape[1], "", True, False, f"{k:06d}", 1, v.tolist()) for k, v in enumerate(x)],
+                                 "size int, cell string, home boolean, closed boolean, node string, copies bigint, vector array<double>")
+
+
+def test_comparisons_of_a_cell_are_many_tasks(spark):
+    x = families(8, 40, 0.03)
+    found = embedding_dedup.compare(embedding_dedup.chunked(one_cell(spark, x), 40), 0.9).select(
+        "node", "links", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in found}) > 4
+    links = np.zeros(len(x), int)
+    for r in found:
+        links[int(r.node)] += r.links
+    assert (links == brute(x)[0]).all()
+
+
+def test_a_vector_is_moved_once_for_all_comparisons(spark):
+    x = families(8, 40, 0.03)
+    chunks = embedding_dedup.chunked(one_cell(spark, x), 20)
+    assert chunks.count() == len(x) and chunks.select("chunk").distinct().count() == 16
+
+
+def test_a_cell_that_splitting_does_not_prune_is_not_measured(spark):
+    """Random vectors, as many chunks as make a visit to every sub-cell look cheap."""
+    x = np.random.default_rng(5).standard_normal((3000, 64))
+    cell = one_cell(spark, x / np.sqrt((x * x).sum(1, keepdims=True))).selectExpr("*", "3000L AS homes", "300D AS rate")
+    assert embedding_dedup.choose_centers(cell, 0.9, 10).isEmpty()
+
+
+def test_comparisons_do_not_grow_with_clustered_vectors(spark):
+    """Rows that comparisons read for each vector, however few are moved for them."""
+    made = []
+    for n in (100, 400):
+        x = families(n, 20, 0.25)
+        chunks = embedding_dedup.chunked(embedding_dedup.sub_cells(one_cell(spark, x), 0.9, 60)[0], 60)
+        read = "CASE WHEN chunk >= h THEN h WHEN closed THEN v ELSE h + v END"
+        made.append(chunks.selectExpr(f"coalesce(sum({read}), 0) AS n").first().n / len(x))
+    assert made[1] < 1.5 * made[0]
